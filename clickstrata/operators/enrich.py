@@ -8,6 +8,7 @@ has its own module.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,36 +31,39 @@ def decode_envelope(raw: DataFrame, data: str = "data") -> DataFrame:
     """
     text = F.try_to_binary(F.col(data), F.lit("base64")).cast("string")
     parsed = F.from_json("record_text", ENVELOPE, {"columnNameOfCorruptRecord": "malformed"})
-    decoded = raw.withColumn("record_text", text).withColumn("record", parsed)
+    others = [c for c in raw.columns if c != data]
+    # ``inline`` turns the parsed record into columns: unlike a projection it is never merged
+    # with what follows, so a later filter does not parse the record again
+    fields = (
+        raw.withColumn("record_text", text)
+        .select(*others, data, "record_text", F.inline_outer(F.array(parsed)))
+    )
     required = (
-        "record.body",
-        "record.headers",
-        "record.identity.sourceIp",
-        "record.identity.userAgent",
-        "record.identity.requestId",
-        "record.request_time",
+        F.col("body"),
+        F.col("headers"),
+        F.col("identity.sourceIp"),
+        F.col("identity.userAgent"),
+        F.col("identity.requestId"),
+        F.col("request_time"),
     )
-    complete = F.lit(True)
-    for name in required:
-        complete = complete & F.col(name).isNotNull()
+    missing = reduce(lambda found, c: found | c.isNull(), required, F.lit(False))
     error = (
         F.when(F.col("record_text").isNull(), NOT_BASE64)
-        .when(F.col("record").isNull() | F.col("record.malformed").isNotNull(), NOT_JSON)
-        .when(~complete, INCOMPLETE)
+        .when(F.col("malformed").isNotNull(), NOT_JSON)
+        .when(missing, INCOMPLETE)
     )
-    others = [c for c in raw.columns if c != data]
-    return decoded.withColumn("error_type", error).select(
+    return fields.select(
         *others,
-        F.when(F.col("error_type").isNotNull(), F.col(data)).alias(data),
-        "error_type",
-        F.col("record.body.event_type").alias("event_type"),
-        F.col("record.body.from_url").alias("from_url"),
-        F.col("record.body.details").alias("details"),
-        F.col("record.headers").alias("headers"),
-        F.col("record.identity.sourceIp").alias("source_ip"),
-        F.col("record.identity.userAgent").alias("user_agent"),
-        F.col("record.identity.requestId").alias("request_id"),
-        F.col("record.request_time").alias("request_millis"),
+        F.when(error.isNotNull(), F.col(data)).alias(data),
+        error.alias("error_type"),
+        F.col("body.event_type").alias("event_type"),
+        F.col("body.from_url").alias("from_url"),
+        F.col("body.details").alias("details"),
+        "headers",
+        F.col("identity.sourceIp").alias("source_ip"),
+        F.col("identity.userAgent").alias("user_agent"),
+        F.col("identity.requestId").alias("request_id"),
+        F.col("request_time").alias("request_millis"),
     )
 
 

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot does not compile a method above this size; run such plan parts without
+    # whole-stage code rather than interpreted (several times faster in ingest)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # merge sessions of one partition before the shuffle, so that a hot visitor sends
     # windows rather than events
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
@@ -35,6 +38,8 @@ def local_session(cpus: int | str = "*", name: str = "clickstrata") -> SparkSess
         .appName(name)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # do not record the call site of every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     spark = configure(builder.getOrCreate())

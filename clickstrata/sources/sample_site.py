@@ -7,8 +7,7 @@ SQL in ``__spark_entry__`` states the same derivation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clickstrata.session import configure
 
@@ -17,131 +16,101 @@ START = "2024-01-01"
 AS_OF = "2024-01-31"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Columns read from the sample tables; a given schema saves a look at the file footers.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
+    "pages": "page_id BIGINT, url STRING",
+    "nation": "n_nationkey BIGINT, n_name STRING",
+}
+
+_WEB_EVENTS = """
+SELECT
+  CAST(event_id AS STRING) AS event_id,
+  md5(CAST(user_id AS STRING)) AS fingerprint,
+  ts AS request_time,
+  if(event_type = 'click', 'click', 'page_load') AS event_type,
+  CASE
+    WHEN event_id % 7 = 0 THEN concat(
+      'https://site.example/visa-motion/?motion=',
+      if(event_id % 77 = 0, 'abc', CAST((user_id * event_id) % 40 AS STRING)),
+      '&lang=sv')
+    WHEN event_id % 11 = 0 THEN 'about:srcdoc'
+    WHEN event_id % 5 = 0 THEN concat(
+      url, if(contains(url, '?'), '&', '?'), 'fbclid=', CAST(event_id AS STRING))
+    ELSE url
+  END AS from_url,
+  props AS details,
+  concat(
+    '{{"browser":"B', CAST(user_id % 4 AS STRING),
+    ' 1.0","operating_system":"O', CAST(user_id % 3 AS STRING),
+    '","device_type":"',
+    CASE WHEN user_id % 10 < 5 THEN 'mobile' WHEN user_id % 10 < 9 THEN 'desktop'
+      ELSE 'tablet' END,
+    '"}}') AS user_data,
+  if(user_id % 13 != 0, concat(
+    '{{"country":{{"name":"', n_name, '","iso":"XX"}},"city":',
+    if(event_id % 5 = 0, 'null',
+       concat('"City ', CAST((user_id * user_id) % 37 AS STRING), '"')),
+    '}}'), NULL) AS geoip,
+  CAST(CAST(ts AS DATE) AS STRING) AS date_day
+FROM (
+  SELECT *, (event_id * event_id) % (SELECT count(*) FROM {pages}) AS page_id,
+    (user_id * user_id) % 25 AS n_nationkey
+  FROM {events})
+JOIN {pages} USING (page_id)
+JOIN {nation} USING (n_nationkey)
+"""
 
+_SOCIAL_DAILY = """
+SELECT CAST(CAST(ts AS DATE) AS STRING) AS date_day,
+  count_if(event_type = 'view') AS facebook_reach,
+  count_if(event_type = 'click') AS facebook_pageviews,
+  count_if(event_type = 'purchase') AS instagram_reach,
+  count_if(event_type = 'signup') AS instagram_pageviews
+FROM {events} GROUP BY 1
+"""
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
+_RAW_ENVELOPES = """
+SELECT
+  if(event_id % 97 = 0, '@@not-base64@@', base64(encode(concat(
+    '{{"body":{{"event_type":"page_load","from_url":"https://site.example/',
+    CAST(event_id % 9 AS STRING), '","details":{{}}}},',
+    '"headers":{{"CloudFront-Is-Mobile-Viewer":"', CAST(user_id % 10 < 5 AS STRING),
+    '","CloudFront-Is-Desktop-Viewer":"',
+    CAST(user_id % 10 >= 3 AND user_id % 10 < 9 AS STRING), '"}},',
+    '"identity":{{"sourceIp":"10.', CAST(user_id % 4 AS STRING), '.',
+    CAST(user_id % 200 AS STRING), '.1","userAgent":"',
+    CASE user_id % 5
+      WHEN 0 THEN '' WHEN 1 THEN 'ExampleBot/2.1'
+      WHEN 2 THEN 'Mozilla/5.0 (X11; Linux x86_64) Firefox/99.0'
+      WHEN 3 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_3 like Mac OS X) Safari/604.1'
+      ELSE 'curl' END,
+    '","requestId":"', CAST(event_id AS STRING), '"}},"request_time":',
+    CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING), '}}'), 'UTF-8'))) AS data,
+  ts AS arrived_at
+FROM {events}
+"""
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def web_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """The event table. ``events`` may be a stream of the sample table."""
+def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table."""
     configure(spark)
-    if events is None:
-        events = table(spark, sf_dir, "events")
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    page_count = pages.select(F.count(F.lit(1))).scalar()
-    event, user, url = F.col("event_id"), F.col("user_id"), F.col("url")
-    device = (
-        F.when(user % 10 < 5, "mobile").when(user % 10 < 9, "desktop").otherwise("tablet")
-    )
-    motion = F.when(event % 77 == 0, F.lit("abc")).otherwise(_text((user * event) % 40))
-    joined = (
-        events.withColumn("page_id", (event * event) % page_count)
-        .withColumn("n_nationkey", (user * user) % 25)
-        .join(pages, "page_id")
-        # always 25 rows
-        .join(F.broadcast(nations), "n_nationkey")
-    )
-    return joined.select(
-        _text(event).alias("event_id"),
-        F.md5(_text(user)).alias("fingerprint"),
-        F.col("ts").alias("request_time"),
-        F.when(F.col("event_type") == "click", "click")
-        .otherwise("page_load")
-        .alias("event_type"),
-        F.when(
-            event % 7 == 0,
-            F.concat(
-                F.lit("https://site.example/visa-motion/?motion="), motion, F.lit("&lang=sv")
-            ),
-        )
-        .when(event % 11 == 0, "about:srcdoc")
-        .when(
-            event % 5 == 0,
-            F.concat(
-                url,
-                F.when(url.contains("?"), "&").otherwise("?"),
-                F.lit("fbclid="),
-                _text(event),
-            ),
-        )
-        .otherwise(url)
-        .alias("from_url"),
-        F.col("props").alias("details"),
-        F.format_string(
-            '{"browser":"B%d 1.0","operating_system":"O%d","device_type":"%s"}',
-            user % 4, user % 3, device,
-        ).alias("user_data"),
-        F.when(
-            user % 13 != 0,
-            F.concat(
-                F.lit('{"country":{"name":"'),
-                F.col("n_name"),
-                F.lit('","iso":"XX"},"city":'),
-                F.when(event % 5 == 0, "null").otherwise(
-                    F.format_string('"City %d"', (user * user) % 37)
-                ),
-                F.lit("}"),
-            ),
-        ).alias("geoip"),
-        _text(F.col("ts").cast("date")).alias("date_day"),
-    )
+    return spark.sql(_WEB_EVENTS, **{name: table(spark, sf_dir, name) for name in SCHEMAS})
 
 
 def social_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily reach and pageviews of two networks."""
-    counted = {
-        "facebook_reach": "view",
-        "facebook_pageviews": "click",
-        "instagram_reach": "purchase",
-        "instagram_pageviews": "signup",
-    }
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy(_text(F.col("ts").cast("date")).alias("date_day"))
-        .agg(*[F.count_if(F.col("event_type") == t).alias(n) for n, t in counted.items()])
-    )
+    return spark.sql(_SOCIAL_DAILY, events=table(spark, sf_dir, "events"))
 
 
-def raw_envelopes(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as the collector delivers them; one in 97 cannot be decoded."""
     configure(spark)
-    if events is None:
-        events = table(spark, sf_dir, "events")
-    event, user = F.col("event_id"), F.col("user_id")
-    agent = (
-        F.when(user % 5 == 0, "")
-        .when(user % 5 == 1, "ExampleBot/2.1")
-        .when(user % 5 == 2, "Mozilla/5.0 (X11; Linux x86_64) Firefox/99.0")
-        .when(
-            user % 5 == 3,
-            "Mozilla/5.0 (iPhone; CPU iPhone OS 15_3 like Mac OS X) Safari/604.1",
-        )
-        .otherwise("curl")
-    )
-    record = F.format_string(
-        '{"body":{"event_type":"page_load","from_url":"https://site.example/%d","details":{}},'
-        '"headers":{"CloudFront-Is-Mobile-Viewer":"%s","CloudFront-Is-Desktop-Viewer":"%s"},'
-        '"identity":{"sourceIp":"10.%d.%d.1","userAgent":"%s","requestId":"%d"},'
-        '"request_time":%d}',
-        event % 9,
-        _text(user % 10 < 5),
-        _text((user % 10 >= 3) & (user % 10 < 9)),
-        user % 4,
-        user % 200,
-        agent,
-        event,
-        F.unix_millis(F.col("ts").cast("timestamp")),
-    )
-    return events.select(
-        F.when(event % 97 == 0, "@@not-base64@@")
-        .otherwise(F.base64(F.encode(record, "UTF-8")))
-        .alias("data"),
-        F.col("ts").alias("arrived_at"),
-    )
+    return spark.sql(_RAW_ENVELOPES, events=table(spark, sf_dir, "events"))
 
 
 def ip_blocks(spark: SparkSession) -> DataFrame:
