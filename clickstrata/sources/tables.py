@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
+from pyspark.sql.types import (
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from clickstrata.functions.times import iso_text
 from clickstrata.operators.sessions import complete_days
 from clickstrata.schemas import EVENTS, SESSION_EVENTS
 
@@ -48,8 +55,16 @@ def read_session_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store a table as headed CSV (UTF-8), in as many files as the table has partitions."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """Store a table as headed CSV (UTF-8), in as many files as the table has partitions.
+
+    Times are ISO text as the collector writes it, with all their digits.
+    """
+    times = {
+        f.name: iso_text(F.col(f.name))
+        for f in df.schema
+        if isinstance(f.dataType, (TimestampType, TimestampNTZType))
+    }
+    df.withColumns(times).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def read_session_events_csv(spark: SparkSession, path: str) -> DataFrame:
