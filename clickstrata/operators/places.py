@@ -68,19 +68,26 @@ def disjoint_places(blocks: DataFrame) -> DataFrame:
     Each such point is looked up once per level, by equality; it then holds up to the next
     point of its network. No pair of overlapping blocks is ever compared.
     """
-    spark = blocks.sparkSession
+    pieces = _aligned_pieces(blocks)
     edges = (
         blocks.where(F.col("ip_from") <= F.col("ip_to"))
         .select(F.explode(F.array("ip_from", F.col("ip_to") + 1)).alias("point"))
         .where(F.col("point") < NETWORK_SIZE * NETWORKS)
     )
-    network_starts = spark.range(NETWORKS).select((F.col("id") * NETWORK_SIZE).alias("point"))
+    # the pieces of a level do not repeat, so a network comes out once per level at most
+    networks = F.sequence(
+        F.expr(f"shiftleft(prefix, level) div {NETWORK_SIZE}"),
+        F.expr(f"(shiftleft(prefix + 1, level) - 1) div {NETWORK_SIZE}"),
+    )
+    network_starts = pieces.select(F.explode(networks).alias("network")).select(
+        (F.col("network") * NETWORK_SIZE).alias("point")
+    )
     points = edges.unionByName(network_starts).distinct()
     keys = points.select(
         "point", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("level")
     ).withColumn("prefix", F.expr("shiftright(point, level)"))
     narrowest = (
-        keys.join(_aligned_pieces(blocks), ["level", "prefix"])
+        keys.join(pieces, ["level", "prefix"])
         .groupBy("point")
         .agg(F.min("block").alias("block"))
     )

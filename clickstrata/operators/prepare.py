@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,16 +74,27 @@ def unique_visitors(
     """One row per visitor: for every column its first value that is not null.
 
     Columns of one row may thus come from different events; ``date_day`` is the day on
-    which the visitor was first seen. The aggregate is combined before the shuffle.
+    which the visitor was first seen. Among a visitor's events with the same columns null,
+    only the first one can contribute, so the events are first reduced to one whole row per
+    (visitor, null pattern), before the shuffle, and then merged column by column.
     """
     if columns is None:
         columns = [c for c in prepared.columns if c != "fingerprint"]
+    order = ["request_time", "event_id"]
+    row = F.struct(*order, *[c for c in columns if c not in order])
+    pattern = reduce(
+        lambda bits, c: bits * 2 + F.col(c).isNull().cast("int"), columns, F.lit(0).cast("bigint")
+    )
+    first_rows = (
+        prepared.where(F.col("fingerprint").isNotNull())
+        .groupBy("fingerprint", pattern.alias("null_pattern"))
+        .agg(F.min(row).alias("first"))
+        .select("fingerprint", "first.*")
+    )
     firsts = [
         F.expr(
             f"min_by(`{c}`, struct(request_time, event_id)) FILTER (WHERE `{c}` IS NOT NULL)"
         ).alias(c)
         for c in columns
     ]
-    return (
-        prepared.where(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(*firsts)
-    )
+    return first_rows.groupBy("fingerprint").agg(*firsts)

@@ -99,21 +99,18 @@ def _sessions_by_slot(slotted: DataFrame) -> DataFrame:
     in_order = session.orderBy("slot")
     gap = complete_units("MINUTE", F.col("previous_time"), F.col("first_time"))
     starts = F.col("previous_time").isNull() | (gap > INACTIVITY_MINUTES)
+    before = in_order.rowsBetween(W.unboundedPreceding, -1)
     return (
         slots.withColumn("day", F.to_date("first_time"))
         .withColumn("previous_time", F.lag("last_time").over(day))
         .withColumn("session_number", F.sum(starts.cast("int")).over(day))
-        .withColumn(
-            "events_before",
-            F.coalesce(
-                F.sum("slot_events").over(
-                    in_order.rowsBetween(W.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
+        .withColumns(
+            {
+                "events_before": F.coalesce(F.sum("slot_events").over(before), F.lit(0)),
+                "following_time": F.lead("first_time").over(in_order),
+                "session_events": F.sum("slot_events").over(session),
+            }
         )
-        .withColumn("following_time", F.lead("first_time").over(in_order))
-        .withColumn("session_events", F.sum("slot_events").over(session))
     )
 
 
@@ -129,28 +126,30 @@ def _session_id() -> Column:
 def sessionise(events: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
     """Add session columns to every event of a known visitor.
 
-    Adds ``session_id``, ``event_number`` (1-based), ``session_events`` (events of the whole
-    session), ``previous_at`` (the visitor's previous event that day) and ``next_at`` (the
-    next event of the session). Equal times are ordered by ``event_id``.
+    Adds ``day`` and ``session_number``, ``session_id``, ``event_number`` (1-based),
+    ``session_events`` (events of the whole session), ``previous_at`` (the visitor's previous
+    event that day) and ``next_at`` (the next event of the session). Equal times are ordered
+    by ``event_id``.
     """
     slotted = _with_slot(events, slot_seconds)
     in_slot = W.partitionBy("fingerprint", "slot").orderBy("request_time", "event_id")
-    numbered = (
-        slotted.withColumn("number_in_slot", F.row_number().over(in_slot))
-        .withColumn("previous_in_slot", F.lag("request_time").over(in_slot))
-        .withColumn("next_in_slot", F.lead("request_time").over(in_slot))
+    numbered = slotted.withColumns(
+        {
+            "number_in_slot": F.row_number().over(in_slot),
+            "previous_in_slot": F.lag("request_time").over(in_slot),
+            "next_in_slot": F.lead("request_time").over(in_slot),
+        }
     )
     slots = _sessions_by_slot(slotted.select("fingerprint", "request_time", "slot"))
-    return (
-        numbered.join(slots, ["fingerprint", "slot"])
-        .withColumn("session_id", _session_id())
-        .withColumn("event_number", F.col("events_before") + F.col("number_in_slot"))
-        .withColumn("previous_at", F.coalesce("previous_in_slot", "previous_time"))
-        .withColumn("next_at", F.coalesce("next_in_slot", "following_time"))
-        .drop(
-            "slot", "number_in_slot", "previous_in_slot", "next_in_slot", "first_time",
-            "last_time", "slot_events", "previous_time", "following_time", "events_before",
-        )
+    return numbered.join(slots, ["fingerprint", "slot"]).select(
+        *events.columns,
+        "day",
+        "session_number",
+        _session_id().alias("session_id"),
+        (F.col("events_before") + F.col("number_in_slot")).alias("event_number"),
+        "session_events",
+        F.coalesce("previous_in_slot", "previous_time").alias("previous_at"),
+        F.coalesce("next_in_slot", "following_time").alias("next_at"),
     )
 
 
