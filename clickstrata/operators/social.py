@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,14 +20,6 @@ def by_position(series: DataFrame, days: DataFrame, ordinal: str) -> DataFrame:
     return numbered.join(ranked.drop(ordinal), "position").drop("position")
 
 
-def _standardised(column: str, moments: DataFrame) -> Column:
-    """Distance from the mean in sample standard deviations; null for a constant series."""
-    found = moments.select(
-        F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("deviation"))
-    ).scalar()
-    return F.try_divide(F.col(column) - found["mean"], found["deviation"]).alias(column)
-
-
 def social_zscores(
     daily: DataFrame,
     facebook_reach: DataFrame,
@@ -38,7 +30,7 @@ def social_zscores(
     """Site sessions, reach and pageviews of each network on one standardised axis.
 
     ``daily`` is ``traffic_daily``; a series has ``date_day`` and ``reach`` or ``pageviews``.
-    Returns one DataFrame per network.
+    Returns one DataFrame per network. A constant series has null scores.
     """
     series = {
         "facebook_reach": (facebook_reach, "reach"),
@@ -62,6 +54,15 @@ def _network_zscores(site: DataFrame, series: dict) -> DataFrame:
             frame.select("date_day", F.col(value).alias(name)), "date_day", "left"
         )
     columns = ["site_sessions", *series]
-    return combined.select(
-        "date_day", *[_standardised(c, combined) for c in columns]
-    ).orderBy("date_day")
+    # one row with every mean and sample deviation, looked up as a single scalar
+    moments = combined.select(
+        F.struct(
+            *[F.avg(c).alias(f"mean_{c}") for c in columns],
+            *[F.stddev_samp(c).alias(f"deviation_{c}") for c in columns],
+        )
+    ).scalar()
+    scores = [
+        F.try_divide(F.col(c) - moments[f"mean_{c}"], moments[f"deviation_{c}"]).alias(c)
+        for c in columns
+    ]
+    return combined.select("date_day", *scores).orderBy("date_day")
