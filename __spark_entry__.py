@@ -32,7 +32,11 @@ from clickstrata.plans.ingest import delivered, ingest_events  # noqa: E402
 from clickstrata.plans.report import TOP_CITIES, TOP_COUNTRIES, SocialSeries, web_report  # noqa: E402
 from clickstrata.sources import sample_site  # noqa: E402
 from clickstrata.sources.shared import fresh_path, written  # noqa: E402
-from clickstrata.streaming.sessions import number_sessions, start_sessions  # noqa: E402
+from clickstrata.streaming.sessions import (  # noqa: E402
+    closed_session_events,
+    number_sessions,
+    start_sessions,
+)
 from oracle_queries import ORACLES  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -158,7 +162,7 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_events(_events(spark, sf_dir))
 
 
-def sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the streaming sessions over the sample events, then read what they stored.
 
     A closing mark two days after the last event moves the watermark past every session.
@@ -181,7 +185,15 @@ def sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_sessions(
         visits, f"{folder}/out", f"{folder}/state", available_now=True
     ).awaitTermination()
-    return number_sessions(spark.read.parquet(f"{folder}/out"))
+    return spark.read.parquet(f"{folder}/out")
+
+
+def sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return number_sessions(_closed_sessions(spark, sf_dir))
+
+
+def sessions_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closed_session_events(_closed_sessions(spark, sf_dir), _events(spark, sf_dir))
 
 
 def prepare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +349,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sessions": session_table,
         "session_events": session_events,
         "sessions_stream": sessions_stream,
+        "sessions_stream_events": sessions_stream_events,
         "prepare_events": prepare_events,
         "unique_visitors": unique_visitors,
         "traffic_daily": traffic_daily,

@@ -81,7 +81,9 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: int) ->
 
     A histogram over the distinct values is shuffled once by (key, value). Its sums per
     bucket of ``width`` values locate the middle ranks; then only the one or two buckets that
-    hold them are ranked by value.
+    hold them are ranked by value. The first window has a row per bucket, the second at most
+    ``width``: choose the width so that both fit a task. Without keys they are single windows
+    of that size.
     """
     keys = list(keys)
     histogram = (

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickstrata.operators.sessions import SESSION_EVENT_COLUMNS, session_events
 from clickstrata.session import configure
 
 #: Windows that touch are merged, so the gap is one microsecond short of 31 minutes: events
@@ -93,3 +94,16 @@ def number_sessions(closed: DataFrame) -> DataFrame:
     ).select(
         "session_id", "fingerprint", "session_start_at", "session_end_at", "session_events"
     )
+
+
+def closed_session_events(closed: DataFrame, events: DataFrame) -> DataFrame:
+    """The events of the sessions a stream has closed, as ``session_events`` gives them.
+
+    ``events`` are the stored events of the days concerned. Waiting events in stream state
+    until their session ends would hold a busy visitor's events in one task; the stored table
+    has them already. A skewed session is split by AQE, the other side has one row for it.
+    """
+    ids = number_sessions(closed).select("session_id")
+    return session_events(events).join(ids, "session_id", "left_semi").select(
+        *SESSION_EVENT_COLUMNS
+    )

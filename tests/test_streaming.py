@@ -11,7 +11,12 @@ from clickstrata.plans.ingest import delivered, ingest_events
 from clickstrata.sources import sample_site
 from clickstrata.sources.tables import read_events
 from clickstrata.streaming.ingest import OUTCOMES, start_ingest
-from clickstrata.streaming.sessions import number_sessions, sessions_stream, start_sessions
+from clickstrata.streaming.sessions import (
+    closed_session_events,
+    number_sessions,
+    sessions_stream,
+    start_sessions,
+)
 from tests.test_sessions import NOON, event, frame
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -59,6 +64,12 @@ def test_sessions_stream_equals_batch(spark):
     assert sorted(stream.collect()) == sorted(expected.collect())
 
 
+def test_events_of_closed_sessions_only(spark):
+    events = frame(spark, [event("a", NOON), event("b", NOON + timedelta(hours=1))])
+    closed = sessions_stream(events).where(F.col("session_start_at") == F.lit(NOON))
+    assert [r.event_id for r in closed_session_events(closed, events).collect()] == ["a"]
+
+
 @pytest.mark.parametrize(
     "gap, count", [(timedelta(minutes=30, microseconds=59_999_999), 1), (timedelta(minutes=31), 2)]
 )
