@@ -1,7 +1,6 @@
 """Fixed schemas of the stored tables and of the incoming records."""
 
 from pyspark.sql.types import (
-    IntegerType,
     LongType,
     MapType,
     StringType,
@@ -58,10 +57,3 @@ IP_BLOCKS = StructType(
     [StructField("ip_from", LongType()), StructField("ip_to", LongType())]
     + _strings("country_name", "country_iso", "city")
 )
-
-#: Rules that name the browser or the operating system of an agent string.
-AGENT_RULES = StructType(
-    [StructField("priority", IntegerType())]
-    + _strings("kind", "pattern", "family")
-    + [StructField("version_group", IntegerType())]
-)
