@@ -39,6 +39,15 @@ from clickstrata.streaming.sessions import (  # noqa: E402
 )
 from oracle_queries import ORACLES  # noqa: E402
 
+# The operators on training data are an optional part: without them all else works.
+try:
+    import corpus_pipeline  # noqa: E402
+    from clickstrata.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "clickstrata.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 #: Fewest sessions of a page in the page queries.
@@ -334,6 +343,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**_site_queries(), **_llm_queries()}
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_queries is None:
+        return {}
+    return {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
+
+
+def _site_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "decode_envelope": decode_envelope,
         "event_identity": event_identity,
@@ -378,4 +397,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    oracles = dict(ORACLES)
+    if llm_queries is not None:
+        oracles.update(llm_queries.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL is not None:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return oracles

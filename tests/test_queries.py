@@ -13,7 +13,11 @@ def oracle():
     return oracle_connection(SF_DIR)
 
 
-@pytest.mark.parametrize("name", queries())
+#: Queries that SQL can express; the others have tests of their own.
+COMPARED = [name for name in queries() if name in oracle_sql()]
+
+
+@pytest.mark.parametrize("name", COMPARED)
 def test_query_matches_oracle(spark, oracle, name):
     df = queries()[name](spark, SF_DIR)
     cursor = oracle.execute(oracle_sql()[name])
