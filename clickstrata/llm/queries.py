@@ -34,11 +34,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-def _digest(spans, kinds) -> Column:
+def _of_kinds(spans: Column, kinds: list[str]) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
+def _digest(spans: Column, kinds: list[str]) -> Column:
     """``kind:start:end`` of some kinds, comma-joined."""
-    of_kinds = F.filter(spans, lambda s: s["kind"].isin(*kinds))
     return F.array_join(
-        F.transform(of_kinds, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        F.transform(_of_kinds(spans, kinds), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
     )
 
 
@@ -49,8 +52,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(docs).select(
         "doc_id",
         *[
-            F.size(F.filter(spans, lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
-            for kind in base
+            F.size(_of_kinds(spans, [kind])).cast("bigint").alias(f"n_{kind}") for kind in base
         ],
         F.sha2(_digest(spans, base), 256).alias("base_sha256"),
         _digest(spans, [rule.kind for rule in secrets.RULES]).alias("spans"),

@@ -9,7 +9,9 @@ used: one runs backwards to the leftmost start, one forwards to the longest end.
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
@@ -17,6 +19,7 @@ from operator import getitem
 from re import _constants as K
 from re import _parser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +57,7 @@ BASE_RULES = (
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=20),
-    Rule("webtoken", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40),
+    Rule("webtoken", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_.-]+", least=40),
     Rule("keyblock", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
@@ -251,19 +254,36 @@ class Scanner:
             self.forward.append(_determined(single, anywhere=False))
             self.backward.append(_determined(single.reversed(), anywhere=False))
             _check_nesting(self.forward[-1], _determined(single, anywhere=True), rule.kind)
-        combined = _determined(whole, anywhere=True)
-        self.states = len(combined.rows)
+        self.combined = _determined(whole, anywhere=True)
+        self._link()
+
+    def _link(self) -> None:
         # states are the arrays themselves: an entry is the array of the next state, and entry
         # 256 names the rules that end here
-        arrays: list[list] = [[] for _ in combined.rows]
-        for array, row, ends in zip(arrays, combined.rows, combined.rules, strict=True):
+        arrays: list[list] = [[] for _ in self.combined.rows]
+        for array, row, ends in zip(
+            arrays, self.combined.rows, self.combined.rules, strict=True
+        ):
             array.extend(arrays[t] for t in row)
             array.append(ends)
         self.first = arrays[0]
         self.exact = [
-            re.compile(r.pattern.encode(), re.IGNORECASE if r.fold else 0) for r in rules
+            re.compile(r.pattern.encode(), re.IGNORECASE if r.fold else 0) for r in self.rules
         ]
 
+    def __getstate__(self):
+        table = np.array(self.combined.rows, np.uint16 if self.states < 65536 else np.uint32)
+        return self.rules, self.forward, self.backward, table, self.combined.rules
+
+    def __setstate__(self, state):
+        self.rules, self.forward, self.backward, table, ends = state
+        self.combined = Automaton(table.tolist(), ends, None)
+        self._link()
+
+    @property
+    def states(self) -> int:
+        return len(self.combined.rows)
+
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule number, end) of every secret, in bytes, by start and then rule."""
         ends = [
@@ -305,17 +325,28 @@ class Scanner:
 
 
 @lru_cache(maxsize=4)
-def scanner(rules: tuple[Rule, ...]) -> Scanner:
-    """Compiled once in each worker."""
+def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
+    """Compiled once, by the driver; some thousand states at any data size."""
     return Scanner(rules)
 
 
-def find_secrets(text: str | None, rules: tuple[Rule, ...] = RULES) -> list[dict]:
+@lru_cache(maxsize=4)
+def _packed(rules: tuple[Rule, ...]) -> bytes:
+    return zlib.compress(pickle.dumps(scanner(rules)), 1)
+
+
+@lru_cache(maxsize=4)
+def _unpacked(packed: bytes) -> Scanner:
+    """The scanner that came with a task, kept by the worker."""
+    return pickle.loads(zlib.decompress(packed))
+
+
+def find_secrets(text: str | None, scan: Scanner) -> list[dict]:
     """Spans of one text in code points, end exclusive, by start and then rule order."""
     if not text:
         return []
-    data = text.encode("utf-8", "surrogatepass")
-    found = scanner(rules).spans(data)
+    data, rules = text.encode("utf-8", "surrogatepass"), scan.rules
+    found = scan.spans(data)
     if found and len(data) != len(text):
         # positions in characters: count the bytes that begin one
         marks = sorted({p for start, _, end in found for p in (start, end)})
@@ -330,9 +361,12 @@ def find_secrets(text: str | None, rules: tuple[Rule, ...] = RULES) -> list[dict
 def secret_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """All secrets of a text: array of (kind, start, end). Null and empty texts have none."""
 
+    packed = _packed(rules)
+
     @F.arrow_udf("array<struct<kind:string,start:bigint,end:bigint>>")
     def spans(texts: pa.Array) -> pa.Array:
-        return pa.array((find_secrets(t.as_py(), rules) for t in texts), pa.list_(SPAN))
+        scan = _unpacked(packed)
+        return pa.array((find_secrets(t.as_py(), scan) for t in texts), pa.list_(SPAN))
 
     return spans(text)
 
@@ -356,11 +390,14 @@ def redact_secrets(
     texts.
     """
 
+    packed = _packed(rules)
+
     @F.arrow_udf("string")
     def redact(texts: pa.Array) -> pa.Array:
+        scan = _unpacked(packed)
         return pa.array(
             (
-                text and redacted(text, find_secrets(text, rules), mark)
+                text and redacted(text, find_secrets(text, scan), mark)
                 for text in (t.as_py() for t in texts)
             ),
             pa.string(),
