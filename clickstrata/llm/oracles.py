@@ -1,0 +1,60 @@
+"""SQL for DuckDB that computes the results of some queries, each in a plain way of its own."""
+
+#: Lower-cases A-Z only.
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DECONTAMINATION_WORDS = (
+    "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_DECONTAMINATION_WORDS.format("text")} AS w FROM documents),
+b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, {_DECONTAMINATION_WORDS.format("text")} AS w
+    FROM benchmark WHERE item_id IS NOT NULL
+),
+phrases AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n,
+        array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS p
+    FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+places AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS p
+    FROM d, (SELECT DISTINCT n FROM phrases) AS s, unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+hits AS (
+    SELECT doc_id, item_id, i, places.n FROM places JOIN phrases
+    ON places.p = phrases.p AND places.n = phrases.n
+),
+words AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, n)) AS t(k)
+    GROUP BY doc_id
+),
+items AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
+    FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
+NEIGHBOURS = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {
+    "op2_decontamination": DECONTAMINATION,
+}

@@ -10,8 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm import html_text, secrets, tokens, toxicity
+from clickstrata.llm import (
+    decontamination,
+    html_text,
+    mixing,
+    neighbours,
+    secrets,
+    similarity,
+    tokens,
+    toxicity,
+)
 from clickstrata.llm.common import table, workers_find_package
+from clickstrata.llm.oracles import ORACLES
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
@@ -26,14 +36,44 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity_model(spark, sf_dir))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontamination.find_contamination(
+        docs, table(spark, sf_dir, "benchmark", "item_id", "text")
+    )
+    n_hit = decontamination.covered(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.similarity_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
+    return mixing.mix_sources(docs).drop("lang", "n_chars")
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 def _of_kinds(spans: Column, kinds: list[str]) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 
@@ -59,7 +99,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op1_toxicity, op3_html_extraction, op6_token_counts, op8_secret_scan)
+_QUERIES = (
+    op1_toxicity,
+    op2_decontamination,
+    op3_html_extraction,
+    op4_ngram_jaccard_join,
+    op6_token_counts,
+    op7_source_mixing,
+    op8_secret_scan,
+    op10_nearest_neighbours,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -74,4 +123,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
