@@ -15,6 +15,7 @@ from clickstrata.llm import (
     html_text,
     mixing,
     neighbours,
+    repeats,
     secrets,
     similarity,
     tokens,
@@ -69,6 +70,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).drop("lang", "n_chars")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
@@ -107,6 +112,7 @@ _QUERIES = (
     op6_token_counts,
     op7_source_mixing,
     op8_secret_scan,
+    op9_substring_dedup,
     op10_nearest_neighbours,
 )
 
