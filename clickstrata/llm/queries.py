@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clickstrata.llm import (
     decontamination,
     html_text,
+    licences,
     mixing,
     neighbours,
     repeats,
@@ -61,6 +62,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similarity_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return licences.scan_licences(docs, licences.train(docs))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -109,6 +115,7 @@ _QUERIES = (
     op2_decontamination,
     op3_html_extraction,
     op4_ngram_jaccard_join,
+    op5_licence_scan,
     op6_token_counts,
     op7_source_mixing,
     op8_secret_scan,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from clickstrata.llm import secrets, toxicity  # noqa: E402
+from clickstrata.llm import decontamination, mixing, secrets, similarity, toxicity  # noqa: E402
 from clickstrata.llm.common import table, workers_find_package  # noqa: E402
 from clickstrata.llm.queries import toxicity_model  # noqa: E402
 from clickstrata.sources.shared import written  # noqa: E402
@@ -25,18 +25,39 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity_model(spark, sf_dir))
 
 
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of the documents that links of five-word shingles connect, the smallest id stays."""
+    workers_find_package(spark)
+    return similarity.keep_one(docs, shingle=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat ten words of a benchmark text go."""
+    workers_find_package(spark)
+    benchmark = table(spark, sf_dir, "benchmark", "item_id", "text")
+    return decontamination.drop_contaminated(docs, benchmark)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
     workers_find_package(spark)
     return secrets.redact_secrets(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays and gets its place in the mixture of sources."""
+    return mixing.mix_sources(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
-    ("secrets", redact_secrets),
+    ("ngram_jaccard_join", keep_one_of_similar),
+    ("benchmark_decontamination", drop_contaminated),
+    ("secret_scans", redact_secrets),
+    ("source_mixing", mix_sources),
 ]
 
-#: Trained and automaton stages are not expressible in SQL; tests compare them by hand.
+#: A trained classifier is not expressible in SQL; tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 
