@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from clickstrata.sources.shared import fresh_path
+
 #: Words a worker remembers at once; its memory is emptied when it holds more.
 REMEMBERED_WORDS = 300_000
 
@@ -38,6 +41,53 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).select(*columns)
 
 
+#: With it, a query's shuffle files go when the query ends, not when memory runs low.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back; what was shuffled to make it is not kept."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Tables of one computation, in a folder of its own in the cluster's shared folder."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, fresh_path(spark, name)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        return stored(df, fresh_path(self.spark, name, self.folder))
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """A table that outlives the workspace."""
+        return stored(df, f"{self.folder}-result")
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[Workspace]:
+    """A workspace whose tables are removed at the end; results written by it stay."""
+    work = Workspace(spark, name)
+    try:
+        yield work
+    finally:
+        work.remove()
+
+
 def texts_of(column) -> Iterator[bytes]:
     """The texts of an Arrow string column as UTF-8, one at a time; a null has no text."""
     for value in column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.sources.shared import written
+from clickstrata.llm.common import Workspace
 
 
 def _nearest(links: DataFrame) -> DataFrame:
@@ -32,17 +32,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("a", F.col("low").alias("b")))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """``node, component`` (its smallest reachable node) of every node in ``edges`` (a, b).
 
     The edges are rewritten, round by round, until they are stars; rounds grow with the
-    logarithm of the graph's size. Each round's edges are a table in the shared folder.
+    logarithm of the graph's size. Each round's edges are a table of ``work``.
     Nulls and loops are ignored.
     """
-    edges = written(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    edges = work.written(edges.where("a <> b").select("a", "b").distinct(), "edges")
     mark = None
     while True:
-        edges = written(
+        edges = work.written(
             _small_star(_large_star(edges)).where("a <> b").distinct(), "edges"
         )
         now = edges.agg(

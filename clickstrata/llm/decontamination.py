@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import WORD_BYTES, texts_of
-from clickstrata.sources.shared import fresh_path
+from clickstrata.llm.common import WORD_BYTES, Workspace, texts_of, workspace
 
 #: Words of a test phrase.
 WINDOW = 10
@@ -98,13 +97,9 @@ def index_segments(docs: DataFrame, segment_words: int = SEGMENT_WORDS) -> DataF
     return narrow.mapInArrow(build, SEGMENT)
 
 
-def stored_index(docs: DataFrame) -> DataFrame:
-    """The index, written to the cluster's shared folder and read from there."""
-    spark = docs.sparkSession
-    path = fresh_path(spark, "positional-index")
-    index = index_segments(docs).withColumn("segment", F.uuid())
-    index.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(index.schema).parquet(path)
+def stored_index(docs: DataFrame, work: Workspace) -> DataFrame:
+    """The index as a table of ``work``; its segments have names."""
+    return work.written(index_segments(docs).withColumn("segment", F.uuid()), "index")
 
 
 class Segment:
@@ -307,7 +302,8 @@ def find_contamination(
     Null and empty texts have no words and no hits. Repeated rows are answered each; a null id
     stays null; an empty table gives an empty result; other columns are ignored.
     """
-    return search(stored_index(docs), items, window, slop)
+    with workspace(docs.sparkSession, "decontamination") as work:
+        return work.result(search(stored_index(docs, work), items, window, slop))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

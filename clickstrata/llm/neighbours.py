@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickstrata.sources.shared import written
+from clickstrata.llm.common import Workspace, workspace
 
 #: Vectors of a shard and queries of a block, about.
 SHARD_ROWS = 8192
@@ -139,8 +139,8 @@ def _arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return ids, flat.reshape(len(ids), -1)
 
 
-def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per shard and width of vectors: the shard's tree. Stored in the shared folder."""
+def build_index(vectors: DataFrame, work: Workspace, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row per shard and width of vectors: the shard's tree. A table of ``work``."""
 
     def build(table: pa.Table) -> pa.Table:
         tree = Tree(*_arrays(table))
@@ -154,7 +154,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
     dealt = _dealt(vectors, shard_rows, "shard")
     trees = dealt.groupBy("shard", "width").applyInArrow(build, "shard int, width int, tree binary")
-    return written(trees, "vantage-trees")
+    return work.written(trees, "vantage-trees")
 
 
 def search(
@@ -215,5 +215,6 @@ def nearest_neighbours(
     Candidates are all usable rows but the query's own, of the same width; with fewer than
     ``k``, all of them. Ties go to the smaller id. Empty tables give an empty result.
     """
-    rows = written(usable(vectors), "vectors")
-    return search(build_index(rows), rows.where(is_query), k, factor)
+    with workspace(vectors.sparkSession, "neighbours") as work:
+        rows = work.written(usable(vectors), "vectors")
+        return work.result(search(build_index(rows, work), rows.where(is_query), k, factor))

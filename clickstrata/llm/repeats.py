@@ -24,8 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import WordHashes, mixed, shingle_hashes, texts_of
-from clickstrata.sources.shared import written
+from clickstrata.llm.common import (
+    WordHashes,
+    Workspace,
+    mixed,
+    shingle_hashes,
+    texts_of,
+    workspace,
+)
 
 #: Words of a window, and of the anchor it names.
 WINDOW = 20
@@ -220,7 +226,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int, anchor: int, work: Workspace) -> DataFrame:
     """``doc, content, a, b``: words ``a`` to ``b`` of a text are in windows that go.
 
     Spans of a text may overlap. See ``remove_repeats`` for the rule.
@@ -231,8 +237,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         F.count(F.lit(1)).alias("count"), F.min("doc").alias("owner")
     )
     recurring = recurring.where("count > 1").select("anchor", "owner")
-    pairs = written(rows.join(recurring, "anchor"), "recurring-anchors")
-    routes = written(pairs.select("doc", "owner").distinct(), "routes")
+    pairs = work.written(rows.join(recurring, "anchor"), "recurring-anchors")
+    routes = work.written(pairs.select("doc", "owner").distinct(), "routes")
     shards = routes.count() // SHARD_ROUTES + 1
     shard = F.pmod(F.xxhash64("owner"), F.lit(shards))
     visits = routes.select("doc", shard.alias("shard")).distinct()
@@ -256,7 +262,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         "anchors",
     )
     sent = keyed.join(visits.unionByName(owners), "doc")
-    found = written(
+    found = work.written(
         sent.groupBy("shard", "piece").applyInArrow(_scanned(window, anchor), FOUND), "found-repeats"
     )
     opened = found.where("kind = 1")
@@ -285,9 +291,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     count as one document: between their texts, the earlier start decides, and equal rows get
     equal results. An empty table gives an empty result; other columns are ignored.
     """
-    spans = repeated_spans(docs, window, anchor).groupBy("doc", "content").agg(
-        F.collect_list(F.struct("a", "b")).alias("spans")
-    )
+    with workspace(docs.sparkSession, "repeats") as work:
+        each = repeated_spans(docs, window, anchor, work).groupBy("doc", "content")
+        spans = work.result(each.agg(F.collect_list(F.struct("a", "b")).alias("spans")))
     same = ["doc", "content"]
     joined = _keyed(docs).join(spans, same, "left").select("doc", "text", "spans")
 

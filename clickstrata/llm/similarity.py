@@ -29,9 +29,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import LOWER, WordHashes, mixed, shingle_hashes, texts_of
+from clickstrata.llm.common import (
+    LOWER,
+    WordHashes,
+    Workspace,
+    mixed,
+    shingle_hashes,
+    texts_of,
+    workspace,
+)
 from clickstrata.llm.components import components
-from clickstrata.sources.shared import fresh_path, written
 
 #: Words of a shingle, and the similarity in percent from which sets link.
 SHINGLE = 3
@@ -66,17 +73,17 @@ def set_id(tokens: np.ndarray) -> bytes | None:
 @lru_cache(maxsize=8)
 def _bands(percent: int, largest: int) -> list[int]:
     """First size of each band. A set's partners are in its band or a neighbouring one."""
-    firsts = [1]
-    while firsts[-1] <= largest:
-        firsts.append(firsts[-1] * 100 // percent + 1)
+    firsts = [1, 2]
+    while firsts[-2] <= largest:
+        firsts.append(firsts[-1] * 10000 // percent**2 + 1)
     return firsts
 
 
 def part_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of a set's parts, one of which it shares with every set that it links to.
 
-    Both sets use the band of the smaller one, so a set has keys for its own band and the one
-    below. A part without tokens is left out, unless the set has so many of them that the parts
+    Both sets use the band of the smaller one, so a set has keys for its own band, and for the
+    one below if that can hold a partner. A part without tokens is left out, unless the set has so many of them that the parts
     with tokens may all differ.
     """
     if not len(tokens):
@@ -85,7 +92,8 @@ def part_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     band = int(np.searchsorted(firsts, len(tokens), "right")) - 1
     deal, content = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), mixed(tokens)
     keys = []
-    for b in {band, max(0, band - 1)}:
+    lower = band and (firsts[band] - 1) * 100 >= percent * len(tokens)
+    for b in (band, band - 1)[: 1 + bool(lower)]:
         differ = (firsts[b + 1] - 1) * (100 - percent) // percent
         count = differ + 1 + SPARE_PARTS
         part = ((deal >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
@@ -131,15 +139,15 @@ def sketches(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 # Families and groups -----------------------------------------------------------------------
 
 
-def families(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """Sets that share parts: ``node, family, grp``, and the groups of families with several."""
     parts = sets.select("node", F.explode("parts").alias("part")).repartition("part")
     often = parts.groupBy("part").agg(
         F.count(F.lit(1)).alias("count"), F.min("node").alias("first")
     )
-    shared = written(parts.join(often.where("count > 1"), "part"), "shared-parts")
+    shared = work.written(parts.join(often.where("count > 1"), "part"), "shared-parts")
     # sets of one band can meet in the band's and the lower band's parts
-    found = components(shared.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    found = components(shared.select(F.col("node").alias("a"), F.col("first").alias("b")), work)
     most = shared.groupBy("node").agg(
         F.max(F.struct("count", "part")).alias("most")
     )
@@ -148,7 +156,7 @@ def families(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     sizes = placed.groupBy("family", "part").count()
     pieces = F.pmod(F.xxhash64("node"), (F.col("count") / GROUP_ROWS).cast("bigint") + 1)
-    members = written(
+    members = work.written(
         placed.join(sizes, ["family", "part"]).select(
             "node", "family", F.xxhash64("part", pieces).alias("grp")
         ),
@@ -156,7 +164,7 @@ def families(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     groups = members.select("family", "grp").distinct()
     several = groups.groupBy("family").count().where("count > 1").select("family")
-    return members, written(groups.join(several, "family"), "family-groups")
+    return members, work.written(groups.join(several, "family"), "family-groups")
 
 
 def pivots(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -250,7 +258,7 @@ def _opened(percent: int, visits: bool):
     return links
 
 
-def _token_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
+def _token_sets(docs: DataFrame, members: DataFrame, shingle: int, work: Workspace) -> DataFrame:
     """The members with the tokens of their sets."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,21 +279,23 @@ def _token_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
     made = joined.mapInArrow(
         tokens, "node bigint, family bigint, grp bigint, set_id binary, tokens binary"
     )
-    return written(made.dropDuplicates(["node", "set_id"]).drop("set_id"), "family-sets")
+    return work.written(made.dropDuplicates(["node", "set_id"]).drop("set_id"), "family-sets")
 
 
-def set_links(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
+def set_links(
+    docs: DataFrame, sets: DataFrame, ids: DataFrame, shingle: int, percent: int, work: Workspace
+) -> DataFrame:
     """Spanning links (a, b) between different sets, named by the smallest id that has each."""
-    members, groups = families(sets)
-    named = members.join(sets.select("node", "set_id"), "node")
-    tokens = _token_sets(docs, named, shingle)
+    members, groups = families(sets, work)
+    named = members.join(ids, "node")
+    tokens = _token_sets(docs, named, shingle, work)
     chosen = pivots(members, groups)
     pivot_rows = (
         tokens.drop("grp").join(chosen, ["family", "node"]).join(groups, "family")
     ).select("node", "family", "grp", "tokens", F.lit(0).alias("kind"))
     member_rows = tokens.select("node", "family", "grp", "tokens", F.lit(1).alias("kind"))
     by_group = pivot_rows.unionByName(member_rows).groupBy("family", "grp")
-    inside = written(by_group.applyInArrow(_opened(percent, False), LINKS), "group-links")
+    inside = work.written(by_group.applyInArrow(_opened(percent, False), LINKS), "group-links")
     lost = inside.where("b IS NULL").select(F.col("a").alias("node"), "family", F.col("grp").alias("own"))
     visitors = (
         lost.join(tokens.drop("grp", "family"), "node")
@@ -315,16 +325,17 @@ def similarity_classes(
     text, if a row with an id has that. An empty table gives an empty result; other columns
     are ignored.
     """
-    spark = docs.sparkSession
-    path = fresh_path(spark, "sketches")
-    made = sketches(docs, shingle, percent)
-    made.write.option("compression", "zstd").parquet(path)
-    rows = spark.read.schema(made.schema).parquet(path)
+    with workspace(docs.sparkSession, "similarity") as work:
+        return work.result(_classes(docs, shingle, percent, work))
+
+
+def _classes(docs: DataFrame, shingle: int, percent: int, work: Workspace) -> DataFrame:
+    rows = work.written(sketches(docs, shingle, percent), "sketches")
     named = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     sets = named.groupBy("set_id").agg(
         F.min("doc_id").alias("node"), F.min_by("parts", "doc_id").alias("parts")
     )
-    ids = written(sets.drop("parts"), "sets")
+    ids = work.written(named.groupBy("set_id").agg(F.min("doc_id").alias("node")), "sets")
     # the same id with several texts: their sets belong together
     several = named.select("doc_id", "set_id").join(ids, "set_id").groupBy("doc_id").agg(
         F.min("node").alias("low"), F.max("node").alias("high")
@@ -332,9 +343,8 @@ def similarity_classes(
     repeated = (
         named.select("doc_id", "set_id").join(several, "doc_id").join(ids, "set_id")
     ).select(F.col("node").alias("a"), F.col("low").alias("b"))
-    links = set_links(docs, sets, shingle, percent).unionByName(repeated)
-    classes = components(links)
-    known = ids.join(classes, "node", "left").select(
+    links = set_links(docs, sets, ids, shingle, percent, work).unionByName(repeated)
+    known = ids.join(components(links, work), "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component")
     )
     return rows.join(known, "set_id", "left").select(
