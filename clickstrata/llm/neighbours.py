@@ -62,6 +62,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.square(a - b).sum(axis=-1))
 
 
+def exact_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The same, added component by component: the same number in any engine."""
+    return np.sqrt(np.cumsum(np.square(a - b), axis=-1)[..., -1])
+
+
 class Search:
     """The ``k`` nearest of one tree for a block of queries together."""
 
@@ -182,12 +187,15 @@ def search(
             for packed_tree, packed_block in zip(batch.column(0), batch.column(1), strict=True):
                 ids, vectors = pickle.loads(packed_block.as_py())
                 done = Search(pickle.loads(packed_tree.as_py()), ids, vectors, k, factor)
-                real = np.isfinite(done.best)
+                tree, real = done.tree, np.isfinite(done.best)
+                order = np.argsort(tree.ids)
+                rows = order[np.searchsorted(tree.ids[order], done.found[real])]
+                asked = np.broadcast_to(vectors[:, None, :], (*real.shape, vectors.shape[1]))[real]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.broadcast_to(ids[:, None], real.shape)[real]),
                         pa.array(done.found[real]),
-                        pa.array(done.best[real]),
+                        pa.array(exact_distances(asked, tree.vectors[rows])),
                     ],
                     ["query_id", "vec_id", "score"],
                 )

@@ -55,6 +55,62 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+_PLAIN_WORDS = r"[^\x20\x09-\x0D]+"
+
+SIMILARITY = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '{_PLAIN_WORDS}') AS w FROM documents
+),
+sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS s
+    FROM d, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM sets AS a JOIN sets AS b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * common.n >= 90 * (x.n + y.n - common.n)
+),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+),
+least_of AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d JOIN least_of ON d.doc_id = least_of.doc_id LEFT JOIN sizes ON d.doc_id = sizes.doc_id
+"""
+
+REPEATS = f"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_PLAIN_WORDS}') AS w FROM documents
+),
+windows AS (
+    SELECT doc_id, i, row_number() OVER (
+        PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i
+    ) AS turn
+    FROM d, unnest(range(1, len(w) - 18)) AS t(i)
+),
+gone AS (
+    SELECT DISTINCT doc_id, i + k AS i FROM windows, unnest(range(0, 20)) AS t(k) WHERE turn > 1
+),
+words AS (SELECT doc_id, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+kept AS (
+    SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS text, count(*) AS n
+    FROM words ANTI JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i
+    GROUP BY words.doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
 ORACLES = {
     "op2_decontamination": DECONTAMINATION,
+    "op4_ngram_jaccard_join": SIMILARITY,
+    "op9_substring_dedup": REPEATS,
+    "op10_nearest_neighbours": NEIGHBOURS,
 }
