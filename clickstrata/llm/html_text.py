@@ -192,12 +192,12 @@ def _densities(order: list[Node], body: Node) -> None:
         node.density = chars / tags * math.log(max(ratio, 1.0)) / math.log(max(base, 1.0001))
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """Roots of the subtrees that hold the main text, in page order."""
+def main_nodes(root: Node) -> tuple[list[Node], float]:
+    """Roots of the subtrees that hold the main text, in page order, and the threshold."""
     order = _measure(root)
     body = next((n for n in order if n.name == "body"), root)
     if not body.chars:
-        return []
+        return [], 0.0
     _densities(order, body)
 
     def density_sum(node: Node) -> float:
@@ -218,7 +218,7 @@ def main_nodes(root: Node) -> list[Node]:
             found.append(node)
         elif node is body or _below(best, node):
             todo += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return found
+    return found, threshold
 
 
 def _is_content(node: Node, threshold: float) -> bool:
@@ -238,7 +238,14 @@ def _below(node: Node, above: Node) -> bool:
     return False
 
 
-def blocks_of(nodes: list[Node]) -> list[str]:
+def _is_menu(node: Node, threshold: float) -> bool:
+    """A sparse part of several links that are most of its text."""
+    return (
+        node.link_tags > 1 and 2 * node.link_chars > node.chars and node.density < threshold
+    )
+
+
+def blocks_of(nodes: list[Node], threshold: float) -> list[str]:
     """Their texts, one per block: references decoded, white space as single spaces."""
     blocks: list[list[str]] = [[]]
     for top in nodes:
@@ -254,6 +261,8 @@ def blocks_of(nodes: list[Node]) -> list[str]:
                 blocks[-1].append(" ")
             elif item.name in BLOCKS:
                 blocks.append([])
+                if _is_menu(item, threshold):
+                    continue
                 todo += [None, *reversed(item.children)]
             else:
                 todo += reversed(item.children)
@@ -263,7 +272,7 @@ def blocks_of(nodes: list[Node]) -> list[str]:
 
 def main_text(html: str | None) -> str:
     """The main text of one page; empty for null, empty and textless pages."""
-    return "\n".join(blocks_of(main_nodes(parse(html)))) if html else ""
+    return "\n".join(blocks_of(*main_nodes(parse(html)))) if html else ""
 
 
 def page_text(html: Column) -> Column:
