@@ -19,6 +19,7 @@ from clickstrata.schemas import ENVELOPE
 
 #: Why a record could not be processed. Null for a sound one.
 NOT_BASE64 = "not-base64"
+NOT_UTF8 = "not-utf8"
 NOT_JSON = "not-json"
 INCOMPLETE = "incomplete"
 
@@ -49,6 +50,7 @@ def decode_envelope(raw: DataFrame, data: str = "data") -> DataFrame:
     missing = reduce(lambda found, c: found | c.isNull(), required, F.lit(False))
     error = (
         F.when(F.col("record_text").isNull(), NOT_BASE64)
+        .when(~F.is_valid_utf8("record_text"), NOT_UTF8)
         .when(F.col("malformed").isNotNull(), NOT_JSON)
         .when(missing, INCOMPLETE)
     )

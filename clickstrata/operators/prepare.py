@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,9 +81,7 @@ def unique_visitors(
         columns = [c for c in prepared.columns if c != "fingerprint"]
     order = ["request_time", "event_id"]
     row = F.struct(*order, *[c for c in columns if c not in order])
-    pattern = reduce(
-        lambda bits, c: bits * 2 + F.col(c).isNull().cast("int"), columns, F.lit(0).cast("bigint")
-    )
+    pattern = F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in columns])
     first_rows = (
         prepared.where(F.col("fingerprint").isNotNull())
         .groupBy("fingerprint", pattern.alias("null_pattern"))

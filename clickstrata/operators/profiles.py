@@ -50,11 +50,13 @@ def group_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum("first_session_event").alias("entries"),
         F.sum("last_session_event").alias("exits"),
     )
-    several = ~F.col("by_time") & (F.col("pageviews") > 1)
+    # events without a session id are events, but no session
+    in_session = ~F.col("by_time") & F.col("session_id").isNotNull()
+    several = in_session & (F.col("pageviews") > 1)
     per_visitor = reduced.groupBy(*keys, "by_time", _SECONDS, "fingerprint").agg(
         *_sums("rows", *_COUNTS),
         F.count("session_id").alias("sessions"),
-        F.count_if(~F.col("by_time") & (F.col("pageviews") == 1)).alias("one_event_sessions"),
+        F.count_if(in_session & (F.col("pageviews") == 1)).alias("one_event_sessions"),
         F.count_if(several).alias("multi_event_sessions"),
         F.sum(F.when(several, F.col("pageviews")).otherwise(0)).alias("multi_event_pageviews"),
     )

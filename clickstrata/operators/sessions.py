@@ -72,7 +72,8 @@ def _check_slot(slot_seconds: int) -> None:
         raise ValueError("slot_seconds must divide a day and not exceed the inactivity limit")
 
 
-def _slot(time: Column, slot_seconds: int) -> Column:
+def time_slot(time: Column, slot_seconds: int) -> Column:
+    """Start of the slot of a time, in microseconds."""
     width = slot_seconds * MICROS_PER_SECOND
     return micros(time) - F.pmod(micros(time), F.lit(width))
 
@@ -83,7 +84,7 @@ def _with_slot(events: DataFrame, slot_seconds: int) -> DataFrame:
     return (
         with_parsed_time(events)
         .where(F.col("fingerprint").isNotNull() & F.col("request_time").isNotNull())
-        .withColumn("slot", _slot(F.col("request_time"), slot_seconds))
+        .withColumn("slot", time_slot(F.col("request_time"), slot_seconds))
     )
 
 

@@ -38,11 +38,11 @@ def read_events(
 def write_session_events(session_events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store session events as Parquet by day.
 
-    Rows are spread by day and a hash of the visitor's session, so a busy day is written by
-    several tasks and a folder does not get a file from every task.
+    Rows are rebalanced by day: a busy day is split by its bytes into as many tasks and files
+    as it needs, and a folder does not get a file from every task.
     """
     (
-        session_events.repartition("date_day", F.pmod(F.xxhash64("event_id"), F.lit(16)))
+        session_events.hint("rebalance", "date_day")
         .write.mode(mode)
         .partitionBy("date_day")
         .parquet(path)

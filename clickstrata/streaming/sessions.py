@@ -12,8 +12,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickstrata.operators.sessions import SESSION_EVENT_COLUMNS, session_events
-from clickstrata.session import configure
+from clickstrata.functions.times import complete_units, with_parsed_time
+from clickstrata.operators.sessions import (
+    SESSION_EVENT_COLUMNS,
+    SLOT_SECONDS,
+    flat_events,
+    time_slot,
+)
+from clickstrata.session import require_utc
 
 #: Windows that touch are merged, so the gap is one microsecond short of 31 minutes: events
 #: exactly 31 minutes apart are in two sessions, as in the batch form.
@@ -29,7 +35,7 @@ def sessions_stream(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     The event day is part of the key, which cuts sessions at UTC midnight. Rows come out once
     the watermark has passed the end of the session. Works on a batch too.
     """
-    configure(events.sparkSession)
+    require_utc(events.sparkSession)
     return (
         events.where(F.col("fingerprint").isNotNull() & F.col("request_time").isNotNull())
         .select("fingerprint", F.col("request_time").cast("timestamp").alias("request_time"))
@@ -76,8 +82,8 @@ def start_sessions(
     return writer.start(root)
 
 
-def number_sessions(closed: DataFrame) -> DataFrame:
-    """Give stored sessions their ``session_id`` when they are read.
+def number_sessions(closed: DataFrame, *others: str) -> DataFrame:
+    """Give stored sessions their ``session_id`` when they are read, beside ``others``.
 
     The number counts a visitor's sessions of a day, which is known only when the day is
     over. A day holds fewer than fifty sessions of one visitor, so the window is small.
@@ -92,18 +98,80 @@ def number_sessions(closed: DataFrame) -> DataFrame:
             F.row_number().over(in_day).cast("string"),
         ),
     ).select(
-        "session_id", "fingerprint", "session_start_at", "session_end_at", "session_events"
+        "session_id",
+        "fingerprint",
+        "session_start_at",
+        "session_end_at",
+        "session_events",
+        *others,
     )
 
 
-def closed_session_events(closed: DataFrame, events: DataFrame) -> DataFrame:
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the query's recent batches left out because they came too late.
+
+    A row is counted after its task has merged the windows of one visitor that touch.
+    """
+    return sum(
+        int(state.numRowsDroppedByWatermark)
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    )
+
+
+def closed_session_events(
+    closed: DataFrame, events: DataFrame, slot_seconds: int = SLOT_SECONDS
+) -> DataFrame:
     """The events of the sessions a stream has closed, as ``session_events`` gives them.
 
-    ``events`` are the stored events of the days concerned. Waiting events in stream state
-    until their session ends would hold a busy visitor's events in one task; the stored table
-    has them already. A skewed session is split by AQE, the other side has one row for it.
+    Sessions are those of the stream: an event belongs to one if it is the same visitor's, of
+    the same event day, and from its first to its last time. An event that came too late for
+    the stream is in no session, or inside one, and never moves the others.
+
+    ``events`` are stored events; days of arrival before the first closed day are not read.
+    Waiting events in stream state until their session ends would hold a busy visitor's events
+    in one task; the stored table has them already. A visitor's day has fewer than fifty
+    sessions, which AQE repeats for the parts of a skewed visitor, and events are numbered
+    within slots of time, as in the batch form.
     """
-    ids = number_sessions(closed).select("session_id")
-    return session_events(events).join(ids, "session_id", "left_semi").select(
-        *SESSION_EVENT_COLUMNS
+    found = number_sessions(closed, "day").select(
+        "fingerprint",
+        "day",
+        "session_id",
+        F.col("session_start_at").alias("starts"),
+        F.col("session_end_at").alias("ends"),
+    )
+    first_day = closed.select(F.min("day").cast("string")).scalar()
+    flat = with_parsed_time(flat_events(events.where(F.col("date_day") >= first_day)))
+    matched = (
+        flat.withColumn("day", F.to_date("request_time"))
+        .join(found, ["fingerprint", "day"])
+        .where(F.col("request_time").between(F.col("starts"), F.col("ends")))
+        .withColumn("slot", time_slot(F.col("request_time"), slot_seconds))
+    )
+    in_order = W.partitionBy("session_id").orderBy("slot")
+    slots = (
+        matched.groupBy("session_id", "slot")
+        .agg(F.min("request_time").alias("first_time"), F.count(F.lit(1)).alias("slot_events"))
+        .withColumn(
+            "before",
+            F.coalesce(
+                F.sum("slot_events").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+            ),
+        )
+        .withColumn("following", F.lead("first_time").over(in_order))
+    )
+    in_slot = W.partitionBy("session_id", "slot").orderBy("request_time", "event_id")
+    next_time = F.coalesce(F.col("next_in_slot"), F.col("following"))
+    return (
+        matched.withColumn("number", F.row_number().over(in_slot))
+        .withColumn("next_in_slot", F.lead("request_time").over(in_slot))
+        .join(slots.drop("first_time"), ["session_id", "slot"])
+        .withColumn("event_number", (F.col("before") + F.col("number")).cast("bigint"))
+        .withColumn(
+            "seconds_to_next_event_in_session",
+            complete_units("SECOND", F.col("request_time"), next_time),
+        )
+        .withColumn("week", F.weekofyear(F.col("date_day").cast("date")).cast("bigint"))
+        .select(*SESSION_EVENT_COLUMNS)
     )

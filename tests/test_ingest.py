@@ -193,3 +193,9 @@ def test_iso_text(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 30
+
+
+def test_invalid_utf8_is_an_error(spark, table):
+    bad = base64.b64encode(json.dumps(record()).encode().replace(b"click", b"\xff\xfe")).decode()
+    row = processed(spark, table, [bad])[0]
+    assert row.result == enrich.NOT_UTF8 and row.data == bad and row.event_id is None

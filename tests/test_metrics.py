@@ -235,3 +235,19 @@ def test_busy_group_profile_agrees_with_plain_aggregates(spark):
     found = profiles.group_profile(df, ["clean_url"]).select(*expected.columns)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
     df.unpersist()
+
+
+def test_events_without_session_are_no_sessions(spark):
+    rows = [event("a", NOON), event("b", NOON, visitor="w"), event("c", NOON, visitor="x")]
+    whole = prepared(spark, rows)
+    lost = whole.where("event_id = 'a'").withColumn("session_id", F.lit(None).cast("string"))
+    found = traffic.session_stats(whole.unionByName(lost)).collect()[0]
+    assert found.one_event_session_ratio == 100 and found.avg_events_per_session == 1
+
+
+def test_visitors_of_a_wide_table(spark):
+    wide = prepared(spark, [event("a", NOON), event("b", NOON + timedelta(minutes=1))])
+    late = F.when(F.col("event_id") == "b", "late")
+    wide = wide.withColumns({f"c{i}": late for i in range(70)})
+    found = prepare.unique_visitors(wide).collect()
+    assert len(found) == 1 and found[0].c0 == found[0].c69 == "late"

@@ -25,6 +25,19 @@ def test_parquet_round_trip(spark, session_events, tmp_path):
     assert sorted(stored.collect()) == sorted(session_events.collect())
 
 
+def test_a_large_day_is_several_files(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        rows = spark.range(0, 40_000, 1, 16).crossJoin(frame(spark, [event("a", NOON)]))
+        rows = rows.withColumn("event_id", F.sha2(F.col("id").cast("string"), 256)).drop("id")
+        tables.write_session_events(rows, str(tmp_path / "days"))
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "days" / "date_day=2022-02-17").glob("*.parquet"))) > 5
+
+
 def test_csv_round_trip(spark, session_events, tmp_path):
     path = str(tmp_path / "session-events-csv")
     tables.write_csv(session_events, path)

@@ -13,6 +13,7 @@ from clickstrata.sources.tables import read_events
 from clickstrata.streaming.ingest import OUTCOMES, start_ingest
 from clickstrata.streaming.sessions import (
     closed_session_events,
+    dropped_late,
     number_sessions,
     sessions_stream,
     start_sessions,
@@ -97,3 +98,32 @@ def test_stream_over_several_batches(spark, tmp_path):
         "v": (NOON, NOON + timedelta(minutes=50), 3),
         "w": (NOON + timedelta(minutes=20), NOON + timedelta(minutes=20), 1),
     }
+
+
+def test_late_event_does_not_move_closed_sessions(spark):
+    """The stream closed 12:00 and 13:00; an event of 11:00 is only in the stored table."""
+    on_time = [event("a", NOON), event("b", NOON + timedelta(hours=1))]
+    late = event("late", NOON - timedelta(hours=1))
+    closed = sessions_stream(frame(spark, on_time))
+    found = closed_session_events(closed, frame(spark, [*on_time, late])).collect()
+    assert {r.event_id: (r.session_id, r.event_number) for r in found} == {
+        "a": ("v-2022-02-17-1", 1),
+        "b": ("v-2022-02-17-2", 1),
+    }
+
+
+def test_dropped_late_rows_are_counted(spark, tmp_path):
+    source, root, state = (str(tmp_path / n) for n in ("visits", "out", "state"))
+    batches = [
+        [event("a", NOON)],
+        [event("x", NOON + timedelta(days=3), visitor="mark")],
+        [event("late", NOON - timedelta(hours=1)), event("y", NOON + timedelta(days=3))],
+    ]
+    counts = []
+    for rows in batches:
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(frame(spark, []).schema).parquet(source)
+        query = start_sessions(stream, root, state, available_now=True)
+        query.awaitTermination()
+        counts.append(dropped_late(query))
+    assert counts == [0, 0, 1]
