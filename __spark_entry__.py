@@ -29,9 +29,15 @@ from clickstrata.operators import (  # noqa: E402
     traffic,
 )
 from clickstrata.plans.ingest import delivered, ingest_events  # noqa: E402
-from clickstrata.plans.report import TOP_CITIES, TOP_COUNTRIES, SocialSeries, web_report  # noqa: E402
+from clickstrata.plans.report import (  # noqa: E402
+    TOP_CITIES,
+    TOP_COUNTRIES,
+    SocialSeries,
+    report_long,
+    web_report,
+)
 from clickstrata.sources import sample_site  # noqa: E402
-from clickstrata.sources.shared import fresh_path, written  # noqa: E402
+from clickstrata.sources.shared import fresh_path, scratch, written  # noqa: E402
 from clickstrata.streaming.sessions import (  # noqa: E402
     closed_session_events,
     number_sessions,
@@ -51,7 +57,7 @@ except ModuleNotFoundError as missing:
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 #: Fewest sessions of a page in the page queries.
-LIM = 100
+LIM = 10
 
 
 # Inputs ------------------------------------------------------------------------------------
@@ -322,17 +328,11 @@ def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of rows of every table of the report."""
-    tables = web_report(
-        sessions.session_details(_events(spark, sf_dir)), _social(spark, sf_dir), LIM
-    )
-    counts = None
-    for name, rows in sorted(tables.items()):
-        count = rows.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("table_name"), "rows"
-        )
-        counts = count if counts is None else counts.unionByName(count)
-    return counts
+    """Every figure of every table of the report."""
+    events = sessions.session_details(_events(spark, sf_dir))
+    with scratch(spark, "web-report") as folder:
+        tables = web_report(events, _social(spark, sf_dir), LIM, folder)
+        return written(report_long(tables), "web-report-result")
 
 
 # Contract ----------------------------------------------------------------------------------

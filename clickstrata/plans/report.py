@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickstrata.operators.devices import device_stats
 from clickstrata.operators.locations import location_per_day, location_top_n
@@ -25,6 +28,44 @@ TOP_CITIES = 15
 TOP_COUNTRIES = 7
 
 
+#: What the metrics read of the session events.
+REPORT_COLUMNS = (
+    "event_id",
+    "fingerprint",
+    "request_time",
+    "from_url",
+    "session_id",
+    "event_number",
+    "device_type",
+    "city",
+    "country",
+    "seconds_to_next_event_in_session",
+    "date_day",
+    "session_events",
+)
+
+#: Columns that tell the rows of a table apart; the others are figures.
+REPORT_KEYS = {
+    "city_daily": ("city", "date_day"),
+    "city_top": ("city",),
+    "country_daily": ("country", "date_day"),
+    "country_top": ("country",),
+    "device_stats": ("device_type",),
+    "motion_stats": ("motion",),
+    "page_stats": ("clean_url",),
+    "page_stats_desktop": ("clean_url",),
+    "page_stats_mobile": ("clean_url",),
+    "social_facebook": ("date_day",),
+    "social_instagram": ("date_day",),
+    "traffic_daily": ("date_day",),
+    "traffic_hourly": ("hour",),
+    "traffic_weekday": ("weekday_name",),
+}
+
+#: Decimals of a figure in the long form; two engines may sum in another order.
+REPORT_DECIMALS = 8
+
+
 @dataclass(frozen=True)
 class SocialSeries:
     """Four series by day: ``reach`` or ``pageviews``."""
@@ -45,9 +86,12 @@ def web_report(
 
     The prepared events, the visitors and the daily traffic are written once to the shared
     folder (``folder`` or the cluster's own) and every metric reads the columns it needs from
-    there; nothing large is held in memory.
+    there; nothing large is held in memory. Columns that no metric reads are left out before
+    sessions are cut, if ``session_events`` is still to be computed. With a ``folder`` from
+    ``sources.shared.scratch``, the written tables go when the caller is done.
     """
-    prepared = written(prepare_events(session_events), "prepared", folder)
+    needed = [c for c in session_events.columns if c in REPORT_COLUMNS]
+    prepared = written(prepare_events(session_events.select(*needed)), "prepared", folder)
     visitors = written(
         unique_visitors(prepared, ["city", "country", "date_day"]), "visitors", folder
     )
@@ -80,3 +124,20 @@ def web_report(
         )
         report.update({f"social_{network}": z for network, z in networks.items()})
     return report
+
+
+def report_long(tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables as one: ``table_name``, ``row_key``, ``variable`` and ``value``."""
+    parts = []
+    for name, rows in sorted(tables.items()):
+        keys = REPORT_KEYS.get(name, ())
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        figures = [c for c in rows.columns if c not in keys]
+        values = [F.round(F.col(c).cast("double"), REPORT_DECIMALS).alias(c) for c in figures]
+        keyed = rows.select(key.alias("row_key"), *values)
+        parts.append(
+            keyed.unpivot("row_key", figures, "variable", "value").withColumn(
+                "table_name", F.lit(name)
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)

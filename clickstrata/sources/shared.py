@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,19 @@ def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     path = fresh_path(spark, name, folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder below the shared one that is gone, with its tables, at the end."""
+    folder = fresh_path(spark, name)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)

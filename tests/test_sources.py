@@ -30,7 +30,7 @@ def test_a_large_day_is_several_files(spark, tmp_path):
     before = spark.conf.get(size)
     spark.conf.set(size, "64k")
     try:
-        rows = spark.range(0, 40_000, 1, 16).crossJoin(frame(spark, [event("a", NOON)]))
+        rows = spark.range(0, 40_000, 1, 16).crossJoin(F.broadcast(frame(spark, [event("a", NOON)])))
         rows = rows.withColumn("event_id", F.sha2(F.col("id").cast("string"), 256)).drop("id")
         tables.write_session_events(rows, str(tmp_path / "days"))
     finally:
