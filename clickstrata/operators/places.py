@@ -1,39 +1,64 @@
-"""Look up the place of an IPv4 address in a table of address blocks.
+"""Look up the place of an address, of either family, in a table of address blocks.
 
 Blocks may be nested; the narrowest one that holds an address counts. ``disjoint_places``
-turns them into intervals that do not overlap, each inside one /16 network. An address then
-has at most one match, found by an equi-join on its network, with no duplicate to remove
-afterwards and so no shuffle of the events.
+turns them, once per table, into intervals that do not overlap, each inside one network. An
+address then has at most one match, found by an equi-join on its network, with no duplicate to
+remove afterwards.
+
+Whether the intervals are broadcast is Spark's own choice by their size in bytes
+(``spark.sql.autoBroadcastJoinThreshold``): store the table and read it back, so that the size
+is known. Beyond it the join is a shuffle by network, whose busy networks AQE splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from clickstrata.functions.addresses import (
+    family_and_number,
+    network_bits,
+    network_key,
+    network_range,
+)
+
+#: Keys given to records without an address: enough for any number of tasks.
+_SPREAD = 1 << 30
+
+
+def blocks_of_networks(networks: DataFrame, network: str = "network") -> DataFrame:
+    """Blocks from CIDR text of both families, with the place columns; malformed rows go."""
+    # a generator: its columns are never computed again by what follows
+    found = networks.select(
+        F.inline(F.array(network_range(F.col(network)))), "country_name", "country_iso", "city"
+    )
+    return found.where(F.col("family").isNotNull())
 
-from clickstrata.functions.addresses import ipv4_number
 
-#: Addresses of a /16 network, and the number of such networks.
-NETWORK_SIZE = 65_536
-NETWORKS = 65_536
+def _with_family(blocks: DataFrame) -> DataFrame:
+    return blocks if "family" in blocks.columns else blocks.withColumn("family", F.lit(4))
 
-#: Rows up to which the interval table is broadcast. An interval takes about 100 bytes in
-#: memory, so this is below half a gigabyte.
-BROADCAST_ROWS = 4_000_000
 
-#: Parts a network is split into when both sides are shuffled.
-SALTS = 32
+def _block(width: str) -> Column:
+    return F.struct(
+        F.expr(width).cast("bigint").alias("width"),
+        "ip_from",
+        F.struct("country_name", "country_iso", "city").alias("place"),
+    ).alias("block")
 
 
 def _aligned_pieces(blocks: DataFrame) -> DataFrame:
     """Split every block into aligned power-of-two ranges, and of equal ranges keep the one
     from the narrowest block.
 
-    On level k a range is ``prefix * 2^k`` and has ``2^k`` addresses. A block has at most two
-    ranges per level: an odd one at its left end and one at its right end.
+    On level k a range is ``prefix * 2^k`` and has ``2^k`` addresses. An IPv4 block has at most
+    two ranges per level: an odd one at its left end and one at its right end. An IPv6 block
+    is a CIDR network, so it is one range: the level is the number of bits in which its ends
+    differ.
     """
-    levels = blocks.where(F.col("ip_from") <= F.col("ip_to")).select(
+    levels = blocks.where("family = 4 AND ip_from <= ip_to").select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("level")
     )
     size = F.pow(F.lit(2), F.col("level")).cast("bigint")
@@ -45,95 +70,87 @@ def _aligned_pieces(blocks: DataFrame) -> DataFrame:
     )
     odd_left = F.when(F.col("left") % 2 == 1, F.col("left"))
     odd_right = F.when(F.col("right") % 2 == 1, F.col("right") - 1)
-    return (
-        ends.where(F.col("left") < F.col("right"))
-        .select(
-            "level",
-            F.explode(F.array_compact(F.array(odd_left, odd_right))).alias("prefix"),
-            F.struct(
-                (F.col("ip_to") - F.col("ip_from")).alias("width"),
-                "ip_from",
-                F.struct("country_name", "country_iso", "city").alias("place"),
-            ).alias("block"),
-        )
-        .groupBy("level", "prefix")
-        .agg(F.min("block").alias("block"))
+    old = ends.where(F.col("left") < F.col("right")).select(
+        "family",
+        "level",
+        F.explode(F.array_compact(F.array(odd_left, odd_right))).alias("prefix"),
+        _block("ip_to - ip_from"),
+    )
+    new = (
+        blocks.where("family = 6 AND ip_from <= ip_to")
+        .withColumn("level", F.expr("if(ip_from = ip_to, 0, length(bin(ip_from ^ ip_to)))"))
+        .select("family", "level", F.expr("shiftright(ip_from, level)").alias("prefix"), _block("level"))
     )
+    both = old.unionByName(new)
+    return both.groupBy("family", "level", "prefix").agg(F.min("block").alias("block"))
 
 
 def disjoint_places(blocks: DataFrame) -> DataFrame:
-    """Intervals ``ip_from..ip_to`` of one ``network`` (/16) with their ``place``.
+    """Intervals ``ip_from..ip_to`` of one ``network`` key with their ``place``.
 
     The place can only change where a block starts or has ended, or where a network starts.
-    Each such point is looked up once per level, by equality; it then holds up to the next
-    point of its network. No pair of overlapping blocks is ever compared.
+    Each such point is looked up once per level in use, by equality; it then holds up to the
+    next point of its network with another place. No pair of overlapping blocks is compared.
     """
-    pieces = _aligned_pieces(blocks)
-    edges = (
-        blocks.where(F.col("ip_from") <= F.col("ip_to"))
-        .select(F.explode(F.array("ip_from", F.col("ip_to") + 1)).alias("point"))
-        .where(F.col("point") < NETWORK_SIZE * NETWORKS)
+    blocks = _with_family(blocks)
+    pieces = _aligned_pieces(blocks).withColumn("bits", network_bits(F.col("family")))
+    last = F.expr("if(family = 4, 4294967295, 9223372036854775807)")
+    starts = blocks.where("ip_from <= ip_to").select("family", F.col("ip_from").alias("point"))
+    after = blocks.where((F.col("ip_from") <= F.col("ip_to")) & (F.col("ip_to") < last)).select(
+        "family", (F.col("ip_to") + 1).alias("point")
     )
     # the pieces of a level do not repeat, so a network comes out once per level at most
-    networks = F.sequence(
-        F.expr(f"shiftleft(prefix, level) div {NETWORK_SIZE}"),
-        F.expr(f"(shiftleft(prefix + 1, level) - 1) div {NETWORK_SIZE}"),
+    first = F.expr("shiftright(shiftleft(prefix, level), bits)")
+    more = F.expr("if(level > bits, shiftleft(1L, level - bits) - 1, 0L)")
+    network_starts = pieces.select(
+        "family", "bits", F.explode(F.sequence(first, first + more)).alias("network")
+    ).select("family", F.expr("shiftleft(network, bits)").alias("point"))
+    points = starts.unionByName(after).unionByName(network_starts).distinct()
+    levels = pieces.select("family", "level").distinct()  # fewer than a hundred
+    keys = points.join(F.broadcast(levels), "family").withColumn(
+        "prefix", F.expr("shiftright(point, level)")
     )
-    network_starts = pieces.select(F.explode(networks).alias("network")).select(
-        (F.col("network") * NETWORK_SIZE).alias("point")
-    )
-    points = edges.unionByName(network_starts).distinct()
-    keys = points.select(
-        "point", F.explode(F.sequence(F.lit(0), F.lit(32))).alias("level")
-    ).withColumn("prefix", F.expr("shiftright(point, level)"))
     narrowest = (
-        keys.join(pieces, ["level", "prefix"])
-        .groupBy("point")
+        keys.join(pieces.drop("bits"), ["family", "level", "prefix"])
+        .groupBy("family", "point")
         .agg(F.min("block").alias("block"))
     )
     in_network = W.partitionBy("network").orderBy("point")
-    network_end = (F.col("network") + 1) * NETWORK_SIZE
+    before = F.lag(F.struct("block.place")).over(in_network)
+    network_last = F.expr("shiftleft(shiftright(point, bits), bits) + (shiftleft(1L, bits) - 1)")
     return (
-        points.join(narrowest, "point", "left")
-        .withColumn("network", F.expr(f"point div {NETWORK_SIZE}"))
-        .withColumn(
-            "ip_to", F.coalesce(F.lead("point").over(in_network), network_end) - 1
-        )
+        points.join(narrowest, ["family", "point"], "left")
+        .withColumn("bits", network_bits(F.col("family")))
+        .withColumn("network", network_key(F.col("family"), F.col("point")))
+        .withColumn("same", F.coalesce(before.eqNullSafe(F.struct("block.place")), F.lit(False)))
+        .where(~F.col("same"))
+        .withColumn("ip_to", F.coalesce(F.lead("point").over(in_network) - 1, network_last))
         .where(F.col("block").isNotNull())
         .select("network", F.col("point").alias("ip_from"), "ip_to", "block.place")
     )
 
 
-def geoip_join(
-    events: DataFrame,
-    places: DataFrame,
-    address: str = "source_ip",
-    broadcast_rows: int = BROADCAST_ROWS,
-    salt_by: str = "request_id",
-    salts: int = SALTS,
-) -> DataFrame:
+def geoip_join(events: DataFrame, places: DataFrame, address: str = "source_ip") -> DataFrame:
     """Add ``place`` (country name, country code, city), null when unknown.
 
-    ``places`` comes from ``disjoint_places``. It is counted first: up to ``broadcast_rows``
-    it is broadcast and events stay where they are. Beyond, both sides are shuffled by
-    network and salt, the places repeated per salt, so that a busy network is spread out. The
-    salt is a hash of ``salt_by``: a task that runs again sends each row the same way.
+    ``places`` comes from ``disjoint_places``, stored. Records without a sound address cannot
+    match; they get keys of their own, spread by their texts, so that a shuffled join does not
+    gather them in one task.
     """
-    small = places.limit(broadcast_rows + 1).count() <= broadcast_rows
-    addressed = events.withColumn("ip", ipv4_number(F.col(address))).withColumn(
-        "ip_network", F.expr(f"ip div {NETWORK_SIZE}")
+    texts = [f.name for f in events.schema if isinstance(f.dataType, StringType)]
+    nowhere = -1 - F.pmod(F.xxhash64(*texts), F.lit(_SPREAD))
+    ip = F.inline(F.array(family_and_number(F.col(address)))).alias("_family", "_number")
+    addressed = events.select(*events.columns, ip).select(
+        *events.columns,
+        F.coalesce(network_key(F.col("_family"), F.col("_number")), nowhere).alias("_network"),
+        "_number",
+    )
+    found = places.select(
+        "network", F.col("ip_from").alias("_from"), F.col("ip_to").alias("_to"), "place"
     )
-    found = places.withColumnsRenamed({"ip_from": "place_from", "ip_to": "place_to"})
     matches = (
-        (F.col("ip_network") == F.col("network"))
-        & (F.col("ip") >= F.col("place_from"))
-        & (F.col("ip") <= F.col("place_to"))
+        (F.col("_network") == F.col("network"))
+        & (F.col("_number") >= F.col("_from"))
+        & (F.col("_number") <= F.col("_to"))
     )
-    if small:
-        found = F.broadcast(found)
-    else:
-        addressed = addressed.withColumn("salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-        every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        found = found.withColumn("place_salt", F.explode(every_salt))
-        matches = matches & (F.col("salt") == F.col("place_salt"))
     return addressed.join(found, matches, "left").select(*events.columns, "place")

@@ -37,7 +37,10 @@ def ingest_events(
     records = enrich.decode_envelope(raw.withColumn("arrived", arrived), data)
     events = enrich.with_agent(enrich.event_identity(records), rules)
     events = enrich.with_fingerprint(enrich.with_device_type(events))
-    events = enrich.with_geoip(geoip_join(enrich.with_user_data(events), places))
+    # a record that is not stored as an event needs no place
+    wanted = F.col("error_type").isNull() & ~F.col("is_bot")
+    events = events.withColumn("place_ip", F.when(wanted, F.col("source_ip")))
+    events = enrich.with_geoip(geoip_join(enrich.with_user_data(events), places, "place_ip"))
     result = F.coalesce(
         "error_type", F.when(F.col("is_bot"), DROPPED).otherwise(F.lit(SUCCESS))
     )

@@ -13,6 +13,7 @@ from pyspark.sql.types import (
 )
 
 from clickstrata.functions.times import iso_text
+from clickstrata.operators.places import blocks_of_networks
 from clickstrata.operators.sessions import complete_days
 from clickstrata.schemas import EVENTS, SESSION_EVENTS
 
@@ -67,6 +68,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.withColumns(times).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def read_address_blocks(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
+    """Address blocks for ``disjoint_places`` from a stored table.
+
+    Headed CSV or Parquet with ``network`` (CIDR text of either family), ``country_name``,
+    ``country_iso`` and ``city``.
+    """
+    schema = "network STRING, country_name STRING, country_iso STRING, city STRING"
+    rows = spark.read.schema(schema)
+    if kind == "csv":
+        rows = rows.option("header", True).option("enforceSchema", False).option("escape", '"')
+    return blocks_of_networks(rows.format(kind).load(path))
+
+
 def read_session_events_csv(spark: SparkSession, path: str) -> DataFrame:
     """Session events from headed CSV; times may be ISO text with or without a fraction."""
     schema = StructType(

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import ipaddress
 import json
 import random
 from datetime import datetime
@@ -16,7 +17,8 @@ from clickstrata.operators import enrich, places
 from clickstrata.plans.ingest import ingest_events, write_batch
 from clickstrata.schemas import EVENTS, IP_BLOCKS
 from clickstrata.sources import sample_site
-from clickstrata.sources.tables import read_events
+from clickstrata.sources.shared import written
+from clickstrata.sources.tables import read_address_blocks, read_events
 
 FIREFOX = "Mozilla/5.0 (X11; Linux x86_64) Firefox/99.0"
 
@@ -44,7 +46,7 @@ def raw(spark, values):
 
 @pytest.fixture(scope="module")
 def table(spark):
-    return places.disjoint_places(sample_site.ip_blocks(spark)).persist()
+    return written(places.disjoint_places(sample_site.ip_blocks(spark)), "places")
 
 
 def processed(spark, table, values, rules=DEFAULT_RULES):
@@ -128,6 +130,23 @@ def text_of(number):
     return ".".join(str(number >> shift & 255) for shift in (24, 16, 8, 0))
 
 
+def both_joins(spark, events, table):
+    """Places by request, with the intervals broadcast and with both sides shuffled."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    for limit in (before, "-1"):
+        spark.conf.set(setting, limit)
+        try:
+            joined = places.geoip_join(events, table)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == (limit == before)
+            rows = joined.collect()
+        finally:
+            spark.conf.set(setting, before)
+        assert len(rows) == len({r.request_id for r in rows})
+        yield {r.request_id: r.place and r.place.country_name for r in rows}
+
+
 def test_places_agree_with_brute_force(spark):
     """Nested, overlapping, adjacent, repeated and whole-range blocks; both join forms."""
     rng = random.Random(3)
@@ -139,20 +158,62 @@ def test_places_agree_with_brute_force(spark):
     blocks.append(blocks[5])
     edges = {n + d for a, b, _ in blocks for n in (a, b) for d in (-1, 0, 1)}
     numbers = [n for n in edges if 0 <= n < 2**32] + [rng.randrange(2**32) for _ in range(300)]
-    table = places.disjoint_places(
-        spark.createDataFrame([(a, b, p, None, None) for a, b, p in blocks], IP_BLOCKS)
-    ).persist()
+    rows = spark.createDataFrame([(a, b, p, None, None) for a, b, p in blocks], IP_BLOCKS)
+    table = written(places.disjoint_places(rows), "places")
     events = spark.createDataFrame(
         [(str(i), text_of(n)) for i, n in enumerate(numbers)] + [("v6", "::1"), ("bad", "1.2.3")],
         "request_id string, source_ip string",
     )
     expected = {str(i): narrowest(blocks, n) for i, n in enumerate(numbers)}
     expected.update({"v6": None, "bad": None})
-    for rows in (places.BROADCAST_ROWS, 10):
-        found = places.geoip_join(events, table, broadcast_rows=rows, salts=3).collect()
-        assert len(found) == len(expected)
-        assert {r.request_id: r.place and r.place.country_name for r in found} == expected
-    table.unpersist()
+    for found in both_joins(spark, events, table):
+        assert found == expected
+
+
+def test_networks_of_both_families(spark, tmp_path):
+    """CIDR blocks as text, looked up as the standard library does."""
+    rng = random.Random(4)
+    names = ["10.0.0.0/8", "10.1.0.0/16", "10.1.128.0/17", "10.1.128.0/30", "203.0.113.7/32"]
+    names += ["2000::/24", "2001:db8::/32", "2001:db8:8000::/33", "2001:db8:1::/48", "ffff:ff00::/24"]
+    names += ["2001:db8:1:2::/64", "7fff:ffff::/32", "8000::/26", "2001:db9::/32", "10.2.3.4"]
+    names += [f"2001:db8:{rng.randrange(9):x}:{rng.randrange(65536):x}::/{n}" for n in (50, 56, 61, 64)]
+    networks = [ipaddress.ip_network(n, strict=False) for n in names]
+    rows = [(str(n), f"{i:02d}") for i, n in enumerate(networks)] + [("junk", "x"), ("1::/200", "x"), (None, "x")]
+    path = str(tmp_path / "networks")
+    frame = spark.createDataFrame(rows, "network string, country_name string")
+    frame.selectExpr("*", "'c' AS country_iso", "'d' AS city").write.option("header", True).csv(path)
+    table = written(places.disjoint_places(read_address_blocks(spark, path)), "places")
+    addresses = [n[0] for n in networks] + [n[-1] for n in networks]
+    addresses += [a + d for a in addresses for d in (-1, 1) if 0 < int(a) + d < 2**32 or a.version == 6 and int(a) + d < 2**128]
+    texts = [str(a) for a in addresses] + [a.exploded.upper() for a in addresses]
+    texts += ["::ffff:10.1.2.3", "::", "1::2::3", "1:2", "12345::", None, ""]
+
+    def expected(text):
+        try:
+            address = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        address = getattr(address, "ipv4_mapped", None) or address
+        inside = [(n.prefixlen, -i) for i, n in enumerate(networks) if n.version == address.version and address in n]
+        return f"{-max(inside)[1]:02d}" if inside else None
+
+    events = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "request_id string, source_ip string")
+    for found in both_joins(spark, events, table):
+        assert found == {str(i): expected(t) for i, t in enumerate(texts)}
+
+
+def test_equal_neighbours_are_one_interval(spark):
+    blocks = [(0, 65_535, "a", None, None), (100, 200, "a", None, None), (300, 400, "b", None, None)]
+    table = places.disjoint_places(spark.createDataFrame(blocks, IP_BLOCKS))
+    found = sorted((r.ip_from, r.ip_to, r.place.country_name) for r in table.collect())
+    assert found == [(0, 299, "a"), (300, 400, "b"), (401, 65_535, "a")]
+
+
+def test_records_without_address_are_spread(spark):
+    events = spark.createDataFrame([(None, None, f"text {i}") for i in range(500)], "request_id string, source_ip string, data string")
+    table = places.disjoint_places(sample_site.ip_blocks(spark))
+    plan = places.geoip_join(events, table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(request_id" in plan and "data" in plan
 
 
 def test_no_overlap_between_places(spark, table):

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from clickstrata.operators import places, sessions
 from clickstrata.plans.ingest import delivered, ingest_events
 from clickstrata.sources import sample_site
+from clickstrata.sources.shared import written
 from clickstrata.sources.tables import read_events
 from clickstrata.streaming.ingest import OUTCOMES, start_ingest
 from clickstrata.streaming.sessions import (
@@ -24,7 +25,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_ingest_stream_equals_batch(spark, tmp_path):
-    table = places.disjoint_places(sample_site.ip_blocks(spark)).persist()
+    table = written(places.disjoint_places(sample_site.ip_blocks(spark)), "places")
     records = sample_site.raw_envelopes(spark, SF_DIR)
     batch = delivered(ingest_events(records, table, arrival=F.col("arrived_at")))
     source, root, state = (str(tmp_path / n) for n in ("raw", "events", "state"))
@@ -50,7 +51,6 @@ def test_ingest_stream_equals_batch(spark, tmp_path):
     # a restart neither loses nor repeats records
     run()
     assert read_events(spark, root).count() == 811
-    table.unpersist()
 
 
 def test_sessions_stream_equals_batch(spark):
