@@ -6,8 +6,8 @@ A document's set holds its distinct shingles. Identical sets are one set from he
   hash to more than ``d`` parts; then some part is the same in both. Sets without a part in
   common with another set are done. Sets that share parts, directly or over others, are a
   family, and no link leaves a family. Sizes form bands, since ``d`` depends on them.
-* *Groups.* A family is partitioned into groups of similar sets: those whose most shared part
-  is the same, in pieces of bounded size. A group's matrix is the union of its tokens with the
+* *Groups.* A family is partitioned into groups of similar sets, as many as its size asks for:
+  sets whose most shared part is the same come together, in pieces of bounded size. A group's matrix is the union of its tokens with the
   sets that hold each. A query's overlap with the union bounds its overlap with every set of
   the group, so only groups that reach the threshold are opened, and then the matrix gives the
   exact overlap with every set at once.
@@ -154,12 +154,14 @@ def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     placed = most.join(found.withColumnRenamed("component", "family"), "node").select(
         "node", "family", F.col("most.part").alias("part")
     )
-    sizes = placed.groupBy("family", "part").count()
-    pieces = F.pmod(F.xxhash64("node"), (F.col("count") / GROUP_ROWS).cast("bigint") + 1)
+    sizes = placed.groupBy("family", "part").agg(F.count(F.lit(1)).alias("alike"))
+    whole = placed.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    count = F.expr(f"members div {GROUP_ROWS} + 1")
+    piece = F.pmod(F.xxhash64("node"), F.expr(f"alike div {GROUP_ROWS} + 1"))
     members = work.written(
-        placed.join(sizes, ["family", "part"]).select(
-            "node", "family", F.xxhash64("part", pieces).alias("grp")
-        ),
+        placed.join(sizes, ["family", "part"])
+        .join(whole, "family")
+        .select("node", "family", F.pmod(F.pmod("part", count) + piece, count).alias("grp")),
         "family-members",
     )
     groups = members.select("family", "grp").distinct()
