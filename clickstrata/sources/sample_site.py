@@ -82,9 +82,12 @@ SELECT
     CAST(user_id % 200 AS STRING), '.1","userAgent":"',
     CASE user_id % 5
       WHEN 0 THEN '' WHEN 1 THEN 'ExampleBot/2.1'
-      WHEN 2 THEN 'Mozilla/5.0 (X11; Linux x86_64) Firefox/99.0'
-      WHEN 3 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_3 like Mac OS X) Safari/604.1'
-      ELSE 'curl' END,
+      WHEN 2 THEN concat('Mozilla/5.0 (X11; Linux x86_64) Firefox/', CAST(event_id % 20 + 80 AS STRING))
+      WHEN 3 THEN concat('Mozilla/5.0 (iPhone; CPU iPhone OS 15', elt(event_id % 3 + 1, '', '_3', '_3_1'),
+        ' like Mac OS X) Version/', CAST(event_id % 7 AS STRING), '.2 Safari/604.1')
+      ELSE elt(event_id % 3 + 1, 'curl',
+        concat('Mozilla/5.0 (Windows NT 10.0; Win64) Chrome/98.0.4758.', CAST(event_id % 11 AS STRING)),
+        'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) Edg/101.1') END,
     '","requestId":"', CAST(event_id AS STRING), '"}},"request_time":',
     CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING), '}}'), 'UTF-8'))) AS data,
   ts AS arrived_at

@@ -99,7 +99,7 @@ def test_bot_is_dropped(spark, table):
 
 def test_rules_of_the_caller(spark, table):
     rules = [
-        AgentRule(2, "browser", "Firefox/([0-9]+)", "Late", 1),
+        AgentRule(2, "browser", "Firefox/([0-9]+)", "Late", (1,)),
         AgentRule(1, "browser", "Mozilla", "Early"),
     ]
     row = processed(spark, table, [encoded(record())], rules)[0]
@@ -260,3 +260,20 @@ def test_invalid_utf8_is_an_error(spark, table):
     bad = base64.b64encode(json.dumps(record()).encode().replace(b"click", b"\xff\xfe")).decode()
     row = processed(spark, table, [bad])[0]
     assert row.result == enrich.NOT_UTF8 and row.data == bad and row.event_id is None
+
+
+@pytest.mark.parametrize(
+    "agent, browser, system",
+    [
+        ("Mozilla/5.0 (iPhone; CPU iPhone OS 15_3_1 like Mac OS X) Version/15.3 Safari/604.1", "Safari 15.3", "iOS 15.3.1"),
+        ("Mozilla/5.0 (iPad; CPU OS 9_0 like Mac OS X)", "Other", "iOS 9.0"),
+        ("Mozilla/5.0 (Windows NT 10.0; Win64) Chrome/98.0.4758.102", "Chrome 98.0.4758.102", "Windows 10"),
+        ("Mozilla/5.0 (Windows NT 6.1) Firefox/99", "Firefox 99", "Windows 7"),
+        ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) Edg/101.1", "Edge 101.1", "Mac OS X 10.15.7"),
+        ("Safari/ only", "Safari", "Other"),
+    ],
+)
+def test_versions_in_full(spark, agent, browser, system):
+    agents = spark.createDataFrame([(agent,)], "user_agent string")
+    row = enrich.with_agent(agents).collect()[0]
+    assert (row.browser, row.operating_system) == (browser, system)
