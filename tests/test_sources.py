@@ -1,5 +1,7 @@
 """Stored tables survive a round trip, and the report runs on them."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,13 @@ def test_other_time_zone_is_refused(spark):
             sessions.sessions(frame(spark, []))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_report_tables_can_be_removed(spark, session_events):
+    with shared.scratch(spark, "report") as folder:
+        tables = web_report(session_events, None, 10, folder)
+        assert tables["traffic_daily"].count() == 30
+        plan = tables["session_stats"]._jdf.queryExecution().optimizedPlan().toString()
+        assert "percentile" in plan
+        assert os.path.exists(folder)
+    assert not os.path.exists(folder)
