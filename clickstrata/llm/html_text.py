@@ -24,7 +24,7 @@ VOID = frozenset(
 )
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 NOT_TEXT = frozenset(
-    "head script style noscript template iframe object svg math canvas audio video "
+    "head title script style noscript template iframe object svg math canvas audio video "
     "nav header footer aside form button select textarea input menu dialog".split()
 )
 BLOCKS = frozenset(
@@ -51,10 +51,10 @@ SCOPES = frozenset(
 #: Class, id and role words of page parts that are not the article.
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments cookie cookies disqus footer header menu nav navbar navigation newsletter notice "
-    "notices pagination popup promo promoted related share sharing sidebar social sponsor "
-    "sponsored subscribe subscription widget masthead toolbar copyright consent replies "
-    "respond".split()
+    "comments complementary contentinfo cookie cookies disqus footer header menu nav navbar "
+    "navigation newsletter notice notices pagination popup promo promoted related share sharing "
+    "sidebar social sponsor sponsored subscribe subscription widget masthead toolbar copyright "
+    "consent replies respond".split()
 )
 
 _MARKUP = re.compile(

@@ -159,3 +159,7 @@ def test_pages_of_a_table(spark):
     }
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     assert html_text.main_text(deep) == "deep"
+
+
+def test_title_without_head_is_no_text():
+    assert html_text.main_text("<title>T</title><p>Words here.") == "Words here."
