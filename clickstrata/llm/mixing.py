@@ -5,14 +5,17 @@ source is released at slot ``floor(b / w)`` and due before slot ``ceil((b + 1) /
 takes, of the released blocks, the one due first. In every prefix each source then has its
 share to less than one block.
 
-Weights are whole parts of a period, so the schedule repeats: one period is computed, by a fold
-over its slots, and the slot of any block follows from that by arithmetic. Documents are
+Weights are whole parts, and the schedule repeats after as many slots as there are parts. One
+period is computed by a fold over its slots, if it is shorter than the list of all blocks; else
+the fold places every block. The slot of any block follows from that by arithmetic. Documents are
 numbered within buckets of bounded size, so a source with most of the rows is no single task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from fractions import Fraction
+from math import gcd, lcm
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,9 +23,15 @@ from pyspark.sql import functions as F
 #: Documents of a block.
 BLOCK_ROWS = 64
 
-#: Slots of a period; weights are rounded to parts of it, at least one part each.
+#: Sources of a mixture at most; also the slots of a period, if the weights are whole parts of it.
 PERIOD = 1000
 
+#: Parts of weights that are no short fractions, about; products with block numbers are bigint.
+FINEST = 1 << 31
+
+#: Slots of the inner fold.
+FOLD_SLOTS = 500
+
 #: Documents numbered together, about.
 BUCKET_ROWS = 50_000
 
@@ -37,82 +46,145 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
-def _weights(sources: DataFrame, weights: Mapping[str | None, float] | None) -> DataFrame:
-    """Adds ``weight``: the given ones, or a power of the counts."""
-    if weights is None:
-        return sources.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE)))
-    given = F.lit(0.0)
-    for source, weight in weights.items():
+def _whole(weights: Mapping[str | None, float]) -> dict[str | None, int]:
+    """Whole numbers in the same proportions, exactly if they are not too large."""
+    exact = {source: Fraction(str(weight)) for source, weight in weights.items()}
+    for source, weight in exact.items():
         if weight < 0:
             raise ValueError(f"weight of {source!r} is negative")
-        given = F.when(F.col("key") == _key(F.lit(source)), F.lit(float(weight))).otherwise(given)
+    unit = lcm(*(w.denominator for w in exact.values()))
+    whole = {source: int(w * unit) for source, w in exact.items()}
+    total, common = sum(whole.values()), gcd(*whole.values()) or 1
+    if total // common <= FINEST:
+        return {source: w // common for source, w in whole.items()}
+    return {source: max(1, round(Fraction(w * FINEST, total))) if w else 0 for source, w in whole.items()}
+
+
+def _weights(sources: DataFrame, weights: Mapping[str | None, float] | None) -> DataFrame:
+    """Adds ``weight``, a whole number: the given ones, or a power of the counts."""
+    if weights is None:
+        power = F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE))
+        share = power / F.sum(power).over(Window.partitionBy(F.lit(0)))
+        return sources.withColumn(
+            "weight", F.greatest(F.lit(1), F.round(share * FINEST)).cast("bigint")
+        )
+    given = F.lit(0).cast("bigint")
+    for source, weight in _whole(weights).items():
+        given = F.when(F.col("key") == _key(F.lit(source)), F.lit(weight).cast("bigint")).otherwise(given)
     return sources.withColumn("weight", given)
 
 
 def source_parts(
     docs: DataFrame, weights: Mapping[str | None, float] | None = None, period: int = PERIOD
 ) -> DataFrame:
-    """``key, n, parts``: each source's rows and its whole parts of the period.
+    """``key, n, parts``: each source's rows and its weight in whole parts.
 
-    Parts are the weights' shares, rounded by largest remainders, at least one each. There may
-    be at most ``period`` sources; more are refused.
+    Parts are in the proportions of the weights: exact for given ones that are short fractions,
+    to 1 / ``FINEST`` otherwise. Their sum is ``period``, if that can be. No weight is no part;
+    without any weight all sources have one. There may be at most ``period`` sources; more are
+    refused.
     """
     sources = docs.groupBy(_key(F.col("source")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     if sources.limit(period + 1).count() > period:
         raise ValueError(f"more than {period} sources: choose a longer period")
     sources = _weights(sources, weights)
     every = Window.partitionBy(F.lit(0))  # one row per source, at most a period of them
-    free = F.count(F.lit(1)).over(every)
-    share = F.coalesce(
-        F.try_divide(F.col("weight"), F.sum("weight").over(every)), F.lit(1.0) / free
-    ) * (F.lit(period) - free)
-    rest = F.col("share") - F.floor("share")
-    ranked = sources.withColumn("share", share).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(rest.desc(), "key"))
+    some = F.when(F.max("weight").over(every) > 0, F.col("weight")).otherwise(F.lit(1).cast("bigint"))
+    sources = sources.withColumn("weight", some)
+    total = F.sum("weight").over(every)
+    times = F.when(F.lit(period) % total == 0, _div(F.lit(period), total)).otherwise(F.lit(1))
+    return sources.select("key", "n", (F.col("weight") * times).cast("bigint").alias("parts"))
+
+
+def _div(x: Column, y: Column) -> Column:
+    return F.call_function("div", x, y)
+
+
+def _release(block: Column, parts: Column, period: Column) -> Column:
+    return _div(block * period, parts)
+
+
+def _deadline(block: Column, parts: Column, period: Column) -> Column:
+    return _div((block + 1) * period + parts - 1, parts)
+
+
+def schedule_turns(parts: DataFrame, block_rows: int) -> DataFrame:
+    """Adds ``period``, the sum of the parts, and ``turns``: a source's blocks that are scheduled.
+
+    These are its parts, if the period is shorter than the list of all blocks; the schedule
+    repeats then. Otherwise they are all of its blocks and one after the last. That one leaves its slot
+    free; then the source is out, and others may take its slots.
+    """
+    every = Window.partitionBy(F.lit(0))
+    blocks = F.expr(f"(n + {block_rows - 1}) div {block_rows} + 1")
+    totals = parts.where("parts > 0").withColumn("period", F.sum("parts").over(every)).withColumn(
+        "blocks", F.sum(blocks).over(every)
     )
-    # one part for each source, then the whole parts of the shares, then the remainders
-    missing = F.lit(period) - F.sum(F.floor("share") + 1).over(every)
-    parts = 1 + F.floor("share") + F.when(F.col("rank") <= missing, 1).otherwise(0)
-    return ranked.select("key", "n", parts.cast("int").alias("parts"))
+    turns = F.when(F.col("period") <= F.col("blocks"), F.col("parts")).otherwise(blocks)
+    return totals.withColumn("turns", turns).drop("blocks")
 
 
-def period_schedule(parts: DataFrame, period: int = PERIOD) -> DataFrame:
-    """``key, turn, slot``: the slot of every source's blocks within one period.
+def turn_slots(turns: DataFrame) -> DataFrame:
+    """``key, turn, slot``: the slot of every turn of ``schedule_turns``.
 
-    A fold over the slots, in one row of at most ``period`` sources. The state is each source's
-    next block; a slot takes the released block with the earliest deadline, then the first key.
+    A fold over the slots, in one row of all sources. The state is each source's next turn; a
+    slot takes the released one with the earliest deadline, then the first key. Slots before the
+    next release are passed over at once.
     """
-    line = parts.groupBy().agg(
-        F.array_sort(F.collect_list(F.struct("key", "parts"))).alias("sources")
+    line = turns.groupBy().agg(
+        F.array_sort(F.collect_list(F.struct("key", "parts", "period", "turns"))).alias("sources")
     )
-    whole = F.lit(period)
     sources = F.col("sources")
+    none = "array<struct<at:int,turn:bigint,slot:bigint>>"
+    state_type = f"struct<turns:array<bigint>,slot:bigint,plan:{none}>"
 
-    def step(state: Column, slot: Column) -> Column:
+    def step(state: Column, _: Column) -> Column:
         def option(source: Column, at: Column) -> Column:
             turn = F.get(state["turns"], at)
-            share = source["parts"].cast("bigint")
-            released = F.floor(turn * whole / share) <= slot
-            deadline = F.ceil((turn + 1) * whole / share)
-            return F.when(
-                released & (turn < share), F.struct(deadline.alias("due"), at.alias("at"))
-            )
-
-        chosen = F.array_min(F.transform(sources, option))["at"]
-        entry = F.struct(chosen.alias("at"), F.get(state["turns"], chosen).alias("turn"), slot.alias("slot"))
-        return F.struct(
-            F.transform(
-                state["turns"], lambda turn, at: F.when(at == chosen, turn + 1).otherwise(turn)
-            ).alias("turns"),
-            F.concat(state["plan"], F.array(entry)).alias("plan"),
-        )
+            free = F.greatest(_release(turn, source["parts"], source["period"]), state["slot"])
+            due = _deadline(turn, source["parts"], source["period"])
+            # of the earliest slots, the earliest deadline
+            entry = F.struct(free.alias("slot"), due.alias("due"), at.alias("at"), turn.alias("turn"))
+            return F.when(turn < source["turns"], entry)
+
+        def take(best: Column) -> Column:
+            entry = F.struct(best["at"].alias("at"), best["turn"].alias("turn"), best["slot"].alias("slot"))
+            return F.struct(
+                F.transform(
+                    state["turns"], lambda turn, at: F.when(at == best["at"], turn + 1).otherwise(turn)
+                ).alias("turns"),
+                (best["slot"] + 1).alias("slot"),
+                F.concat(state["plan"], F.array(entry)).alias("plan"),
+            ).cast(state_type)
 
-    nothing = F.expr("cast(array() as array<struct<at:int,turn:bigint,slot:bigint>>)")
+        best = F.transform(F.array(F.array_min(F.transform(sources, option))), take)
+        return F.coalesce(
+            F.get(F.filter(best, lambda s: s["slot"].isNotNull()), F.lit(0)), state
+        ).cast(state_type)
+
+    def inner(state: Column, _: Column) -> Column:
+        begin = F.struct(state["turns"].alias("turns"), state["slot"].alias("slot"), F.expr(f"cast(array() as {none})").alias("plan"))
+        steps = F.sequence(F.lit(1), F.lit(FOLD_SLOTS))
+        done = F.aggregate(steps, begin.cast(state_type), step)
+        # one array of entries for each inner fold, so that none is copied at every step
+        return F.transform(
+            F.array(done),
+            lambda d: F.struct(
+                d["turns"].alias("turns"),
+                d["slot"].alias("slot"),
+                F.concat(state["plan"], F.array(d["plan"])).alias("plan"),
+            ).cast(outer_type),
+        )[0]
+
+    outer_type = f"struct<turns:array<bigint>,slot:bigint,plan:array<{none}>>"
     start = F.struct(
-        F.transform(sources, lambda s: F.lit(0).cast("bigint")).alias("turns"), nothing.alias("plan")
-    )
-    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(period - 1).cast("bigint"))
-    plan = F.aggregate(slots, start, step, lambda state: state["plan"])
+        F.transform(sources, lambda s: F.lit(0).cast("bigint")).alias("turns"),
+        F.lit(0).cast("bigint").alias("slot"),
+        F.expr(f"cast(array() as array<{none}>)").alias("plan"),
+    ).cast(outer_type)
+    total = F.aggregate(sources, F.lit(0).cast("bigint"), lambda n, s: n + s["turns"])
+    rounds = F.sequence(F.lit(0).cast("bigint"), _div(total, F.lit(FOLD_SLOTS)))
+    plan = F.flatten(F.aggregate(rounds, start, inner, lambda state: state["plan"]))
     entries = line.where(F.size("sources") > 0).select("sources", F.explode(plan).alias("e"))
     return entries.select(
         F.get("sources", F.col("e.at"))["key"].alias("key"), "e.turn", "e.slot"
@@ -130,11 +202,12 @@ def mix_sources(
     ``mix_block`` is the number of the row's block within its source, ``mix_slot`` the slot
     that block has, between ``mix_release`` and before ``mix_deadline``; ``mix_order`` sorts the
     rows into the mixture. Slots of a source that has run out are left free, so every row is
-    kept; ``on_target`` holds up to the first such slot. Columns of these names are replaced.
+    kept; ``on_target`` holds up to the first such slot. Columns of these names are replaced. Sources
+    of weight 0, or without one, come after all others and have no release or deadline.
 
     Rows of a source come in the order of a hash. A null source is a source of its own; repeated
-    rows have places of their own; sources without a weight share the least part; an empty
-    table gives an empty result.
+    rows have places of their own; if no source has a weight, all are equal; an empty table gives
+    an empty result.
     """
     docs = docs.drop(*MIX_COLUMNS, *(c for c in docs.columns if c.startswith("_mix_")))
     parts = source_parts(docs, weights, period)
@@ -166,41 +239,53 @@ def mix_sources(
         .join(offsets, ["_mix_key", "_mix_bucket"])
         .withColumn("_mix_row", F.col("_mix_row") + F.col("_mix_before"))
     )
-    schedule = period_schedule(parts, period)
-    horizon = _horizon(parts, schedule, block_rows, period)
-    plan = schedule.join(parts.select("key", "parts"), "key").withColumn("one", F.lit(1))
-    plan = plan.join(horizon.withColumn("one", F.lit(1)), "one").select(
+    turns = schedule_turns(parts, block_rows)
+    schedule = turn_slots(turns)
+    ends = _ends(turns, schedule, block_rows)
+    # at most a period of rows each
+    lengths = parts.join(turns.select("key", "period", "turns"), "key", "left").crossJoin(ends)
+    idle = F.when(F.col("parts") == 0, F.expr(f"(n + {block_rows - 1}) div {block_rows}")).otherwise(0)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    lengths = lengths.withColumn("late", F.col("end") + F.coalesce(F.sum(idle).over(earlier), F.lit(0)))
+    lengths = lengths.select(
         F.col("key").alias("_mix_key"),
-        F.col("turn").alias("_mix_turn"),
-        F.col("slot").alias("_mix_slot"),
-        F.col("parts").cast("bigint").alias("_mix_parts"),
-        F.col("horizon").alias("_mix_horizon"),
+        *[F.col(c).alias(f"_mix_{c}") for c in ("parts", "period", "turns", "horizon", "late")],
     )
-    lengths = parts.select(F.col("key").alias("_mix_key"), F.col("parts").alias("_mix_share"))
-    block = F.expr(f"_mix_row div {block_rows}")
+    plan = schedule.select(
+        F.col("key").alias("_mix_key"), F.col("turn").alias("_mix_turn"), F.col("slot").alias("_mix_slot")
+    )
+    block, share, whole = F.col("mix_block"), F.col("_mix_parts"), F.col("_mix_period")
     turned = (
-        numbered.withColumn("mix_block", block)
+        numbered.withColumn("mix_block", F.expr(f"_mix_row div {block_rows}"))
         .join(F.broadcast(lengths), "_mix_key")
-        .withColumn("_mix_turn", F.col("mix_block") % F.col("_mix_share"))
-        .join(F.broadcast(plan), ["_mix_key", "_mix_turn"])
+        # without parts there is no turn: such blocks stay without a match, each by itself
+        .withColumn("_mix_turn", F.coalesce(block % F.col("_mix_turns"), -1 - block))
+        .join(plan, ["_mix_key", "_mix_turn"], "left")
     )
-    rounds = F.expr("mix_block div _mix_parts") * period
-    share = F.col("_mix_parts")
+    slot = _div(block, F.col("_mix_turns")) * whole + F.col("_mix_slot")
+    weighed = share > 0
     placed = (
-        turned.withColumn("mix_slot", rounds + F.col("_mix_slot"))
-        .withColumn("mix_release", F.floor(F.col("mix_block") * period / share))
-        .withColumn("mix_deadline", F.ceil((F.col("mix_block") + 1) * period / share))
+        turned.withColumn("mix_slot", F.when(weighed, slot).otherwise(F.col("_mix_late") + block))
+        .withColumn("mix_release", F.when(weighed, _release(block, share, whole)))
+        .withColumn("mix_deadline", F.when(weighed, _deadline(block, share, whole)))
         .withColumn("mix_order", F.col("mix_slot") * block_rows + F.col("_mix_row") % block_rows)
         .withColumn("on_target", F.col("mix_slot") < F.col("_mix_horizon"))
     )
     return placed.select(*docs.columns, *MIX_COLUMNS)
 
 
-def _horizon(parts: DataFrame, schedule: DataFrame, block_rows: int, period: int) -> DataFrame:
-    """The first slot whose block is missing or not full."""
-    full = parts.withColumn("full", F.expr(f"n div {block_rows}"))
-    at = full.withColumn("turn", F.col("full") % F.col("parts"))
-    slots = at.join(schedule, ["key", "turn"]).select(
-        (F.expr("full div parts") * period + F.col("slot")).alias("slot")
+def _ends(turns: DataFrame, schedule: DataFrame, block_rows: int) -> DataFrame:
+    """``horizon``: the first slot whose block is missing or not full; ``end``: after the last block."""
+    slot = F.expr("block div turns * period") + F.col("slot")
+    blocks = F.array(
+        F.struct(F.lit(False).alias("last"), F.expr(f"n div {block_rows}").alias("block")),
+        F.struct(F.lit(True).alias("last"), F.expr(f"(n - 1) div {block_rows}").alias("block")),
+    )
+    asked = turns.select("key", "period", "turns", F.explode(blocks).alias("b")).select(
+        "key", "period", "turns", "b.last", "b.block", F.expr("b.block % turns").alias("turn")
+    )
+    found = asked.join(schedule, ["key", "turn"])
+    return found.agg(
+        F.min(F.when(~F.col("last"), slot)).alias("horizon"),
+        (F.max(F.when(F.col("last"), slot)) + 1).alias("end"),
     )
-    return slots.agg(F.min("slot").alias("horizon"))

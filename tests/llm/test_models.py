@@ -173,3 +173,32 @@ def test_mixing_edges(spark):
     assert mixed_rows(docs.limit(0)) == []
     with pytest.raises(ValueError, match="longer period"):
         mixing.source_parts(spark.range(9).select(F.col("id").alias("source")), period=8)
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {"s0": 0.9} | {f"s{i}": 0.1 / 19 for i in range(1, 20)},
+        {"s0": 0.9} | {f"s{i}": 0.005 for i in range(1, 19)} | {"s19": 0.01},
+        {"s0": 5, "s1": 3, "s2": 0.00001, "s3": 0},
+        None,
+    ],
+)
+def test_prefixes_keep_the_given_weights(spark, weights):
+    counts = {f"s{i}": 3000 if i == 0 else 40 + 31 * i for i in range(20 if not weights else len(weights))}
+    rows = [(i, s) for s, n in counts.items() for i in range(n)]
+    rows = mixed_rows(spark.createDataFrame(rows, "doc_id bigint, source string"), weights=weights, block_rows=2)
+    assert len(rows) == sum(counts.values())
+    blocks = {(r.source, r.mix_block): r for r in rows}
+    slots = {r.mix_slot: r for r in blocks.values()}
+    assert len(slots) == len(blocks) and len({r.mix_order for r in rows}) == len(rows)
+    wanted = weights or {s: n**0.5 for s, n in counts.items()}
+    total, taken, slot = sum(wanted.values()), Counter(), 0
+    while slot in slots and slots[slot].on_target:
+        taken[slots[slot].source] += 1
+        slot += 1
+        assert all(abs(taken[s] - w / total * slot) < 1 for s, w in wanted.items())
+    assert slot > 90 and not any(r.on_target for r in rows if r.mix_slot >= slot)
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in rows if wanted[r.source])
+    idle = [r.mix_slot for r in rows if not wanted[r.source]]
+    assert not idle or min(idle) > max(r.mix_slot for r in rows if wanted[r.source])
