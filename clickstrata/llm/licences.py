@@ -6,10 +6,15 @@ versions with words left out, and on a bounded choice of ordinary paragraphs. It
 are calibrated with one temperature on versions kept from training; below ``LEAST`` a paragraph
 is unknown. A prediction counts once a notice of that family confirms it: enough of the
 notice's word pairs must stand in the paragraph.
+
+Both single lines and paragraphs, the lines up to a blank one, are read, so a notice may be
+wrapped. Only those are classified that a notice could confirm: the words in ``hint_words`` stand
+in so many pairs of each notice that no text without one of them has enough of its pairs.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -49,6 +54,8 @@ NOTICES = {
         "This program is free software: you can redistribute it and/or modify it under the "
         "terms of the GNU General Public License as published by the Free Software Foundation.",
         "Licensed under the GPL, version 2 or any later version.",
+        "Distributed under the GNU GPL v3.",
+        "under the GNU GPL v2",
     ),
     "lgpl": (
         "This library is free software; you can redistribute it and/or modify it under the "
@@ -96,8 +103,11 @@ ORDINARY = (
     "This version of the program needs a license key.",
 )
 
-#: A paragraph with none of these is unknown without being classified.
-HINTS = r"(?i)licen[cs]|copyright|warrant|permission|permitted|redistribut|public domain|rights"
+#: Words too common to be hints.
+COMMON = frozenset(
+    "a above an and any are as at be by copy file for form free from in into is it law may met no not "
+    "of on or other see that the this to under use used with without work you your 2 2.0 2.1 3 4.0".split()
+)
 
 #: Words of a piece of a longer paragraph; pieces overlap by half.
 PIECE_WORDS = 64
@@ -153,18 +163,66 @@ def _versions(rows: DataFrame) -> DataFrame:
     )
 
 
+def hint_words() -> list[str]:
+    """Words one of which stands in every text that a notice confirms, for all notices.
+
+    A text with ``CONFIRMED`` of a notice's pairs lacks less than the others' share. For each
+    notice, words are chosen until more pairs than that have one: the shared pairs include such.
+    """
+    chosen: set[str] = set()
+    for text in (t for texts in NOTICES.values() for t in texts):
+        words = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
+        pairs = set(zip(words, words[1:], strict=False))
+        left = {w for w in words if w not in COMMON} - chosen
+        while sum(bool(chosen.intersection(p)) for p in pairs) <= (1 - CONFIRMED) * len(pairs) + 1e-9:
+            best = max(left, key=lambda w: (sum(w in p and not chosen.intersection(p) for p in pairs), len(w), w))
+            left.remove(best)
+            chosen.add(best)
+    return sorted(chosen)
+
+
+def _hinted(text: Column) -> Column:
+    """Whether a text may have a hint word; whether it has is asked of its words."""
+    # every hint word begins after the start or after another sign; ends are left open
+    starts = "|".join(re.escape(w) for w in hint_words())
+    return F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{starts})")
+
+
+def _has_hint(words: Column) -> Column:
+    return F.arrays_overlap(words, F.array(*[F.lit(w) for w in hint_words()]))
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """Paragraphs of ``text`` that have a hint, in pieces: ``words`` beside the other columns."""
-    hinted = docs.where(F.col("text").rlike(HINTS))
-    lines = hinted.withColumn("text", F.explode(F.split("text", "\n"))).where(
-        F.col("text").rlike(HINTS)
-    )
+    """Lines and paragraphs of ``text`` in pieces: ``words`` beside the other columns.
+
+    ``part`` numbers a text's paragraphs; ``joined`` is true of a paragraph of several lines. A
+    line without letters and digits is blank, so that comment marks may stand in it; other marks
+    are no part of words. Pieces without a hint word are left out, but each text has one piece
+    more, without words and with a null ``part``, so that it is not lost.
+    """
+    unmarked = F.regexp_replace("text", r"(?im)^[ \t]*(?:dnl|rem)(?![\p{L}\p{N}])", "")
+    unmarked = F.regexp_replace(unmarked, r"\n[^\p{L}\p{N}\n]*(?=\n)", "\f")
+    others = [c for c in docs.columns if c != "text"]
+    split = F.filter(F.split(unmarked, "\f+"), _hinted)
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))
+    texts = F.transform(F.filter(lines, _hinted), lambda x: F.struct(F.lit(False).alias("joined"), x.alias("text")))
+    whole = F.struct(F.lit(True).alias("joined"), F.col("text"))
+    nothing = F.struct(F.lit(False).alias("joined"), F.lit("").alias("text"))
+    each = docs.select(*others, F.posexplode(F.concat(split, F.array(F.lit(None).cast("string")))).alias("part", "text"))
+    each = each.select(
+        *others,
+        F.when(F.col("text").isNotNull(), F.col("part")).alias("part"),
+        F.explode(
+            F.when(F.col("text").isNull(), F.array(nothing))
+            .when(F.size(lines) > 1, F.concat(texts, F.array(whole)))
+            .otherwise(texts)
+        ).alias("t"),
+    ).select(*others, "part", "t.joined", words_of(F.col("t.text")).alias("words"))
     half = PIECE_WORDS // 2
-    whole = lines.withColumn("words", words_of(F.col("text"))).drop("text")
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - half), F.lit(half))
-    return whole.withColumn("at", F.explode(starts)).withColumn(
-        "words", F.slice("words", F.col("at"), PIECE_WORDS)
-    ).drop("at")
+    pieces = F.transform(starts, lambda i: F.slice("words", i, PIECE_WORDS))
+    kept = F.when(F.col("part").isNull(), pieces).otherwise(F.filter(pieces, _has_hint))
+    return each.select(*others, "part", "joined", F.explode(kept).alias("words"))
 
 
 @dataclass
@@ -213,7 +271,7 @@ def train(docs: DataFrame) -> Classifier:
     families = [UNKNOWN, *NOTICES]
     names = F.array(*[F.lit(f) for f in families])
     plain = docs.select(F.explode(F.split("text", "\n")).alias("text")).where(
-        ~F.col("text").rlike(HINTS) & (F.length("text") > 0)
+        ~_hinted(F.col("text")) & (F.length("text") > 0)
     )
     plain = plain.orderBy(F.xxhash64("text"), "text").limit(ORDINARY_ROWS)
     ordinary = _literal_rows(spark, [(UNKNOWN, t) for t in ORDINARY])
@@ -273,15 +331,16 @@ def scan_licences(docs: DataFrame, model: Classifier) -> DataFrame:
     """One row per row of ``docs``: the licence families its text names.
 
     ``families`` are the confirmed ones, sorted and comma-joined; ``n_notices`` their pieces;
-    ``n_unconfirmed`` the pieces predicted as a family that no notice confirmed; ``family`` and
-    ``probability`` belong to the confirmed piece with the highest probability (then the first
-    family name), and are null without one.
+    ``n_unconfirmed`` the pieces predicted as a family that no notice confirmed, of those with a
+    hint word; ``family`` and ``probability`` belong to the confirmed piece with the highest
+    probability (then the first family name), and are null without one. A paragraph of several
+    lines counts for the families that none of its lines names.
 
     Null and empty texts name none. Repeated rows are answered each; an empty table gives an
     empty result; other columns are ignored.
     """
     narrow = docs.select("doc_id", "text")
-    none = F.coalesce(~F.col("text").rlike(HINTS), F.lit(True))
+    none = F.coalesce(~_hinted(F.col("text")), F.lit(True))
     clean = narrow.where(none).select(
         "doc_id",
         F.lit("").alias("families"),
@@ -293,14 +352,23 @@ def scan_licences(docs: DataFrame, model: Classifier) -> DataFrame:
     rows = narrow.where(~none).withColumn("row", F.monotonically_increasing_id())
     found = confirmed(model.predict(paragraphs(rows)))
     sure = F.col("share") >= CONFIRMED
-    named = F.when((F.col("family") != UNKNOWN) & sure, F.col("family"))
-    unsure = (F.col("family") != UNKNOWN) & ~sure
+    known = (F.col("family") != UNKNOWN) & F.col("part").isNotNull()
+    named = F.when(known & sure, F.col("family"))
+    unsure = known & ~sure
     best = F.struct((-F.col("probability")).alias("p"), named.alias("family"))
-    hinted = found.groupBy("row", "doc_id").agg(
-        F.array_join(F.array_sort(F.collect_set(named)), ",").alias("families"),
-        F.count(named).alias("n_notices"),
-        F.count(F.when(unsure, 1)).alias("n_unconfirmed"),
-        F.min(F.when(named.isNotNull(), best)).alias("best"),
+    # of each paragraph and prediction: the lines, or else the joined pieces
+    by_part = found.groupBy("row", "doc_id", "part", named.alias("named"), unsure.alias("unsure")).agg(
+        F.count(F.when(~F.col("joined"), 1)).alias("lines"),
+        F.count(F.when(F.col("joined"), 1)).alias("pieces"),
+        F.min(F.when(~F.col("joined"), best)).alias("line_best"),
+        F.min(best).alias("piece_best"),
+    )
+    times = F.when(F.col("lines") > 0, F.col("lines")).otherwise(F.col("pieces"))
+    hinted = by_part.groupBy("row", "doc_id").agg(
+        F.array_join(F.array_sort(F.collect_set("named")), ",").alias("families"),
+        F.coalesce(F.sum(F.when(F.col("named").isNotNull(), times)), F.lit(0)).alias("n_notices"),
+        F.coalesce(F.sum(F.when(F.col("unsure"), times)), F.lit(0)).alias("n_unconfirmed"),
+        F.min(F.when(F.col("named").isNotNull(), F.coalesce("line_best", "piece_best"))).alias("best"),
     )
     return clean.unionByName(
         hinted.select(

@@ -1,6 +1,7 @@
 """Toxicity, licences, neighbours and mixing."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -86,6 +87,58 @@ def test_licence_notices_are_named(spark, rows_of):
     assert licences.scan_licences(docs.limit(0), model).count() == 0
 
 
+WRAPPED = {
+    "mit": """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining
+a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction, including
+without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to
+permit persons to whom the Software is furnished to do so, subject to
+the following conditions:""",
+    "bsd": """Redistribution and use in source and binary
+forms, with or without modification, are
+permitted provided that the following
+conditions are met:
+1. Redistributions of source code must retain
+   the above copyright notice.""",
+    "gpl": """This program is free software: you can
+redistribute it and/or modify it under the
+terms of the GNU General Public License as
+published by the Free Software Foundation,
+either version 3 of the License, or
+(at your option) any later version.""",
+    "cc-by": "Distributed under CC BY 4.0",
+}
+
+
+def test_wrapped_and_hintless_notices_are_named(spark, rows_of):
+    plain = [(i, f"Line {i} of words.\nAnother one about {i} things") for i in range(60)]
+    rows, expected = [], {}
+    for i, (family, text) in enumerate(WRAPPED.items()):
+        for j, mark in enumerate(("", "# ", " * ", "dnl ")):
+            marked = "\n".join((mark + line).rstrip() for line in text.split("\n"))
+            rows.append((100 + 10 * i + j, f"int x;\n{mark.rstrip()}\n{marked}\n\nOther words"))
+            expected[rows[-1][0]] = family
+    rows += [(200, "This is under the GNU GPL v3"), (201, "cc cc cc\n\nsoftware"), (202, "ccx")]
+    expected |= {200: "gpl", 201: "", 202: ""}
+    docs = rows_of(plain + rows)
+    found = licences.scan_licences(docs, licences.train(docs)).collect()
+    assert len(found) == len(plain) + len(rows)
+    named = {r.doc_id: r.families for r in found}
+    assert {i: named[i] for i in expected} == expected and not any(named[i] for i in range(60))
+
+
+def test_no_confirmed_text_is_without_a_hint_word():
+    hints = set(licences.hint_words())
+    for text in (t for texts in licences.NOTICES.values() for t in texts):
+        words = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", text.lower())
+        pairs = set(zip(words, words[1:], strict=False))
+        without = [p for p in pairs if not hints.intersection(p)]
+        assert len(without) < licences.CONFIRMED * len(pairs), text
+
+
 def brute_neighbours(rows, asked, k):
     usable = {}
     for i, v in rows:
