@@ -13,7 +13,8 @@ A document's set holds its distinct shingles. Identical sets are one set from he
   exact overlap with every set at once.
 * *Large families.* Some pivots of a family are put into each of its groups. A set that is
   connected to the first pivot within its group needs no further links, as only connections
-  count; the others are sent to every other group of the family.
+  count; the others are sent to the other groups that hold one of their parts, since sets that
+  link share a part. A group's visitors come in pieces of bounded size, each with the group.
 
 All tests are exact on 64-bit hashes of shingles. Only spanning links are given out.
 """
@@ -51,6 +52,9 @@ SPARE_PARTS = 2
 GROUP_ROWS = 256
 PIVOTS = 8
 
+#: Visitors of a group that are compared in one task, about.
+VISITOR_ROWS = 1024
+
 SKETCH = "doc_id bigint, n bigint, set_id binary, parts array<bigint>"
 
 
@@ -139,8 +143,9 @@ def sketches(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 # Families and groups -----------------------------------------------------------------------
 
 
-def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Sets that share parts: ``node, family, grp``, and the groups of families with several."""
+def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets that share parts: ``node, family, grp``, the groups of families with several, and
+    the shared parts of each set: ``node, part``."""
     parts = sets.select("node", F.explode("parts").alias("part")).repartition("part")
     often = parts.groupBy("part").agg(
         F.count(F.lit(1)).alias("count"), F.min("node").alias("first")
@@ -166,7 +171,29 @@ def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     )
     groups = members.select("family", "grp").distinct()
     several = groups.groupBy("family").count().where("count > 1").select("family")
-    return members, work.written(groups.join(several, "family"), "family-groups")
+    several_groups = work.written(groups.join(several, "family"), "family-groups")
+    return members, several_groups, shared.select("node", "part")
+
+
+def visits(lost: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
+    """``node, family, grp``: the other groups of its family with a set that shares a part with it.
+
+    ``lost`` has ``node, family, own``. Parts and groups meet before any tokens are moved.
+    """
+    lost = lost.select("node", "family", "own").distinct()
+    holders = members.join(shared, "node").select("part", "grp").distinct()
+    wanted = lost.join(shared, "node").select("node", "family", "own", "part")
+    return wanted.join(holders, "part").where("grp <> own").select("node", "family", "grp").distinct()
+
+
+def dealt(visitors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Visits with their ``piece`` of about ``VISITOR_ROWS``, and ``family, grp, piece`` of all pieces."""
+    sizes = visitors.groupBy("family", "grp").agg(
+        F.expr(f"count(1) div {VISITOR_ROWS} + 1").alias("pieces")
+    )
+    piece = F.pmod(F.xxhash64("node"), F.col("pieces"))
+    pieces = sizes.select("family", "grp", F.explode(F.expr("sequence(0L, pieces - 1)")).alias("piece"))
+    return visitors.join(sizes, ["family", "grp"]).withColumn("piece", piece).drop("pieces"), pieces
 
 
 def pivots(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -288,7 +315,7 @@ def set_links(
     docs: DataFrame, sets: DataFrame, ids: DataFrame, shingle: int, percent: int, work: Workspace
 ) -> DataFrame:
     """Spanning links (a, b) between different sets, named by the smallest id that has each."""
-    members, groups = families(sets, work)
+    members, groups, shared = families(sets, work)
     named = members.join(ids, "node")
     tokens = _token_sets(docs, named, shingle, work)
     chosen = pivots(members, groups)
@@ -299,17 +326,15 @@ def set_links(
     by_group = pivot_rows.unionByName(member_rows).groupBy("family", "grp")
     inside = work.written(by_group.applyInArrow(_opened(percent, False), LINKS), "group-links")
     lost = inside.where("b IS NULL").select(F.col("a").alias("node"), "family", F.col("grp").alias("own"))
-    visitors = (
-        lost.join(tokens.drop("grp", "family"), "node")
-        .join(groups, "family")
-        .where("grp <> own")
-        .select("node", "family", "grp", "tokens", F.lit(2).alias("kind"))
+    several = members.join(groups.select("family").distinct(), "family", "left_semi")
+    visiting, pieces = dealt(work.written(visits(lost, several, shared), "visits"))
+    visitors = tokens.drop("grp", "family").join(visiting, "node").select(
+        "node", "family", "grp", "piece", "tokens", F.lit(2).alias("kind")
     )
-    visited = visitors.select("family", "grp").distinct()
-    hosts = member_rows.join(visited, ["family", "grp"], "left_semi")
+    hosts = member_rows.join(pieces, ["family", "grp"])
     outside = (
         visitors.unionByName(hosts)
-        .groupBy("family", "grp")
+        .groupBy("family", "grp", "piece")
         .applyInArrow(_opened(percent, True), LINKS)
     )
     return inside.where("b IS NOT NULL").unionByName(outside).select("a", "b")

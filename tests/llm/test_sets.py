@@ -80,6 +80,48 @@ def test_similarity_classes(rows_of, monkeypatch, shingle, percent):
     assert sorted(map(tuple, found.collect())) == classes(rows, shingle, percent)
 
 
+def test_sets_visit_only_groups_with_one_of_their_parts(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "VISITOR_ROWS", 3)
+    members = [(i, 1, i % 5) for i in range(40)] + [(100, 2, 0), (101, 2, 1)]
+    parts = [(i, 1000 + i // 2) for i in range(40)] + [(i, 5000) for i in range(0, 40, 5)]
+    parts += [(i, 6000) for i in range(1, 40, 5)] + [(0, 6000), (100, 7000), (101, 7000)]
+    lost = [(i, 1, i % 5) for i in range(0, 40, 3)] + [(100, 2, 0)]
+    found = similarity.visits(
+        spark.createDataFrame(lost, "node bigint, family bigint, own bigint"),
+        spark.createDataFrame(members, "node bigint, family bigint, grp bigint"),
+        spark.createDataFrame(parts, "node bigint, part bigint"),
+    )
+    group = {node: (family, grp) for node, family, grp in members}
+    expected = {
+        (node, *group[other])
+        for node, _, _ in lost
+        for mine, part in parts
+        if mine == node
+        for other, also in parts
+        if also == part and group[other] != group[node]
+    }
+    rows = list(map(tuple, found.collect()))
+    assert len(rows) == len(expected) < len(lost) * 4 and set(rows) == expected
+    many = spark.range(60).selectExpr("id node", "1L family", "0L grp")
+    visiting, pieces = similarity.dealt(many)
+    sizes = Counter(r.piece for r in visiting.collect())
+    assert pieces.count() == 21 and max(sizes.values()) < 15 and sum(sizes.values()) == 60
+    assert set(sizes) <= {r.piece for r in pieces.collect()}
+
+
+def test_visitors_in_pieces_keep_the_classes(rows_of, monkeypatch):
+    monkeypatch.setattr(similarity, "GROUP_ROWS", 8)
+    monkeypatch.setattr(similarity, "VISITOR_ROWS", 4)
+    draw = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [
+        (i, " ".join(passage + [f"x{draw.randrange(30)}" for _ in range(draw.randint(0, 30))]))
+        for i in range(200)
+    ]
+    found = similarity.similarity_classes(rows_of(rows), 5, 80)
+    assert sorted(map(tuple, found.collect())) == classes(rows, 5, 80)
+
+
 def test_similarity_edges(rows_of):
     text = " ".join(f"a{i}" for i in range(30))
     other = " ".join(f"b{i}" for i in range(30))
