@@ -108,9 +108,62 @@ SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
+FILTER_AUDIT = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+f AS (
+    SELECT d.doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+        regexp_matches(text, '[#$%&*|]') AS d,
+        coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false) AS e,
+        coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+    FROM d LEFT JOIN (
+        SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+        FROM labels GROUP BY doc_id
+    ) AS l ON l.doc_id = d.doc_id
+),
+fails AS (
+    SELECT part, good, toxic, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS m,
+        a::INT + b::INT + c::INT + d::INT + e::INT AS n_failed, count(*) AS n
+    FROM f GROUP BY ALL
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+    FROM letters p, letters q, letters r, letters s, letters t
+    WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS x, filter_order[1:step - 1] AS before
+    FROM orders, unnest(range(1, 6)) AS u(step)
+),
+seen AS (
+    SELECT *, m[x] AS failing,
+        len(list_filter(string_split(before, ''), lambda y: m[y])) > 0 AS gone
+    FROM fails, steps
+),
+counts AS (
+    SELECT part, filter_order, step, x,
+        sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN gone AND failing THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN failing AND n_failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN NOT gone AND failing AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN NOT gone AND failing AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+    FROM seen GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost,
+    toxic_lost, sum(removed) OVER (PARTITION BY part, x)::BIGINT AS shapley
+FROM counts
+"""
+
 ORACLES = {
     "op2_decontamination": DECONTAMINATION,
     "op4_ngram_jaccard_join": SIMILARITY,
     "op9_substring_dedup": REPEATS,
     "op10_nearest_neighbours": NEIGHBOURS,
+    "op11_filter_audit": FILTER_AUDIT,
 }

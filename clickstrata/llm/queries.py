@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clickstrata.llm import (
     decontamination,
+    filter_audit,
     html_text,
     licences,
     mixing,
@@ -85,6 +86,12 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return filter_audit.audit_documents(docs, labels)
+
+
 def _of_kinds(spans: Column, kinds: list[str]) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 
@@ -121,6 +128,7 @@ _QUERIES = (
     op8_secret_scan,
     op9_substring_dedup,
     op10_nearest_neighbours,
+    op11_filter_audit,
 )
 
 
