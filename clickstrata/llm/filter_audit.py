@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickstrata.llm.common import Workspace, workspace
@@ -32,7 +32,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, DISTINCT_PERCENT, CAPITALS_PERCENT = 200, 50, 2
 MARKS = "[#$%&*|]"
 
-#: More filters than this would make more than 8! orders of 8 steps.
+#: Eight filters would make 8! orders of 8 steps for each part.
 MOST_FILTERS = 7
 
 
@@ -147,6 +147,10 @@ def _add(names: tuple[str, ...]):
     return add
 
 
+def _texts(names: list[str]) -> Column:
+    return F.split(F.lit(",".join(names)), ",")
+
+
 def audit_filters(
     failures: DataFrame, filters: str, lost: Mapping[str, str] | None = None
 ) -> DataFrame:
@@ -159,13 +163,16 @@ def audit_filters(
     alone), and ``shapley``: what its filter removes, summed over all orders. A null part or mask
     counts as empty or 0. Without rows there are no parts and no result rows.
     """
-    if not 1 <= len(filters) <= MOST_FILTERS or len(set(filters)) != len(filters):
+    different = len(set(filters)) == len(filters) and filters.isalpha()
+    if not different or len(filters) > MOST_FILTERS:
         raise ValueError(f"{filters!r}: between one and {MOST_FILTERS} different letters")
     lost = dict(lost or {})
     bits = {letter: 1 << i for i, letter in enumerate(filters)}
     names = ["".join(order) for order in permutations(filters)]
     steps = len(filters)
-    orders = F.array(*[F.array(*[F.lit(bits[c]) for c in name]) for name in names])
+    orders = F.expr(
+        "array(%s)" % ", ".join("array(%s)" % ", ".join(str(bits[c]) for c in name) for name in names)
+    )
     counts = (*_COUNTS, *lost)
 
     cells = failures.groupBy(
@@ -186,28 +193,16 @@ def audit_filters(
         _fold(orders, nothing, tuple(lost)),
         lambda total, cell: F.zip_with(total, _fold(orders, cell, tuple(lost)), _add(counts)),
     )
-    shapley = F.transform(
-        F.array(*[F.lit(b) for b in bits.values()]),
-        lambda bit: F.aggregate(
-            F.filter("steps", lambda s: s["bit"] == bit),
-            F.lit(0).cast("bigint"),
-            lambda total, s: total + s["removed"],
+    rows = parts.select("part", F.posexplode_outer(merged).alias("at", "step"))
+    same_filter = Window.partitionBy("part", "step.bit")
+    return rows.select(
+        "part",
+        F.element_at(_texts(names), (F.floor(F.col("at") / steps) + 1).cast("int")).alias(
+            "filter_order"
         ),
-    )
-    return (
-        parts.select("part", merged.alias("steps"))
-        .select("part", shapley.alias("shapley"), F.posexplode("steps").alias("at", "step"))
-        .select(
-            "part",
-            F.element_at(F.lit(names), (F.floor(F.col("at") / steps) + 1).cast("int")).alias(
-                "filter_order"
-            ),
-            (F.col("at") % steps + 1).alias("step"),
-            *[F.col("step")[name].alias(name) for name in counts],
-            F.element_at(
-                "shapley", (F.round(F.log2(F.col("step")["bit"])) + 1).cast("int")
-            ).alias("shapley"),
-        )
+        (F.col("at") % steps + 1).alias("step"),
+        *[F.col("step")[name].alias(name) for name in counts],
+        F.sum("step.removed").over(same_filter).alias("shapley"),
     )
 
 
