@@ -160,10 +160,55 @@ SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_f
 FROM counts
 """
 
+def _clustering(k: int = 16, rounds: int = 3) -> str:
+    """One pair of tables a round: the nearest centroid of each vector, then the means."""
+    nearest = """
+n{0} AS MATERIALIZED (
+    SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+        SELECT r, c, sum((x - y) * (x - y)) AS d FROM v JOIN c{0} USING (j) GROUP BY r, c
+    ) GROUP BY r
+)"""
+    means = """
+c{1} AS MATERIALIZED (
+    SELECT c, j, coalesce(m, y) AS y FROM c{0} LEFT JOIN (
+        SELECT c, j, floor(sum(x) / count(*))::BIGINT AS m FROM v JOIN n{0} USING (r) GROUP BY c, j
+    ) USING (c, j)
+)"""
+    steps = [s.format(i, i + 1) for i in range(rounds) for s in (nearest, means)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
+    WHERE len(embedding) = 64
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+v AS MATERIALIZED (
+    SELECT r, j, floor(64 * CAST(e[j] AS DOUBLE))::BIGINT AS x FROM kept, unnest(range(1, 65)) AS t(j)
+),
+c0 AS MATERIALIZED (
+    SELECT n - 1 AS c, j, x AS y FROM (
+        SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id), e) AS n FROM kept
+        WHERE vec_id IS NOT NULL
+    ) JOIN v USING (r) WHERE n <= {k}
+),
+{",".join(steps)},
+{nearest.format(rounds)},
+digests AS (
+    SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY j)) AS s FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, c::INT AS cluster, d::BIGINT AS distance,
+    (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+    (sum(d) OVER ())::BIGINT AS inertia, s AS centroid_sha256
+FROM n{rounds} JOIN kept USING (r) JOIN digests USING (c)
+"""
+
+
+CLUSTERING = _clustering()
+
 ORACLES = {
     "op2_decontamination": DECONTAMINATION,
     "op4_ngram_jaccard_join": SIMILARITY,
     "op9_substring_dedup": REPEATS,
     "op10_nearest_neighbours": NEIGHBOURS,
     "op11_filter_audit": FILTER_AUDIT,
+    "op13_centroid_clustering": CLUSTERING,
 }

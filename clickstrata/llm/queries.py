@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstrata.llm import (
+    bisectors,
     decontamination,
     filter_audit,
     html_text,
@@ -92,6 +93,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(docs, labels)
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def _of_kinds(spans: Column, kinds: list[str]) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 
@@ -129,6 +134,7 @@ _QUERIES = (
     op9_substring_dedup,
     op10_nearest_neighbours,
     op11_filter_audit,
+    op13_centroid_clustering,
 )
 
 
