@@ -18,6 +18,7 @@ from clickstrata.llm import (
     licences,
     mixing,
     neighbours,
+    packing,
     repeats,
     secrets,
     similarity,
@@ -93,6 +94,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(docs, labels)
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisectors.cluster_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -134,6 +139,7 @@ _QUERIES = (
     op9_substring_dedup,
     op10_nearest_neighbours,
     op11_filter_audit,
+    op12_best_fit_packing,
     op13_centroid_clustering,
 )
 
