@@ -21,6 +21,12 @@ def complete_units(unit: str, start: Column, end: Column) -> Column:
     return F.timestamp_diff(unit, start.cast("timestamp"), end.cast("timestamp"))
 
 
+def iso_week(day: Column) -> list[Column]:
+    """ISO ``year`` and ``week`` of a day, given as a date or its text."""
+    date = day.cast("date")
+    return [F.extract(F.lit("YEAROFWEEK"), date).alias("year"), F.weekofyear(date).alias("week")]
+
+
 def with_parsed_time(df: DataFrame, column: str = "request_time") -> DataFrame:
     """Parse ISO-8601 text (fraction optional) to a timestamp; leave timestamps alone."""
     require_utc(df.sparkSession)

@@ -2,11 +2,21 @@
 
 from pyspark.sql import DataFrame
 
+from clickstrata.operators import sketches
 from clickstrata.operators.profiles import session_profile
 
 
-def device_stats(prepared: DataFrame) -> DataFrame:
-    """Counts and session figures of every device type that occurs."""
+def device_stats(prepared: DataFrame, approximate: bool = False) -> DataFrame:
+    """Counts and session figures of every device type that occurs.
+
+    ``approximate`` estimates visitors and medians from sketches instead
+    (``operators.sketches`` states the error).
+    """
+    if approximate:
+        keys = ["device_type"]
+        return sketches.device_stats(
+            sketches.event_sketches(prepared, keys), sketches.session_sketches(prepared, keys)
+        )
     return (
         session_profile(prepared, ["device_type"])
         .select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickstrata.functions.urls import is_motion_page, is_numeric_text, motion_id
+from clickstrata.operators import sketches
 from clickstrata.operators.profiles import group_profile
 
 #: Rows the report shows.
@@ -22,8 +23,16 @@ def motion_events(prepared: DataFrame) -> DataFrame:
     )
 
 
-def motion_stats(motions: DataFrame, top_n: int | None = None) -> DataFrame:
-    """Figures per motion, most sessions first; ``top_n`` keeps the first rows."""
+def motion_stats(
+    motions: DataFrame, top_n: int | None = None, approximate: bool = False
+) -> DataFrame:
+    """Figures per motion, most sessions first; ``top_n`` keeps the first rows.
+
+    ``approximate`` estimates sessions, visitors and medians from sketches instead
+    (``operators.sketches`` states the error).
+    """
+    if approximate:
+        return sketches.motion_stats(sketches.event_sketches(motions, ["motion"]), top_n)
     stats = (
         group_profile(motions, ["motion"])
         .select("motion", "median_seconds", "pageviews", "sessions", "visitors")

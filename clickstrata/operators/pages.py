@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickstrata.functions.ratios import percent, round2
 from clickstrata.functions.urls import EMBEDDED_PAGE
+from clickstrata.operators import sketches
 from clickstrata.operators.profiles import group_profile
 
 #: Device types the reports show pages for.
@@ -16,13 +17,17 @@ REPORT_DEVICES = ("desktop", "mobile")
 
 
 def page_stats(
-    prepared: DataFrame, lim: int = 10, keys: Sequence[str] = ()
+    prepared: DataFrame, lim: int = 10, keys: Sequence[str] = (), approximate: bool = False
 ) -> DataFrame:
     """Figures of every page with at least ``lim`` sessions, most sessions first.
 
     ``exit_pct`` is the share of views that end their session. With further ``keys`` pages
-    are counted, and ``lim`` applies, within each key.
+    are counted, and ``lim`` applies, within each key. ``approximate`` estimates sessions,
+    visitors and medians from sketches instead (``operators.sketches`` states the error).
     """
+    if approximate:
+        daily = sketches.event_sketches(prepared, [*keys, "clean_url"])
+        return sketches.page_stats(daily, lim, keys)
     pages = prepared.where(F.col("clean_url") != EMBEDDED_PAGE)
     return (
         group_profile(pages, [*keys, "clean_url"])

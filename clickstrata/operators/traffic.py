@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickstrata.functions.times import iso_week
+from clickstrata.operators import sketches
 from clickstrata.operators.profiles import session_profile
 
 # Weekday names in the reports, Monday first.
@@ -21,13 +23,16 @@ def of_types(events: DataFrame, event_types: Sequence[str] | None) -> DataFrame:
 
 
 def traffic_daily(
-    prepared: DataFrame, event_types: Sequence[str] | None = None
+    prepared: DataFrame, event_types: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
     """Per arrival day: weekday (Monday = 0), pageviews, sessions started, visitors.
 
     Visitors are counted from (day, visitor) rows, so the shuffle carries each visitor of a
-    day once per task. A day on which no session started has null sessions.
+    day once per task. A day on which no session started has null sessions. ``approximate``
+    estimates the visitors from sketches instead (``operators.sketches`` states the error).
     """
+    if approximate:
+        return sketches.traffic_daily(sketches.event_sketches(of_types(prepared, event_types)))
     per_visitor = (
         of_types(prepared, event_types)
         .where(F.col("date_day").isNotNull())
@@ -102,15 +107,17 @@ def traffic_weekday(daily: DataFrame) -> DataFrame:
 
 
 def traffic_weekly(
-    prepared: DataFrame, event_types: Sequence[str] | None = None
+    prepared: DataFrame, event_types: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
     """Per ISO week of arrival: pageviews, sessions and visitors.
 
     Distinct counts are nested group-bys (a session belongs to one visitor): each level is
-    combined before its shuffle, and no row is multiplied.
+    combined before its shuffle, and no row is multiplied. ``approximate`` estimates sessions
+    and visitors from sketches instead (``operators.sketches`` states the error).
     """
-    day = F.col("date_day").cast("date")
-    week = [F.extract(F.lit("YEAROFWEEK"), day).alias("year"), F.weekofyear(day).alias("week")]
+    if approximate:
+        return sketches.traffic_weekly(sketches.event_sketches(of_types(prepared, event_types)))
+    week = iso_week(F.col("date_day"))
     return (
         of_types(prepared, event_types)
         .where(F.col("date_day").isNotNull())
