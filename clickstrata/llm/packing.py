@@ -29,6 +29,7 @@ from bisect import bisect_left, insort
 from collections import deque
 from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -103,16 +104,27 @@ class TokenIds(dict):
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of units without rare characters, which the tokenizer does not cut: as one text."""
+        encoded = self.tokenizer.encode(" ".join(units), add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4").tobytes()
+        ends = 4 * (np.flatnonzero(np.diff(np.array(encoded.word_ids, int), append=-1)) + 1)
+        found = [ids[start:end] for start, end in pairwise([0, *ends.tolist()])]
+        return found if len(found) == len(units) else self._encode(units)
+
     def _learn(self, words: set[str]) -> None:
         if self.size > REMEMBERED_BYTES:
             self.clear()
             self.size = 0
         new = [w for w in words if w not in self]
-        for at in range(0, len(new), 4096):
-            block = new[at : at + 4096]
-            for word, ids in zip(block, self._encode(block), strict=True):
-                self[word] = ids
-                self.size += 160 + 2 * len(word) + len(ids)
+        rare = [w for w in new if _RARE.search(w)]
+        common = [w for w in new if not _RARE.search(w)]
+        for some, encode in ((rare, self._encode), (common, self._encode_units)):
+            for at in range(0, len(some), 4096):
+                block = some[at : at + 4096]
+                for word, ids in zip(block, encode(block), strict=True):
+                    self[word] = ids
+                    self.size += 160 + 2 * len(word) + len(ids)
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, whole."""
