@@ -23,6 +23,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickstrata.llm.common import workspace
+
 UNKNOWN = "unknown"
 
 # The short notices that public licences ask authors to use, by family.
@@ -34,6 +36,8 @@ NOTICES = {
         "Unless required by applicable law or agreed to in writing, software distributed under "
         'the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF '
         "ANY KIND, either express or implied.",
+        "Released under the Apache License 2.0.",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "mit": (
         "Released under the MIT License.",
@@ -42,12 +46,17 @@ NOTICES = {
         "software and associated documentation files, to deal in the Software without "
         "restriction, including without limitation the rights to use, copy, modify, merge, "
         "publish, distribute, sublicense, and/or sell copies of the Software.",
+        "The MIT License (MIT)",
+        "MIT License",
+        "SPDX-License-Identifier: MIT",
     ),
     "bsd": (
         "Use of this source code is governed by a BSD-style license.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met.",
         "Released under the BSD 3-Clause License.",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -56,15 +65,32 @@ NOTICES = {
         "Licensed under the GPL, version 2 or any later version.",
         "Distributed under the GNU GPL v3.",
         "under the GNU GPL v2",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the "
+        "terms of the GNU Affero General Public License as published by the Free Software "
+        "Foundation.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under the AGPL, version 3 or any later version.",
+        "Distributed under the GNU AGPL v3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ),
     "lgpl": (
         "This library is free software; you can redistribute it and/or modify it under the "
         "terms of the GNU Lesser General Public License.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, Version 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
     "cc-by": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -84,6 +110,33 @@ NOTICES = {
         "To the extent possible under law, the author has waived all copyright and related "
         "rights to this work.",
         "Released into the public domain under CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+        "or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License, Version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "eupl-1.2": (
+        "Licensed under the EUPL, Version 1.2.",
+        "Licensed under the European Union Public Licence, Version 1.2.",
+        "SPDX-License-Identifier: EUPL-1.2",
+    ),
+    "bsl-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
     ),
 }
 
@@ -115,6 +168,9 @@ PIECE_WORDS = 64
 VERSIONS, HELD_VERSIONS = 16, 6
 VOCABULARY = 4096
 ORDINARY_ROWS = 2000
+
+#: Lines taken for each ordinary piece that is needed, against repeated, empty and hinted ones.
+SPARE_LINES = 8
 LEAST = 0.5
 CONFIRMED = 0.6
 
@@ -218,9 +274,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
             .otherwise(texts)
         ).alias("t"),
     ).select(*others, "part", "t.joined", words_of(F.col("t.text")).alias("words"))
-    half = PIECE_WORDS // 2
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - half), F.lit(half))
-    pieces = F.transform(starts, lambda i: F.slice("words", i, PIECE_WORDS))
+    pieces = _pieces(F.col("words"))
     kept = F.when(F.col("part").isNull(), pieces).otherwise(F.filter(pieces, _has_hint))
     return each.select(*others, "part", "joined", F.explode(kept).alias("words"))
 
@@ -261,25 +315,55 @@ class Classifier:
         )
 
 
+def _pieces(words: Column) -> Column:
+    """Overlapping pieces that together hold all the words."""
+    half = PIECE_WORDS // 2
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - half), F.lit(half))
+    return F.transform(starts, lambda i: F.slice(words, i, PIECE_WORDS))
+
+
+def _ordinary_pieces(docs: DataFrame) -> DataFrame:
+    """``words`` of at most ``ORDINARY_ROWS`` pieces of lines without a hint.
+
+    The lines whose hashes are below a threshold are taken, a few times as many as are needed
+    whatever the number of lines, each text once, and of their pieces those with the smallest
+    hashes. No line above the threshold is sorted, sent or read for hints.
+    """
+    line_ends = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    lines = docs.agg(F.coalesce(F.sum(line_ends + 1), F.lit(0)).alias("n")).first()["n"]
+    below = int(min(1.0, SPARE_LINES * ORDINARY_ROWS / max(lines, 1)) * 2**64) - 2**63
+    chosen = (
+        docs.select(F.explode(F.split("text", "\n")).alias("text"))
+        .where(F.xxhash64("text") <= min(below, 2**63 - 1))
+        .where(F.length("text") > 0)
+        .distinct()
+        .where(~_hinted(F.col("text")))
+    )
+    pieces = chosen.select(words_of(F.col("text")).alias("all")).select(
+        F.explode(_pieces(F.col("all"))).alias("words")
+    )
+    return pieces.orderBy(F.xxhash64("words"), "words").limit(ORDINARY_ROWS)
+
+
 def train(docs: DataFrame) -> Classifier:
     """Fit to the notices and to ordinary paragraphs.
 
-    The ordinary ones are the sentences above and at most ``ORDINARY_ROWS`` paragraphs of
-    ``docs`` without a hint, those with the smallest hashes.
+    The ordinary ones are the sentences above and at most ``ORDINARY_ROWS`` pieces of lines of
+    ``docs`` without a hint. Null and empty texts have none; without any the sentences remain.
     """
-    spark = docs.sparkSession
+    with workspace(docs.sparkSession, "licences") as work:
+        return _fit(docs.sparkSession, work.written(_ordinary_pieces(docs), "ordinary"))
+
+
+def _fit(spark: SparkSession, plain: DataFrame) -> Classifier:
     families = [UNKNOWN, *NOTICES]
     names = F.array(*[F.lit(f) for f in families])
-    plain = docs.select(F.explode(F.split("text", "\n")).alias("text")).where(
-        ~_hinted(F.col("text")) & (F.length("text") > 0)
-    )
-    plain = plain.orderBy(F.xxhash64("text"), "text").limit(ORDINARY_ROWS)
     ordinary = _literal_rows(spark, [(UNKNOWN, t) for t in ORDINARY])
     rows = _versions(notices(spark).unionByName(ordinary)).unionByName(
         plain.select(
             F.lit(UNKNOWN).alias("family"),
-            F.pmod(F.xxhash64("text"), F.lit(VERSIONS + HELD_VERSIONS)).cast("int").alias("version"),
-            F.slice(words_of(F.col("text")), 1, PIECE_WORDS).alias("words"),
+            F.pmod(F.xxhash64("words"), F.lit(VERSIONS + HELD_VERSIONS)).cast("int").alias("version"),
+            "words",
         )
     )
     # a few thousand short rows, bounded by the constants above

@@ -255,3 +255,64 @@ def test_prefixes_keep_the_given_weights(spark, weights):
     assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in rows if wanted[r.source])
     idle = [r.mix_slot for r in rows if not wanted[r.source]]
     assert not idle or min(idle) > max(r.mix_slot for r in rows if wanted[r.source])
+
+
+#: Lines as people write them, none of them a notice word for word.
+LINES = [
+    ("// SPDX-License-Identifier: MIT", "mit"),
+    ("# SPDX-License-Identifier: GPL-3.0-or-later", "gpl"),
+    (" * SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+    ("MIT License", "mit"),
+    ("This software is released under the MIT license", "mit"),
+    ("Released under the Apache License 2.0", "apache-2.0"),
+    (
+        "This program is free software: you can redistribute it and/or modify\n"
+        "# it under the terms of the GNU Affero General Public License as\n"
+        "# published by the Free Software Foundation, either version 3",
+        "agpl",
+    ),
+    (
+        "This program is free software: you can redistribute it and/or modify\n"
+        "it under the terms of the GNU General Public License as published by\n"
+        "the Free Software Foundation, either version 3 of the License, or",
+        "gpl",
+    ),
+    ("Licensed under the GNU AGPL v3", "agpl"),
+    ("SPDX-License-Identifier: AGPL-3.0-only", "agpl"),
+    (
+        "Permission to use, copy, modify, and/or distribute this software for any\n"
+        "purpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.",
+        "isc",
+    ),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    (
+        "This program and the accompanying materials are made available under the\n"
+        "terms of the Eclipse Public License 2.0 which is available at",
+        "epl-2.0",
+    ),
+    ("Licensed under the EUPL, Version 1.2 or later", "eupl-1.2"),
+    ("Distributed under the Boost Software License, Version 1.0. (See file LICENSE_1_0.txt)", "bsl-1.0"),
+    ("Licensed under the Mozilla Public License 2.0", "mpl-2.0"),
+    ("The driving licence was lost under the bridge.", ""),
+    ("The public library lends software under its own terms.", ""),
+]
+
+
+def test_licence_lines_in_use(spark, rows_of):
+    plain = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(i, text) for i, (text, _) in enumerate(LINES)]
+    found = licences.scan_licences(rows_of(rows), licences.train(plain)).collect()
+    assert {r.doc_id: r.families for r in found} == {i: name for i, (_, name) in enumerate(LINES)}
+
+
+def test_ordinary_pieces_hold_whole_lines_once(spark, rows_of, monkeypatch):
+    """Repeated and hinted lines, and lines of many pieces; the smallest hashes of all pieces."""
+    long = " ".join(f"w{i}" for i in range(300))
+    docs = rows_of([(i, "same line\n\nan mit license") for i in range(400)] + [(1000, long), (1001, None), (1002, "")])
+    pieces = [r.words for r in licences._ordinary_pieces(docs).collect()]
+    assert ["same", "line"] in pieces and len(pieces) == 1 + 9
+    assert {w for p in pieces for w in p} == {"same", "line", *long.split()}
+    monkeypatch.setattr(licences, "ORDINARY_ROWS", 3)
+    assert len(licences._ordinary_pieces(docs).collect()) <= 3
+    assert licences._ordinary_pieces(docs.limit(0)).collect() == []
