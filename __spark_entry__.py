@@ -30,7 +30,7 @@ from clickstrata.operators import (  # noqa: E402
     social,
     traffic,
 )
-from clickstrata.plans.ingest import delivered, ingest_events  # noqa: E402
+from clickstrata.plans.ingest import DROPPED  # noqa: E402
 from clickstrata.plans.report import (  # noqa: E402
     TOP_CITIES,
     TOP_COUNTRIES,
@@ -40,9 +40,12 @@ from clickstrata.plans.report import (  # noqa: E402
 )
 from clickstrata.sources import sample_site  # noqa: E402
 from clickstrata.sources.shared import fresh_path, scratch, written  # noqa: E402
+from clickstrata.sources.tables import read_events, read_results, write_events  # noqa: E402
+from clickstrata.streaming.ingest import OUTCOMES, start_ingest  # noqa: E402
 from clickstrata.streaming.sessions import (  # noqa: E402
-    closed_session_events,
+    number_session_events,
     number_sessions,
+    start_session_events,
     start_sessions,
 )
 from oracle_queries import ORACLES  # noqa: E402
@@ -85,8 +88,9 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.sound_records(enrich.decode_envelope(raw))
 
 
-def _places(spark: SparkSession) -> DataFrame:
-    return written(places.disjoint_places(sample_site.ip_blocks(spark)), "places")
+def _places(spark: SparkSession, sf_dir: str, folder: str) -> places.PlaceTree:
+    intervals = places.disjoint_places(sample_site.address_blocks(spark, sf_dir))
+    return places.place_tree(intervals, fresh_path(spark, "places", folder))
 
 
 def _social(spark: SparkSession, sf_dir: str) -> SocialSeries:
@@ -142,23 +146,62 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geoip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return places.geoip_join(_decoded(spark, sf_dir), _places(spark)).select(
-        "request_id",
-        "source_ip",
-        F.col("place.country_name").alias("country_name"),
-        F.col("place.country_iso").alias("country_iso"),
-        F.col("place.city").alias("city"),
+    with scratch(spark, "geoip") as folder:
+        joined = places.geoip_join(_decoded(spark, sf_dir), _places(spark, sf_dir, folder))
+        located = joined.select(
+            "request_id",
+            "source_ip",
+            F.col("place.country_name").alias("country_name"),
+            F.col("place.country_iso").alias("country_iso"),
+            F.col("place.city").alias("city"),
+        )
+        return written(located, "geoip-result")
+
+
+def _ingested(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, list[dict]]:
+    """Run the stream over the sample records; what it stored, and the counts it observed."""
+    sample_site.configure(spark)
+    events = spark.readStream.schema(sample_site.SCHEMAS["events"]).parquet(f"{sf_dir}/events*.parquet")
+    root = f"{folder}/events"
+    query = start_ingest(
+        sample_site.raw_envelopes(spark, sf_dir, events),
+        _places(spark, sf_dir, folder),
+        root,
+        f"{folder}/state",
+        arrival=F.col("arrived_at"),
+        available_now=True,
     )
+    query.awaitTermination()
+    counts = [p.observedMetrics[OUTCOMES].asDict() for p in query.recentProgress if p.observedMetrics]
+    return read_results(spark, root), counts
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = sample_site.raw_envelopes(spark, sf_dir)
-    processed = ingest_events(raw, _places(spark), arrival=F.col("arrived_at"))
-    return delivered(processed)
+    """Everything the stream's sink stored, events and errors."""
+    with scratch(spark, "ingest") as folder:
+        stored, _ = _ingested(spark, sf_dir, folder)
+        return written(stored, "ingest-result")
+
+
+def ingest_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by outcome: stored ones as read back, dropped ones as counted on the way."""
+    with scratch(spark, "ingest-outcomes") as folder:
+        stored, counts = _ingested(spark, sf_dir, folder)
+        dropped = spark.createDataFrame(
+            [(DROPPED, sum(c["dropped"] for c in counts))], "result string, records bigint"
+        )
+        by_result = stored.groupBy("result").agg(F.count(F.lit(1)).alias("records"))
+        return written(by_result.unionByName(dropped), "ingest-outcomes-result")
 
 
 def complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir)
+    """The days are folders of the stored table; those outside of the range are not read."""
+    with scratch(spark, "complete-days") as folder:
+        root = f"{folder}/events"
+        write_events(sample_site.web_events(spark, sf_dir), root)
+        return written(
+            read_events(spark, root, sample_site.START, sample_site.AS_OF), "complete-days-result"
+        )
 
 
 def inactivity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,38 +222,50 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_events(_events(spark, sf_dir))
 
 
-def _closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the streaming sessions over the sample events, then read what they stored.
+def _streamed(spark: SparkSession, sf_dir: str, folder: str, start) -> str:
+    """Run a stream of events three times from its checkpoint; where it stored its rows.
 
-    A closing mark two days after the last event moves the watermark past every session.
+    The first run has the events of the complete days. In the second a mark two days after the
+    last event moves the watermark past every session. In the third, events of the days
+    before come too late.
     """
-    sample_site.configure(spark)
-    sample = sample_site.table(spark, sf_dir, "events").select("ts", "user_id")
-    last = (F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")
-    mark = fresh_path(spark, "closing-mark")
-    sample.agg(last, F.lit(-1).cast("bigint").alias("user_id")).write.parquet(mark)
-    stream = (
-        spark.readStream.schema(sample.schema)
-        .parquet(f"{sf_dir}/events*.parquet")
-        .unionByName(spark.readStream.schema(sample.schema).parquet(mark))
+    source, root = f"{folder}/in", f"{folder}/out"
+    events = _events(spark, sf_dir)
+    events.write.parquet(source)
+    stored = spark.read.schema(events.schema).parquet(source)
+    last = stored.agg((F.max("request_time") + F.expr("INTERVAL 2 DAYS")).alias("request_time"))
+    mark = last.select(
+        *[
+            (F.col(c) if c == "request_time" else F.lit("mark").cast(stored.schema[c].dataType)).alias(c)
+            for c in stored.columns
+        ]
     )
-    visits = stream.select(
-        F.md5(F.col("user_id").cast("string")).alias("fingerprint"),
-        F.col("ts").alias("request_time"),
+    late = stored.where(F.col("event_id").cast("bigint") % 50 == 0).withColumns(
+        {
+            "event_id": F.concat(F.lit("late-"), "event_id"),
+            "request_time": F.col("request_time") + F.expr("INTERVAL 1 SECOND"),
+        }
     )
-    folder = fresh_path(spark, "sessions-stream")
-    start_sessions(
-        visits, f"{folder}/out", f"{folder}/state", available_now=True
-    ).awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    written(late, "late", folder)  # before more rows come to the folder it is read from
+    late = spark.read.schema(late.schema).parquet(f"{folder}/late-*")
+    for more in (None, mark, late):
+        if more is not None:
+            more.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        start(stream, root, f"{folder}/state", available_now=True).awaitTermination()
+    return root
 
 
 def sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return number_sessions(_closed_sessions(spark, sf_dir))
+    with scratch(spark, "sessions-stream") as folder:
+        closed = spark.read.parquet(_streamed(spark, sf_dir, folder, start_sessions))
+        return written(number_sessions(closed), "sessions-stream-result")
 
 
 def sessions_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return closed_session_events(_closed_sessions(spark, sf_dir), _events(spark, sf_dir))
+    with scratch(spark, "session-events-stream") as folder:
+        stored = spark.read.parquet(_streamed(spark, sf_dir, folder, start_session_events))
+        return written(number_session_events(stored), "session-events-stream-result")
 
 
 def prepare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,6 +491,7 @@ def _site_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fingerprint": fingerprint,
         "geoip_join": geoip_join,
         "ingest_events": ingest,
+        "ingest_outcomes": ingest_outcomes,
         "complete_days": complete_days,
         "inactivity_gaps": inactivity_gaps,
         "session_starts": session_starts,

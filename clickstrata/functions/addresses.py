@@ -17,13 +17,6 @@ MAPPED = rf"^(?i)::ffff:{_DOTTED}$"
 _GROUP = "[0-9a-fA-F]{1,4}"
 IPV6 = rf"^(({_GROUP}:){{7}}{_GROUP}|(({_GROUP}:)*{_GROUP})?::(({_GROUP}:)*{_GROUP})?)$"
 
-#: Bits of an address's number that tell its network apart from others.
-NETWORK_BITS = {4: 16, 6: 32}
-_NUMBER_BITS = {4: 32, 6: 64}
-
-#: Wider IPv6 blocks are refused: they would be cut into too many networks.
-WIDEST_IPV6 = 16
-
 #: Network keys of IPv6 begin around this number, above all of IPv4.
 _IPV6_KEYS = 1 << 40
 
@@ -94,13 +87,8 @@ def family_and_number(address: Column) -> Column:
     return _bound(_plain(address), both)
 
 
-def network_bits(family: Column) -> Column:
-    """Bits of a number that are below the network."""
-    return F.when(family == 4, 32 - NETWORK_BITS[4]).otherwise(64 - NETWORK_BITS[6])
-
-
 def network_key(family: Column, number: Column) -> Column:
-    """One number for the networks of both families; never negative."""
+    """One number for the networks (/16, /32) of both families, in their order; never negative."""
     return F.when(family == 4, F.shiftright(number, 16)).when(
         family == 6, F.shiftright(number, 32) + _IPV6_KEYS
     )
@@ -122,13 +110,9 @@ def network_range(network: Column) -> Column:
         most = F.when(family == 4, 32).otherwise(128)
         length = F.when(F.size(F.split(network, "/")) == 1, most).otherwise(length)
         bits = F.when(family == 4, 32).otherwise(64)
-        sound = given["at"].isNotNull() & length.between(1, most)
+        sound = given["at"].isNotNull() & length.between(0, most)
         low = F.when(sound, bits - F.least(length, bits)).cast("int")
-        wide = (family == 6) & (low > 64 - WIDEST_IPV6)
-        text = F.lit(f"an IPv6 block is wider than /{WIDEST_IPV6}")
-        return F.when(wide, F.raise_error(text)).otherwise(
-            _bound(F.struct(given["at"].alias("at"), low.alias("low")), _range)
-        )
+        return _bound(F.struct(given["at"].alias("at"), low.alias("low")), _range)
 
     return _bound(F.split(network, "/"), ranged)
 
@@ -137,11 +121,13 @@ def _range(given: Column) -> Column:
     number, low = given["at"]["number"], given["low"]
     below = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("bigint"), low))
     first = F.call_function("shiftleft", F.call_function("shiftright", number, low), low)
+    # a shift by all 64 bits would be none
+    all_ipv6 = low == 64
     return F.when(
         low.isNotNull(),
         F.struct(
             given["at"]["family"].alias("family"),
-            first.alias("ip_from"),
-            first.bitwiseOR(below).alias("ip_to"),
+            F.when(all_ipv6, -(1 << 63)).otherwise(first).alias("ip_from"),
+            F.when(all_ipv6, (1 << 63) - 1).otherwise(first.bitwiseOR(below)).alias("ip_to"),
         ),
     )

@@ -1,32 +1,37 @@
 """Look up the place of an address, of either family, in a table of address blocks.
 
-Blocks may be nested; the narrowest one that holds an address counts. ``disjoint_places``
-turns them, once per table, into intervals that do not overlap, each inside one network. An
-address then has at most one match, found by an equi-join on its network, with no duplicate to
-remove afterwards.
-
-Whether the intervals are broadcast is Spark's own choice by their size in bytes
-(``spark.sql.autoBroadcastJoinThreshold``): store the table and read it back, so that the size
-is known. Beyond it the join is a shuffle by network, whose busy networks AQE splits.
+Blocks may be nested and of any width; the narrowest one that holds an address counts.
+``disjoint_places`` turns them, once per table, into intervals that do not overlap, and
+``place_tree`` stores these as a search tree: a leaf is a row with the sorted starts, ends and
+place numbers of ``FANOUT`` intervals, a node above it a row with the first starts of as many
+children. A record is looked up by a bisection inside an expression on each level and an
+equi-join with the child it finds, so that one record is one row all the way: no record meets
+the intervals of its network one by one, and none is multiplied and filtered.
+
+Whether a level is broadcast is Spark's own choice by its size in bytes
+(``spark.sql.autoBroadcastJoinThreshold``); the levels above the leaves are a few kilobytes.
+Beyond it the join is a shuffle by node, whose busy nodes AQE splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from clickstrata.functions.addresses import (
-    family_and_number,
-    network_bits,
-    network_key,
-    network_range,
-)
+from clickstrata.functions.addresses import family_and_number, network_key, network_range
+from clickstrata.sources.shared import fresh_path
 
 #: Keys given to records without an address: enough for any number of tasks.
 _SPREAD = 1 << 30
 
+#: Intervals of a leaf and children of a node; a bisection takes one step more than its bits.
+FANOUT = 256
+_STEPS = FANOUT.bit_length()
+
 
 def blocks_of_networks(networks: DataFrame, network: str = "network") -> DataFrame:
     """Blocks from CIDR text of both families, with the place columns; malformed rows go."""
@@ -49,6 +54,11 @@ def _block(width: str) -> Column:
     ).alias("block")
 
 
+def _prefix(number: str) -> Column:
+    """The number without the bits of its level; a shift by all 64 bits would be none."""
+    return F.expr(f"if(level > 63, 0L, shiftright({number}, level))")
+
+
 def _aligned_pieces(blocks: DataFrame) -> DataFrame:
     """Split every block into aligned power-of-two ranges, and of equal ranges keep the one
     from the narrowest block.
@@ -79,78 +89,206 @@ def _aligned_pieces(blocks: DataFrame) -> DataFrame:
     new = (
         blocks.where("family = 6 AND ip_from <= ip_to")
         .withColumn("level", F.expr("if(ip_from = ip_to, 0, length(bin(ip_from ^ ip_to)))"))
-        .select("family", "level", F.expr("shiftright(ip_from, level)").alias("prefix"), _block("level"))
+        .select("family", "level", _prefix("ip_from").alias("prefix"), _block("level"))
     )
     both = old.unionByName(new)
     return both.groupBy("family", "level", "prefix").agg(F.min("block").alias("block"))
 
 
 def disjoint_places(blocks: DataFrame) -> DataFrame:
-    """Intervals ``ip_from..ip_to`` of one ``network`` key with their ``place``.
+    """Intervals ``ip_from..ip_to`` of a ``family`` that do not overlap, with their ``place``.
 
-    The place can only change where a block starts or has ended, or where a network starts.
-    Each such point is looked up once per level in use, by equality; it then holds up to the
-    next point of its network with another place. No pair of overlapping blocks is compared.
+    The place can only change where a block starts or has ended. Each such point is looked up
+    once per level in use, by equality; it then holds up to the next point. No pair of
+    overlapping blocks is compared, and a block is not cut however wide it is. Points are put
+    in order network by network; only the first points of the networks in use, a few bytes
+    each, are ordered over a whole family.
     """
     blocks = _with_family(blocks)
-    pieces = _aligned_pieces(blocks).withColumn("bits", network_bits(F.col("family")))
+    pieces = _aligned_pieces(blocks)
     last = F.expr("if(family = 4, 4294967295, 9223372036854775807)")
     starts = blocks.where("ip_from <= ip_to").select("family", F.col("ip_from").alias("point"))
     after = blocks.where((F.col("ip_from") <= F.col("ip_to")) & (F.col("ip_to") < last)).select(
         "family", (F.col("ip_to") + 1).alias("point")
     )
-    # the pieces of a level do not repeat, so a network comes out once per level at most
-    first = F.expr("shiftright(shiftleft(prefix, level), bits)")
-    more = F.expr("if(level > bits, shiftleft(1L, level - bits) - 1, 0L)")
-    network_starts = pieces.select(
-        "family", "bits", F.explode(F.sequence(first, first + more)).alias("network")
-    ).select("family", F.expr("shiftleft(network, bits)").alias("point"))
-    points = starts.unionByName(after).unionByName(network_starts).distinct()
+    points = starts.unionByName(after).distinct()
     levels = pieces.select("family", "level").distinct()  # fewer than a hundred
-    keys = points.join(F.broadcast(levels), "family").withColumn(
-        "prefix", F.expr("shiftright(point, level)")
-    )
+    keys = points.join(F.broadcast(levels), "family").withColumn("prefix", _prefix("point"))
     narrowest = (
-        keys.join(pieces.drop("bits"), ["family", "level", "prefix"])
+        keys.join(pieces, ["family", "level", "prefix"])
         .groupBy("family", "point")
         .agg(F.min("block").alias("block"))
     )
-    in_network = W.partitionBy("network").orderBy("point")
+    keyed = points.withColumn("network", network_key(F.col("family"), F.col("point")))
+    in_family = W.partitionBy("family").orderBy("network")
+    networks = keyed.groupBy("family", "network").agg(F.min("point").alias("first_point"))
+    following = networks.select(
+        "family",
+        "network",
+        (F.lead("first_point").over(in_family) - 1).alias("before_next_network"),
+    )
+    in_network = W.partitionBy("family", "network").orderBy("point")
     before = F.lag(F.struct("block.place")).over(in_network)
-    network_last = F.expr("shiftleft(shiftright(point, bits), bits) + (shiftleft(1L, bits) - 1)")
     return (
-        points.join(narrowest, ["family", "point"], "left")
-        .withColumn("bits", network_bits(F.col("family")))
-        .withColumn("network", network_key(F.col("family"), F.col("point")))
+        keyed.join(narrowest, ["family", "point"], "left")
         .withColumn("same", F.coalesce(before.eqNullSafe(F.struct("block.place")), F.lit(False)))
         .where(~F.col("same"))
-        .withColumn("ip_to", F.coalesce(F.lead("point").over(in_network) - 1, network_last))
+        .withColumn("before_next", F.lead("point").over(in_network) - 1)
+        .join(following, ["family", "network"])
+        .withColumn("ip_to", F.coalesce("before_next", "before_next_network", last))
         .where(F.col("block").isNotNull())
-        .select("network", F.col("point").alias("ip_from"), "ip_to", "block.place")
+        .select("family", F.col("point").alias("ip_from"), "ip_to", "block.place")
+    )
+
+
+# Tree --------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class PlaceTree:
+    """Stored levels from the top (one node a family) to the leaves.
+
+    Nodes have ``family, node, starts``; leaves also ``ends``, ``numbers`` and, by number,
+    ``places``.
+    """
+
+    levels: tuple[DataFrame, ...]
+
+
+def _numbered(intervals: DataFrame) -> DataFrame:
+    """Intervals with their ``position`` in their family, counted within networks first."""
+    keyed = intervals.withColumn("network", network_key(F.col("family"), F.col("ip_from")))
+    counts = keyed.groupBy("family", "network").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("family").orderBy("network").rowsBetween(W.unboundedPreceding, -1)
+    bases = counts.select(
+        "family", "network", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
+    )
+    number = F.row_number().over(W.partitionBy("family", "network").orderBy("ip_from"))
+    return (
+        keyed.withColumn("number", number)
+        .join(bases, ["family", "network"])
+        .withColumn("position", F.col("base") + F.col("number") - 1)
     )
 
 
-def geoip_join(events: DataFrame, places: DataFrame, address: str = "source_ip") -> DataFrame:
+def _leaves(intervals: DataFrame) -> DataFrame:
+    sorted_entries = F.sort_array(F.collect_list(F.struct("ip_from", "ip_to", "place")))
+    places = F.array_distinct(F.transform("entries", lambda e: e["place"]))
+    return (
+        _numbered(intervals)
+        .groupBy("family", F.expr(f"position div {FANOUT}").alias("node"))
+        .agg(sorted_entries.alias("entries"))
+        .select("family", "node", "entries", places.alias("places"))
+        .select(
+            "family",
+            "node",
+            F.transform("entries", lambda e: e["ip_from"]).alias("starts"),
+            F.transform("entries", lambda e: e["ip_to"]).alias("ends"),
+            F.transform(
+                "entries", lambda e: F.array_position(F.col("places"), e["place"]).cast("int")
+            ).alias("numbers"),
+            "places",
+        )
+    )
+
+
+def _parents(level: DataFrame) -> DataFrame:
+    children = F.sort_array(F.collect_list(F.struct("node", F.get("starts", 0).alias("start"))))
+    return (
+        level.groupBy("family", F.expr(f"node div {FANOUT}").alias("parent"))
+        .agg(children.alias("children"))
+        .select(
+            "family",
+            F.col("parent").alias("node"),
+            F.transform("children", lambda c: c["start"]).alias("starts"),
+        )
+    )
+
+
+def place_tree(intervals: DataFrame, folder: str | None = None) -> PlaceTree:
+    """Store the tree of ``disjoint_places`` in ``folder``, by default a fresh shared one."""
+    spark = intervals.sparkSession
+    folder = folder or fresh_path(spark, "places")
+    level, depth = _leaves(intervals), 0
+    while True:
+        path = f"{folder}/level-{depth}"
+        level.write.parquet(path)
+        level = spark.read.schema(level.schema).parquet(path)
+        if not level.where("node > 0").head(1):
+            return read_place_tree(spark, folder)
+        level, depth = _parents(level), depth + 1
+
+
+def read_place_tree(spark: SparkSession, folder: str) -> PlaceTree:
+    """A stored tree, for batches and streams."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    depths = sorted((int(f.getPath().getName().removeprefix("level-")) for f in found), reverse=True)
+    node = "family INT, node BIGINT, starts ARRAY<BIGINT>"
+    place = "STRUCT<country_name: STRING, country_iso: STRING, city: STRING>"
+    leaf = f"{node}, ends ARRAY<BIGINT>, numbers ARRAY<INT>, places ARRAY<{place}>"
+    return PlaceTree(
+        tuple(
+            spark.read.schema(node if depth else leaf).parquet(f"{folder}/level-{depth}")
+            for depth in depths
+        )
+    )
+
+
+def _last_not_above(starts: Column, number: Column) -> Column:
+    """Index of the last of some sorted numbers that is not above ``number``; -1 if all are."""
+
+    def step(found: Column, _: Column) -> Column:
+        middle = F.shiftright(found["low"] + found["high"], 1)
+        below = F.coalesce(F.get(starts, middle) <= number, F.lit(False))
+        is_open = found["low"] < found["high"]
+        return F.struct(
+            F.when(is_open & below, middle + 1).otherwise(found["low"]).alias("low"),
+            F.when(is_open & ~below, middle).otherwise(found["high"]).alias("high"),
+        )
+
+    size = F.coalesce(F.size(starts), F.lit(0))
+    first = F.struct(F.lit(0).alias("low"), size.alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(_STEPS))
+    return F.aggregate(steps, first, step, lambda found: found["low"] - 1)
+
+
+def geoip_join(events: DataFrame, tree: PlaceTree, address: str = "source_ip") -> DataFrame:
     """Add ``place`` (country name, country code, city), null when unknown.
 
-    ``places`` comes from ``disjoint_places``, stored. Records without a sound address cannot
-    match; they get keys of their own, spread by their texts, so that a shuffled join does not
-    gather them in one task.
+    ``tree`` comes from ``place_tree``. Records without a sound address cannot match, nor can
+    those below all blocks; they get keys of their own, spread by their texts, so that a
+    shuffled join does not gather them in one task.
     """
     texts = [f.name for f in events.schema if isinstance(f.dataType, StringType)]
-    nowhere = -1 - F.pmod(F.xxhash64(*texts), F.lit(_SPREAD))
+    nowhere = F.pmod(F.xxhash64(*texts), F.lit(_SPREAD))
     ip = F.inline(F.array(family_and_number(F.col(address)))).alias("_family", "_number")
-    addressed = events.select(*events.columns, ip).select(
+    rows = events.select(*events.columns, ip).select(
         *events.columns,
-        F.coalesce(network_key(F.col("_family"), F.col("_number")), nowhere).alias("_network"),
         "_number",
+        F.coalesce("_family", F.lit(-1)).alias("_family"),
+        F.when(F.col("_family").isNull(), nowhere).otherwise(0).cast("bigint").alias("_node"),
     )
-    found = places.select(
-        "network", F.col("ip_from").alias("_from"), F.col("ip_to").alias("_to"), "place"
-    )
-    matches = (
-        (F.col("_network") == F.col("network"))
-        & (F.col("_number") >= F.col("_from"))
-        & (F.col("_number") <= F.col("_to"))
-    )
-    return addressed.join(found, matches, "left").select(*events.columns, "place")
+    for level in tree.levels:
+        named = level.select(*[F.col(c).alias(f"_at_{c}") for c in level.columns])
+        here = (F.col("_family") == F.col("_at_family")) & (F.col("_node") == F.col("_at_node"))
+        # a generator: the bisection is not computed again by what follows
+        found = F.inline(
+            F.array(F.struct(_last_not_above(F.col("_at_starts"), F.col("_number")).alias("_at")))
+        )
+        others = [c for c in named.columns if c not in ("_at_family", "_at_node", "_at_starts")]
+        rows = rows.join(named, here, "left").select(
+            *events.columns, "_number", "_family", "_node", *others, found
+        )
+        if level is not tree.levels[-1]:
+            inside = F.col("_at") >= 0
+            rows = rows.select(
+                *events.columns,
+                "_number",
+                F.when(inside, F.col("_family")).otherwise(-1).alias("_family"),
+                F.when(inside, F.col("_node") * FANOUT + F.col("_at")).otherwise(nowhere).alias("_node"),
+            )
+    at = F.col("_at")
+    held = F.get("_at_ends", at) >= F.col("_number")
+    place = F.get("_at_places", F.get("_at_numbers", at) - 1)
+    return rows.select(*events.columns, F.when((at >= 0) & held, place).alias("place"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickstrata.functions.agents import DEFAULT_RULES, AgentRule
 from clickstrata.operators import enrich
-from clickstrata.operators.places import geoip_join
+from clickstrata.operators.places import PlaceTree, geoip_join
 from clickstrata.schemas import EVENTS
 
 #: Values of ``result``; a record that failed has its error type instead.
@@ -22,7 +22,7 @@ SINK_COLUMNS = (*[c for c in EVENTS.fieldNames() if c != "date_day"], "data", "r
 
 def ingest_events(
     raw: DataFrame,
-    places: DataFrame,
+    places: PlaceTree,
     rules: Sequence[AgentRule] = DEFAULT_RULES,
     arrival: Column | None = None,
     data: str = "data",

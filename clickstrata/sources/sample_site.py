@@ -1,6 +1,6 @@
 """A website's event table, social series and raw records, derived from the sample tables.
 
-The sample tables are general (``events``, ``pages``, ``nation``); these functions give their
+The sample tables are general (``events``, ``pages``, ``nation``, ``orders``); these functions give their
 rows the shape of website events so that every operator can run on whole tables. The oracle
 SQL in ``__spark_entry__`` states the same derivation.
 """
@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickstrata.operators.places import blocks_of_networks
 from clickstrata.session import configure
 
-#: Complete days of the sample period, and the unfinished day after it.
-START = "2024-01-01"
-AS_OF = "2024-01-31"
+#: Complete days that the queries look at, and the unfinished day after them. The sample also
+#: has events that arrived before and after, and some that arrived a day late.
+START = "2024-01-02"
+AS_OF = "2024-01-30"
 
 
 #: Columns read from the sample tables; a given schema saves a look at the file footers.
@@ -21,8 +23,12 @@ SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, props STRING",
     "pages": "page_id BIGINT, url STRING",
     "nation": "n_nationkey BIGINT, n_name STRING",
+    "orders": "o_orderkey BIGINT",
 }
 
+#: Arrival of an event: one in 41 arrives a day late.
+_ARRIVED = "ts + if(event_id % 41 = 0, INTERVAL 1 DAY, INTERVAL 0 DAY)"
+
 _WEB_EVENTS = """
 SELECT
   CAST(event_id AS STRING) AS event_id,
@@ -52,14 +58,14 @@ SELECT
     if(event_id % 5 = 0, 'null',
        concat('"City ', CAST((user_id * user_id) % 37 AS STRING), '"')),
     '}}'), NULL) AS geoip,
-  CAST(CAST(ts AS DATE) AS STRING) AS date_day
+  CAST(CAST(arrived AS DATE) AS STRING) AS date_day
 FROM (
-  SELECT *, (event_id * event_id) % (SELECT count(*) FROM {pages}) AS page_id,
+  SELECT *, __ARRIVED__ AS arrived, (event_id * event_id) % (SELECT count(*) FROM {pages}) AS page_id,
     (user_id * user_id) % 25 AS n_nationkey
   FROM {events})
 JOIN {pages} USING (page_id)
 JOIN {nation} USING (n_nationkey)
-"""
+""".replace("__ARRIVED__", _ARRIVED)
 
 _SOCIAL_DAILY = """
 SELECT CAST(CAST(ts AS DATE) AS STRING) AS date_day,
@@ -70,16 +76,28 @@ SELECT CAST(CAST(ts AS DATE) AS STRING) AS date_day,
 FROM {events} GROUP BY 1
 """
 
-_RAW_ENVELOPES = """
+_RAW_ENVELOPES = r"""
 SELECT
-  if(event_id % 97 = 0, '@@not-base64@@', base64(encode(concat(
+  CASE
+    WHEN event_id % 97 = 0 THEN '@@not-base64@@'
+    WHEN event_id % 89 = 0 THEN 'e//+fQ=='
+    WHEN event_id % 83 = 0 THEN base64(encode(concat('no json ', CAST(event_id AS STRING)), 'UTF-8'))
+    ELSE translate(base64(encode(concat(
     '{{"body":{{"event_type":"page_load","from_url":"https://site.example/',
     CAST(event_id % 9 AS STRING), '","details":{{}}}},',
-    '"headers":{{"CloudFront-Is-Mobile-Viewer":"', CAST(user_id % 10 < 5 AS STRING),
+    if(event_id % 79 = 0, '"heads":', '"headers":'),
+    '{{"CloudFront-Is-Mobile-Viewer":"', CAST(user_id % 10 < 5 AS STRING),
     '","CloudFront-Is-Desktop-Viewer":"',
     CAST(user_id % 10 >= 3 AND user_id % 10 < 9 AS STRING), '"}},',
-    '"identity":{{"sourceIp":"10.', CAST(user_id % 4 AS STRING), '.',
-    CAST(user_id % 200 AS STRING), '.1","userAgent":"',
+    '"identity":{{"sourceIp":"',
+    CASE
+      WHEN event_id % 19 = 0 THEN '10.1.2.999'
+      WHEN user_id % 3 = 0 THEN concat('2001:db8:', lower(hex(user_id % 16)), ':',
+        lower(hex((user_id * 11) % 4096)), '::', lower(hex(event_id % 65536)))
+      ELSE concat(if(event_id % 6 = 1, '::ffff:', ''), '10.', CAST(user_id % 4 AS STRING), '.',
+        CAST((user_id * 7) % 256 AS STRING), '.', CAST((user_id * 13) % 256 AS STRING))
+    END,
+    '","userAgent":"',
     CASE user_id % 5
       WHEN 0 THEN '' WHEN 1 THEN 'ExampleBot/2.1'
       WHEN 2 THEN concat('Mozilla/5.0 (X11; Linux x86_64) Firefox/', CAST(event_id % 20 + 80 AS STRING))
@@ -89,9 +107,29 @@ SELECT
         concat('Mozilla/5.0 (Windows NT 10.0; Win64) Chrome/98.0.4758.', CAST(event_id % 11 AS STRING)),
         'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) Edg/101.1') END,
     '","requestId":"', CAST(event_id AS STRING), '"}},"request_time":',
-    CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING), '}}'), 'UTF-8'))) AS data,
-  ts AS arrived_at
+    CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING), '}}'), 'UTF-8')), '\r\n', '')
+  END AS data,
+  __ARRIVED__ AS arrived_at
 FROM {events}
+""".replace("__ARRIVED__", _ARRIVED)
+
+_ADDRESS_BLOCKS = """
+SELECT
+  CASE
+    WHEN o_orderkey % 1000 = 1 THEN '::/0'
+    WHEN o_orderkey % 1000 = 2 THEN '2000::/3'
+    WHEN o_orderkey % 1000 = 4 THEN '0.0.0.0/0'
+    WHEN o_orderkey % 3 = 0 THEN concat('2001:db8:', lower(hex(o_orderkey % 16)), ':',
+      lower(hex((o_orderkey * 11) % 4096)), '::/',
+      elt(CAST(o_orderkey % 8 AS INT) + 1, '20', '32', '40', '44', '48', '52', '56', '64'))
+    ELSE concat('10.', CAST(o_orderkey % 4 AS STRING), '.', CAST((o_orderkey * 7) % 256 AS STRING),
+      '.', CAST((o_orderkey * 13) % 256 AS STRING), '/',
+      elt(CAST(o_orderkey % 8 AS INT) + 1, '12', '16', '18', '20', '22', '24', '27', '32'))
+  END AS network,
+  concat('Country ', CAST(o_orderkey % 23 AS STRING)) AS country_name,
+  concat('C', CAST(o_orderkey % 23 AS STRING)) AS country_iso,
+  if(o_orderkey % 5 = 0, NULL, concat('City ', CAST(o_orderkey % 101 AS STRING))) AS city
+FROM {orders}
 """
 
 
@@ -102,7 +140,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table."""
     configure(spark)
-    return spark.sql(_WEB_EVENTS, **{name: table(spark, sf_dir, name) for name in SCHEMAS})
+    return spark.sql(
+        _WEB_EVENTS, **{name: table(spark, sf_dir, name) for name in ("events", "pages", "nation")}
+    )
 
 
 def social_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,21 +150,14 @@ def social_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_SOCIAL_DAILY, events=table(spark, sf_dir, "events"))
 
 
-def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records as the collector delivers them; one in 97 cannot be decoded."""
+def raw_envelopes(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Records as the collector delivers them, with all four errors; ``events`` may stream."""
     configure(spark)
-    return spark.sql(_RAW_ENVELOPES, events=table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events") if events is None else events
+    return spark.sql(_RAW_ENVELOPES, events=events)
 
 
-def ip_blocks(spark: SparkSession) -> DataFrame:
-    """Four address blocks, one nested in another; ``10.3.*`` is in none."""
-    return spark.sql(
-        """
-        SELECT * FROM VALUES
-          (167772160L, 167837695L, 'Sweden',  'SE', 'Stockholm'),
-          (167837696L, 167903231L, 'Norway',  'NO', 'Oslo'),
-          (167854080L, 167870463L, 'Norway',  'NO', CAST(NULL AS STRING)),
-          (167903232L, 167968767L, 'Denmark', 'DK', 'Odense')
-        AS blocks(ip_from, ip_to, country_name, country_iso, city)
-        """
-    )
+def address_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested and repeated blocks of both families, one for each order, some as wide as can be."""
+    networks = spark.sql(_ADDRESS_BLOCKS, orders=table(spark, sf_dir, "orders"))
+    return blocks_of_networks(networks)

@@ -15,12 +15,30 @@ from pyspark.sql.types import (
 from clickstrata.functions.times import iso_text
 from clickstrata.operators.places import blocks_of_networks
 from clickstrata.operators.sessions import complete_days
+from clickstrata.plans.ingest import SINK_COLUMNS, SUCCESS
 from clickstrata.schemas import EVENTS, SESSION_EVENTS
 
 #: Folder level of the event table that says what became of a record.
 RESULT = StructField("result", StringType())
 
 
+def write_events(events: DataFrame, root: str) -> None:
+    """Append events to the event table as ingest lays it out; a busy day becomes several files."""
+    (
+        events.select(*EVENTS.fieldNames(), F.lit(SUCCESS).alias(RESULT.name))
+        .hint("rebalance", "date_day")
+        .write.mode("append")
+        .partitionBy(RESULT.name, "date_day")
+        .parquet(root)
+    )
+
+
+def read_results(spark: SparkSession, root: str) -> DataFrame:
+    """Everything that ingest stored: events, and records that failed with their text."""
+    fields = [*EVENTS.fields, StructField("data", StringType()), RESULT]
+    return spark.read.schema(StructType(fields)).parquet(root).select(*SINK_COLUMNS)
+
+
 def read_events(
     spark: SparkSession, root: str, start: str | None = None, as_of: str | None = None
 ) -> DataFrame:
@@ -30,7 +48,7 @@ def read_events(
     root (rather than one folder) respects the commit log of a streaming writer.
     """
     stored = spark.read.schema(StructType(EVENTS.fields + [RESULT])).parquet(root)
-    events = stored.where(F.col("result") == "success").select(*EVENTS.fieldNames())
+    events = stored.where(F.col("result") == SUCCESS).select(*EVENTS.fieldNames())
     if start is not None and as_of is not None:
         events = complete_days(events, start, as_of)
     return events

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from clickstrata.functions.agents import DEFAULT_RULES, AgentRule
+from clickstrata.operators.places import PlaceTree
 from clickstrata.plans.ingest import delivered, ingest_events, outcome_counts
 
 #: Name under which a query's progress reports the outcome counts.
@@ -19,7 +20,7 @@ INTERVAL = "15 minutes"
 
 def start_ingest(
     raw: DataFrame,
-    places: DataFrame,
+    places: PlaceTree,
     root: str,
     checkpoint: str,
     rules: Sequence[AgentRule] = DEFAULT_RULES,

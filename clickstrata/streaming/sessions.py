@@ -7,7 +7,7 @@ row, not one task's memory.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,16 +25,18 @@ from clickstrata.session import require_utc
 #: exactly 31 minutes apart are in two sessions, as in the batch form.
 SESSION_GAP = "30 minutes 59.999999 seconds"
 
+#: Events of one visitor that may meet a session in one task: those of so many seconds.
+JOIN_SECONDS = 1800
+
+#: From the first event of the longest session to the moment it counts as closed.
+LONGEST = "INTERVAL '1 00:31:00' DAY TO SECOND"
+
 #: How late an event may arrive and still be counted.
 LATENESS = "1 hour"
 
 
-def sessions_stream(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Closed sessions of a stream: visitor, day, start, end, number of events.
-
-    The event day is part of the key, which cuts sessions at UTC midnight. Rows come out once
-    the watermark has passed the end of the session. Works on a batch too.
-    """
+def _closed_sessions(events: DataFrame, lateness: str) -> DataFrame:
+    """Closed sessions with ``closed_at``, the event time of the row itself."""
     require_utc(events.sparkSession)
     return (
         events.where(F.col("fingerprint").isNotNull() & F.col("request_time").isNotNull())
@@ -56,10 +58,94 @@ def sessions_stream(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
             F.col("first_time").cast("timestamp_ntz").alias("session_start_at"),
             F.col("last_time").cast("timestamp_ntz").alias("session_end_at"),
             "session_events",
+            F.window_time("session_window").alias("closed_at"),
         )
     )
 
 
+def sessions_stream(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Closed sessions of a stream: visitor, day, start, end, number of events.
+
+    The event day is part of the key, which cuts sessions at UTC midnight. Rows come out once
+    the watermark has passed the end of the session. Works on a batch too.
+    """
+    return _closed_sessions(events, lateness).drop("closed_at")
+
+
+def _half_hour(time: Column) -> Column:
+    return F.floor(F.unix_seconds(time.cast("timestamp")) / JOIN_SECONDS)
+
+
+def session_events_stream(
+    events: DataFrame, lateness: str = LATENESS, other: DataFrame | None = None
+) -> DataFrame:
+    """The events of closed sessions, each with the day, start and end of its session.
+
+    Closed sessions of the stream meet its events in an interval join: same visitor and day,
+    from the first to the last time of the session. Both sides have a watermark, and a session
+    is shorter than a day, so an event waits in state until its session has closed, a day and
+    ``lateness`` at most, and the rows come out in append mode, once. The join key also has the
+    half hour of the event, so that a busy visitor's events are dealt to many tasks; a session
+    is repeated for each half hour that it touches, 49 times at most.
+
+    An event that comes after the watermark is in no session and moves none. ``other``: the same
+    stream once more, if ``events`` cannot be read twice. Works on a batch too.
+    """
+    closed = _closed_sessions(events, lateness).withColumn(
+        "half_hour",
+        F.explode(
+            F.sequence(
+                _half_hour(F.col("session_start_at")), _half_hour(F.col("session_end_at"))
+            )
+        ),
+    )
+    closed = closed.select(*[F.col(c).alias(f"s_{c}") for c in closed.columns])
+    at = F.col("request_time").cast("timestamp")
+    flat = (
+        flat_events(events if other is None else other)
+        .where(F.col("fingerprint").isNotNull() & F.col("request_time").isNotNull())
+        .withColumn("event_at", at)
+        .withWatermark("event_at", lateness)
+        .withColumns({"day": F.to_date("event_at"), "half_hour": _half_hour(F.col("event_at"))})
+    )
+    same = [F.col(c) == F.col(f"s_{c}") for c in ("fingerprint", "day", "half_hour")]
+    inside = F.col("request_time").between(F.col("s_session_start_at"), F.col("s_session_end_at"))
+    # what lets Spark drop events and sessions that can meet no more
+    near = (F.col("event_at") <= F.col("s_closed_at")) & (
+        F.col("event_at") >= F.col("s_closed_at") - F.expr(LONGEST)
+    )
+    joined = flat.join(closed, same[0] & same[1] & same[2] & inside & near)
+    return joined.drop("event_at", "half_hour").select(
+        *[c for c in flat.columns if c not in ("event_at", "half_hour")],
+        F.col("s_session_start_at").alias("session_start_at"),
+        F.col("s_session_end_at").alias("session_end_at"),
+        F.col("s_session_events").alias("session_events"),
+    )
+
+
+def start_session_events(
+    events: DataFrame,
+    root: str,
+    checkpoint: str,
+    lateness: str = LATENESS,
+    available_now: bool = False,
+    other: DataFrame | None = None,
+) -> StreamingQuery:
+    """Start a query that appends the events of closed sessions under ``root/day=...``."""
+    writer = (
+        session_events_stream(events, lateness, other)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy("day")
+        .option("checkpointLocation", checkpoint)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime="1 minute")
+    return writer.start(root)
+
+
 def start_sessions(
     events: DataFrame,
     root: str,
@@ -147,8 +233,27 @@ def closed_session_events(
         flat.withColumn("day", F.to_date("request_time"))
         .join(found, ["fingerprint", "day"])
         .where(F.col("request_time").between(F.col("starts"), F.col("ends")))
-        .withColumn("slot", time_slot(F.col("request_time"), slot_seconds))
     )
+    return _number_events(matched, slot_seconds)
+
+
+def number_session_events(stored: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """What ``start_session_events`` stored, in the form of ``session_events``.
+
+    Only stored rows are read: no event table, and none of the days that are not asked for.
+    """
+    key = ["fingerprint", "day", "session_start_at"]
+    closed = stored.groupBy(*key).agg(
+        F.min("session_end_at").alias("session_end_at"),
+        F.min("session_events").alias("session_events"),
+    )
+    found = number_sessions(closed, "day").select(*key, "session_id")
+    return _number_events(with_parsed_time(stored).join(found, key), slot_seconds)
+
+
+def _number_events(matched: DataFrame, slot_seconds: int) -> DataFrame:
+    """Number the events of each session within slots of time, as the batch form does."""
+    matched = matched.withColumn("slot", time_slot(F.col("request_time"), slot_seconds))
     in_order = W.partitionBy("session_id").orderBy("slot")
     slots = (
         matched.groupBy("session_id", "slot")

@@ -17,8 +17,15 @@ from clickstrata.operators import enrich, places
 from clickstrata.plans.ingest import ingest_events, write_batch
 from clickstrata.schemas import EVENTS, IP_BLOCKS
 from clickstrata.sources import sample_site
-from clickstrata.sources.shared import written
-from clickstrata.sources.tables import read_address_blocks, read_events
+from clickstrata.sources.tables import read_address_blocks, read_events, read_results, write_events
+
+#: Blocks as ``ip_from, ip_to, country_name, country_iso, city``; ``10.3.*`` is in none.
+BLOCKS = [
+    (167772160, 167837695, "Sweden", "SE", "Stockholm"),
+    (167837696, 167903231, "Norway", "NO", "Oslo"),
+    (167854080, 167870463, "Norway", "NO", None),
+    (167903232, 167968767, "Denmark", "DK", "Odense"),
+]
 
 FIREFOX = "Mozilla/5.0 (X11; Linux x86_64) Firefox/99.0"
 
@@ -44,9 +51,13 @@ def raw(spark, values):
     return spark.createDataFrame(rows, "data string, arrived timestamp_ntz")
 
 
+def tree_of(spark, blocks):
+    return places.place_tree(places.disjoint_places(spark.createDataFrame(blocks, IP_BLOCKS)))
+
+
 @pytest.fixture(scope="module")
 def table(spark):
-    return written(places.disjoint_places(sample_site.ip_blocks(spark)), "places")
+    return tree_of(spark, BLOCKS)
 
 
 def processed(spark, table, values, rules=DEFAULT_RULES):
@@ -159,7 +170,7 @@ def test_places_agree_with_brute_force(spark):
     edges = {n + d for a, b, _ in blocks for n in (a, b) for d in (-1, 0, 1)}
     numbers = [n for n in edges if 0 <= n < 2**32] + [rng.randrange(2**32) for _ in range(300)]
     rows = spark.createDataFrame([(a, b, p, None, None) for a, b, p in blocks], IP_BLOCKS)
-    table = written(places.disjoint_places(rows), "places")
+    table = places.place_tree(places.disjoint_places(rows))
     events = spark.createDataFrame(
         [(str(i), text_of(n)) for i, n in enumerate(numbers)] + [("v6", "::1"), ("bad", "1.2.3")],
         "request_id string, source_ip string",
@@ -176,15 +187,16 @@ def test_networks_of_both_families(spark, tmp_path):
     names = ["10.0.0.0/8", "10.1.0.0/16", "10.1.128.0/17", "10.1.128.0/30", "203.0.113.7/32"]
     names += ["2000::/24", "2001:db8::/32", "2001:db8:8000::/33", "2001:db8:1::/48", "ffff:ff00::/24"]
     names += ["2001:db8:1:2::/64", "7fff:ffff::/32", "8000::/26", "2001:db9::/32", "10.2.3.4"]
+    names += ["::/0", "2000::/3", "4000::/2", "::/12", "0.0.0.0/0", "128.0.0.0/1"]
     names += [f"2001:db8:{rng.randrange(9):x}:{rng.randrange(65536):x}::/{n}" for n in (50, 56, 61, 64)]
     networks = [ipaddress.ip_network(n, strict=False) for n in names]
     rows = [(str(n), f"{i:02d}") for i, n in enumerate(networks)] + [("junk", "x"), ("1::/200", "x"), (None, "x")]
     path = str(tmp_path / "networks")
     frame = spark.createDataFrame(rows, "network string, country_name string")
     frame.selectExpr("*", "'c' AS country_iso", "'d' AS city").write.option("header", True).csv(path)
-    table = written(places.disjoint_places(read_address_blocks(spark, path)), "places")
+    table = places.place_tree(places.disjoint_places(read_address_blocks(spark, path)))
     addresses = [n[0] for n in networks] + [n[-1] for n in networks]
-    addresses += [a + d for a in addresses for d in (-1, 1) if 0 < int(a) + d < 2**32 or a.version == 6 and int(a) + d < 2**128]
+    addresses += [a + d for a in addresses for d in (-1, 1) if 0 <= int(a) + d < (2**32 if a.version == 4 else 2**128)]
     texts = [str(a) for a in addresses] + [a.exploded.upper() for a in addresses]
     texts += ["::ffff:10.1.2.3", "::", "1::2::3", "1:2", "12345::", None, ""]
 
@@ -209,17 +221,53 @@ def test_equal_neighbours_are_one_interval(spark):
     assert found == [(0, 299, "a"), (300, 400, "b"), (401, 65_535, "a")]
 
 
-def test_records_without_address_are_spread(spark):
+def test_records_without_address_are_spread(spark, table):
     events = spark.createDataFrame([(None, None, f"text {i}") for i in range(500)], "request_id string, source_ip string, data string")
-    table = places.disjoint_places(sample_site.ip_blocks(spark))
     plan = places.geoip_join(events, table)._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(request_id" in plan and "data" in plan
 
 
-def test_no_overlap_between_places(spark, table):
-    rows = table.orderBy("ip_from").collect()
-    assert all(a.ip_to < b.ip_from for a, b in zip(rows, rows[1:]))
-    assert all(r.ip_from // 65_536 == r.ip_to // 65_536 == r.network for r in rows)
+def test_no_overlap_between_places(spark):
+    rows = places.disjoint_places(spark.createDataFrame(BLOCKS, IP_BLOCKS)).orderBy("ip_from").collect()
+    assert len(rows) == 5 and all(a.ip_to < b.ip_from for a, b in zip(rows, rows[1:]))
+
+
+def test_a_record_is_one_row_before_its_interval_is_tested(spark, table):
+    """Joins are by node alone, and the bisection is not repeated."""
+    events = spark.createDataFrame([("10.1.2.3",)], "source_ip string")
+    plan = places.geoip_join(events, table)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 1 and ">" not in joins[0] and "<" not in joins[0]
+    assert plan.count("Generate inline(") == 2  # the number of the address, and its interval
+    assert "aggregate(" not in plan.split("Generate inline(")[0]
+    assert all(level.groupBy("family", "node").count().where("count > 1").count() == 0 for level in table.levels)
+
+
+def test_trees_of_several_levels(spark, monkeypatch):
+    """Small nodes make a high tree; a network with many intervals spans several leaves."""
+    monkeypatch.setattr(places, "FANOUT", 4)
+    monkeypatch.setattr(places, "_STEPS", 3)
+    rng = random.Random(8)
+    blocks = []
+    for i in range(150):
+        start = rng.choice([rng.randrange(2**32), 167_772_160 + rng.randrange(3000)])
+        blocks.append((start, min(2**32 - 1, start + rng.choice([0, 3, 40, 10**6])), f"p{i:03d}", None, None))
+    tree = tree_of(spark, blocks)
+    assert len(tree.levels) >= 4 and tree.levels[0].count() == 1
+    edges = {n + d for a, b, *_ in blocks for n in (a, b) for d in (-1, 0, 1)} | {0, 2**32 - 1}
+    numbers = sorted(n for n in edges if 0 <= n < 2**32)
+    events = spark.createDataFrame([(str(n), text_of(n)) for n in numbers], "request_id string, source_ip string")
+    expected = {str(n): narrowest([b[:3] for b in blocks], n) for n in numbers}
+    for found in both_joins(spark, events, tree):
+        assert found == expected
+
+
+def test_no_blocks_at_all(spark):
+    tree = tree_of(spark, [])
+    events = spark.createDataFrame([("10.1.2.3",), (None,)], "source_ip string")
+    assert [r.place for r in places.geoip_join(events, tree).collect()] == [None, None]
+    tree = tree_of(spark, [(5, 4, "none", None, None)])
+    assert [r.place for r in places.geoip_join(events, tree).collect()] == [None, None]
 
 
 def test_ingest_moves_no_record(spark, table):
@@ -235,13 +283,32 @@ def test_written_batch(spark, table, tmp_path):
     root = str(tmp_path / "events")
     sample = sample_site.raw_envelopes(spark, "/root/testdata/sf0.001")
     counts = write_batch(ingest_events(sample, table, arrival=F.col("arrived_at")), root)
-    assert counts == {"success": 811, "dropped": 178, "failed": 11}
+    assert sum(counts.values()) == sample.count() and min(counts.values()) > 0
     events = read_events(spark, root)
-    assert events.count() == 811 and events.schema.names == EVENTS.names
+    assert events.count() == counts["success"] and events.schema.names == EVENTS.names
     day = read_events(spark, root, "2024-01-02", "2024-01-03")
     assert {r.date_day for r in day.select("date_day").distinct().collect()} == {"2024-01-02"}
     stored = spark.read.parquet(root).groupBy("result").count().collect()
-    assert {r["result"]: r["count"] for r in stored} == {"success": 811, "not-base64": 11}
+    by_result = {r["result"]: r["count"] for r in stored}
+    assert by_result.pop("success") == counts["success"]
+    assert set(by_result) == {"not-base64", "not-utf8", "not-json", "incomplete"}
+    assert sum(by_result.values()) == counts["failed"]
+    assert read_results(spark, root).where("data IS NOT NULL").count() == counts["failed"]
+
+
+def test_days_outside_of_the_range_are_not_read(spark, tmp_path):
+    """Arrival days, some of them not the event's, are folders; the filter names them."""
+    root = str(tmp_path / "events")
+    sample = sample_site.web_events(spark, "/root/testdata/sf0.001")
+    write_events(sample, root)
+    chosen = read_events(spark, root, sample_site.START, sample_site.AS_OF)
+    assert 0 < chosen.count() < sample.count()
+    assert chosen.where(F.to_date("request_time").cast("string") != F.col("date_day")).count() > 0
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    line = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "date_day" in line.split("PartitionFilters: [")[1].split("]")[0]
+    days = {r.date_day for r in chosen.select("date_day").distinct().collect()}
+    assert days == {r.date_day for r in sample.select("date_day").distinct().collect() if "2024-01-02" <= r.date_day < "2024-01-30"}
 
 
 def test_iso_text(spark):
@@ -253,7 +320,7 @@ def test_iso_text(spark):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 30
+    assert entry.entry(spark).count() == 28
 
 
 def test_invalid_utf8_is_an_error(spark, table):
