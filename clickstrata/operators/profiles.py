@@ -9,7 +9,8 @@ step brings a group together before it has been reduced:
 * the median waiting time comes from a histogram. Waiting times are whole seconds within a
   session, so a group has at most as many entries as the inactivity limit has seconds;
 * the median session time has microsecond values, so its histogram is searched in two steps
-  of fixed size (``exact_median``).
+  of fixed size (``exact_median``). It comes from the same (visitor, session) rows as the
+  counts, so the events are read, and their sessions cut, once.
 """
 
 from __future__ import annotations
@@ -34,11 +35,15 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return reduce(lambda rows, key: rows.where(F.col(key).isNotNull()), keys, df)
 
 
-def group_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: median seconds to the next event, pageviews, sessions, visitors,
-    Facebook arrivals, entries, exits, and sessions by number of events."""
-    keys = list(keys)
+def _reduced(prepared: DataFrame, keys: list[str], times: bool) -> DataFrame:
+    """Events by (key, waiting time) and by (key, visitor, session), in one pass.
+
+    ``times`` adds the first and the last time of each. What is made of these rows in several
+    ways needs different columns of them; the condition at the end, which always holds, names
+    all of them, so that Spark computes the rows once and not once for each choice of columns.
+    """
     events = with_keys(prepared, keys)
+    ends = [F.min("request_time").alias("first"), F.max("request_time").alias("last")]
     reduced = events.groupingSets(
         [[*keys, _SECONDS], [*keys, "fingerprint", "session_id"]],
         *keys, _SECONDS, "fingerprint", "session_id",
@@ -49,7 +54,21 @@ def group_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum("from_fb").alias("from_facebook"),
         F.sum("first_session_event").alias("entries"),
         F.sum("last_session_event").alias("exits"),
+        *(ends if times else []),
     )
+    if not times:
+        return reduced
+    named = [F.col(c) for c in ("rows", *_COUNTS)] + [micros(F.col(c)) for c in ("first", "last")]
+    return reduced.where(F.greatest(*named) > 0)
+
+
+def group_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: median seconds to the next event, pageviews, sessions, visitors,
+    Facebook arrivals, entries, exits, and sessions by number of events."""
+    return _profile(_reduced(prepared, list(keys), times=False), list(keys))
+
+
+def _profile(reduced: DataFrame, keys: list[str]) -> DataFrame:
     # events without a session id are events, but no session
     in_session = ~F.col("by_time") & F.col("session_id").isNotNull()
     several = in_session & (F.col("pageviews") > 1)
@@ -120,17 +139,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: int) ->
     return ranked.groupBy(*keys).agg(((at["lower"] + at["upper"]) / 2).alias("median"))
 
 
-def median_session_seconds(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _median_session_seconds(reduced: DataFrame, keys: list[str]) -> DataFrame:
     """Median time from first to last event over sessions with several events."""
-    durations = (
-        with_keys(prepared, [*keys, "session_id"])
-        .groupBy(*keys, "session_id")
-        .agg(
-            F.count("event_id").alias("pageviews"),
-            (micros(F.max("request_time")) - micros(F.min("request_time"))).alias("duration"),
-        )
-        .where(F.col("pageviews") > 1)
-    )
+    durations = reduced.where(
+        ~F.col("by_time") & F.col("session_id").isNotNull() & (F.col("pageviews") > 1)
+    ).select(*keys, (micros(F.col("last")) - micros(F.col("first"))).alias("duration"))
     return exact_median(durations, keys, "duration", MICROS_PER_SECOND).select(
         *keys, (F.col("median") / MICROS_PER_SECOND).alias("median_session_seconds")
     )
@@ -143,8 +156,9 @@ def session_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
     last page.
     """
     keys = list(keys)
-    profile = group_profile(prepared, keys)
-    durations = median_session_seconds(prepared, keys)
+    reduced = _reduced(prepared, keys, times=True)
+    profile = _profile(reduced, keys)
+    durations = _median_session_seconds(reduced, keys)
     if keys:
         profile = profile.join(durations, keys, "left")
     else:

@@ -185,3 +185,37 @@ def test_day_filter_prunes_partitions(spark, tmp_path):
     assert [r.event_id for r in kept.collect()] == ["a"]
     filters = plan_of(kept).split("PartitionFilters: ")[1].split("]")[0]
     assert "date_day" in filters
+
+
+def test_busy_slots_are_cut_below_a_second(spark):
+    """Results do not change; of a visitor's single second no slot holds much more than asked."""
+    rng = random.Random(12)
+    rows = [event(f"h{i:05d}", NOON + timedelta(microseconds=rng.randrange(900_000)), visitor="hot") for i in range(4000)]
+    rows += [event(f"t{i}", NOON + timedelta(minutes=2), visitor="hot") for i in range(300)]  # one time
+    rows += [event(f"e{i}", NOON + timedelta(seconds=rng.randrange(90_000)), visitor=f"v{i % 7}") for i in range(400)]
+    rows += [event("n", NOON, visitor=None)]
+    events = frame(spark, rows)
+    plain = S.session_events(events)
+    for most in (1, 50, 5000):
+        cut = S.session_events(events, slot_events=most)
+        assert cut.exceptAll(plain).count() == plain.exceptAll(cut).count() == 0
+    slots = S._with_slot(events, 10, 50).where("fingerprint = 'hot'").groupBy("slot").count().collect()
+    held = sorted(r["count"] for r in slots)
+    # evenly spread times: about fifty each; those of one time stay together
+    assert held[-1] == 300 and held[-2] < 150 and len(held) >= 40
+    # the registered default counts nothing first
+    assert "Join" not in S._with_slot(events, 10)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_million_events_of_one_second_are_many_slots(spark):
+    events = spark.range(1_000_000).selectExpr(
+        "cast(id as string) as event_id", "'hot' as fingerprint",
+        "cast(timestamp_micros(1645099200000000 + id) as timestamp_ntz) as request_time",
+    )
+    slots = S._with_slot(events, 10, 10_000).groupBy("slot").count()
+    assert slots.count() >= 50 and slots.agg(F.max("count")).collect()[0][0] <= 20_000
+    assert S.sessions(events).count() == 1
+    numbered = S.sessionise(events, 10, 10_000).agg(
+        F.count_distinct("event_number").alias("n"), F.max("event_number").alias("last"), F.count("next_at").alias("next")
+    ).collect()[0]
+    assert (numbered.n, numbered.last, numbered.next) == (1_000_000, 1_000_000, 999_999)
