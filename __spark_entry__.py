@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickstrata.operators import (  # noqa: E402
+    agent_table,
     devices,
     enrich,
     locations,
@@ -132,6 +133,14 @@ def classify_user_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.classify_user_agents(_decoded(spark, sf_dir))
 
 
+def agents_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The agent table after two batches, of which the second adds what the first lacked."""
+    with scratch(spark, "agents") as folder:
+        decoded, root = _decoded(spark, sf_dir), f"{folder}/agents"
+        agent_table.extend_agents(decoded.where("request_id < '5'"), root)
+        return written(agent_table.extend_agents(decoded, root), "agents-result")
+
+
 def drop_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
     agents = enrich.with_agent(_decoded(spark, sf_dir))
     return enrich.drop_bots(agents).select("request_id", "browser", "operating_system")
@@ -486,6 +495,7 @@ def _site_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "decode_envelope": decode_envelope,
         "event_identity": event_identity,
         "classify_user_agents": classify_user_agents,
+        "agents_stored": agents_stored,
         "drop_bots": drop_bots,
         "device_type_from_headers": device_type_from_headers,
         "fingerprint": fingerprint,

@@ -19,7 +19,9 @@ class AgentRule:
     """``kind`` is ``browser``, ``os`` or ``bot``; the lowest ``priority`` wins.
 
     The version is the pattern's ``version_groups`` joined by points, without those that are
-    missing at the end; ``_`` in them becomes a point.
+    missing at the end; ``_`` in them becomes a point. ``literals``: lower-case runs of letters and
+    digits, one of which stands as a whole run in every agent that the pattern matches; they
+    let a rule table leave the rule out for all other agents.
     """
 
     priority: int
@@ -27,6 +29,7 @@ class AgentRule:
     pattern: str
     family: str = ""
     version_groups: tuple[int, ...] = ()
+    literals: tuple[str, ...] = ()
 
 
 #: Value for an agent that no rule names.

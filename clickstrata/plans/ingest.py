@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickstrata.functions.agents import DEFAULT_RULES, AgentRule
 from clickstrata.operators import enrich
+from clickstrata.operators.agent_table import extend_agents, lookup
 from clickstrata.operators.places import PlaceTree, geoip_join
 from clickstrata.schemas import EVENTS
 
@@ -26,16 +27,19 @@ def ingest_events(
     rules: Sequence[AgentRule] = DEFAULT_RULES,
     arrival: Column | None = None,
     data: str = "data",
+    agents: DataFrame | None = None,
 ) -> DataFrame:
     """Process every record of a batch or a stream; no record is lost or moved.
 
     ``result`` says what became of it: ``success``, ``dropped`` (a bot) or an error type.
     ``date_day`` is the day of ``arrival``, by default the time of processing. There is no
-    de-duplication.
+    de-duplication. With ``agents``, a table that ``agent_table.extend_agents`` has brought up to
+    these records, no rule runs here.
     """
     arrived = F.current_timestamp() if arrival is None else arrival
     records = enrich.decode_envelope(raw.withColumn("arrived", arrived), data)
-    events = enrich.with_agent(enrich.event_identity(records), rules)
+    events = enrich.event_identity(records)
+    events = enrich.with_agent(events, rules) if agents is None else lookup(events, agents)
     events = enrich.with_fingerprint(enrich.with_device_type(events))
     # a record that is not stored as an event needs no place
     wanted = F.col("error_type").isNull() & ~F.col("is_bot")
@@ -53,6 +57,23 @@ def ingest_events(
     ).select(*SINK_COLUMNS)
 
 
+def ingest_with_agents(
+    raw: DataFrame,
+    places: PlaceTree,
+    agents_root: str,
+    rules: Sequence[AgentRule] = DEFAULT_RULES,
+    arrival: Column | None = None,
+    data: str = "data",
+) -> DataFrame:
+    """``ingest_events`` of a batch; the rules run for the agents that are new in it only.
+
+    The agents of the batch are read first, and those the stored table lacks are added to it.
+    """
+    sound = enrich.sound_records(enrich.decode_envelope(raw, data))
+    agents = extend_agents(sound, agents_root, rules)
+    return ingest_events(raw, places, rules, arrival, data, agents)
+
+
 def outcome_counts() -> list[Column]:
     """Counts of the three outcomes, for ``observe``."""
     dropped = F.col("result") == DROPPED
