@@ -17,18 +17,19 @@ def device_stats(prepared: DataFrame, approximate: bool = False) -> DataFrame:
         return sketches.device_stats(
             sketches.event_sketches(prepared, keys), sketches.session_sketches(prepared, keys)
         )
-    return (
-        session_profile(prepared, ["device_type"])
-        .select(
-            "device_type",
-            "pageviews",
-            "sessions",
-            "visitors",
-            "from_facebook",
-            "one_event_session_ratio",
-            "avg_events_per_session",
-            "median_time_per_page",
-            "median_session_time",
-        )
-        .orderBy("device_type")
-    )
+    return device_figures(session_profile(prepared, ["device_type"]))
+
+
+def device_figures(profile: DataFrame) -> DataFrame:
+    """The columns of ``device_stats``, of a ``session_profile`` by device type."""
+    return profile.select(
+        "device_type",
+        "pageviews",
+        "sessions",
+        "visitors",
+        "from_facebook",
+        "one_event_session_ratio",
+        "avg_events_per_session",
+        "median_time_per_page",
+        "median_session_time",
+    ).orderBy("device_type")

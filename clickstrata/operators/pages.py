@@ -29,9 +29,12 @@ def page_stats(
         daily = sketches.event_sketches(prepared, [*keys, "clean_url"])
         return sketches.page_stats(daily, lim, keys)
     pages = prepared.where(F.col("clean_url") != EMBEDDED_PAGE)
+    return _page_figures(group_profile(pages, [*keys, "clean_url"]), lim, keys)
+
+
+def _page_figures(profile: DataFrame, lim: int, keys: Sequence[str]) -> DataFrame:
     return (
-        group_profile(pages, [*keys, "clean_url"])
-        .where(F.col("sessions") >= lim)
+        profile.where(F.col("sessions") >= lim)
         .select(
             *keys,
             "clean_url",
@@ -48,6 +51,13 @@ def page_stats(
     )
 
 
+def page_stats_all_and_by_device(prepared: DataFrame, lim: int = 10) -> DataFrame:
+    """``page_stats`` of all events (``over_all``) and within each device type, in one pass."""
+    pages = prepared.where(F.col("clean_url") != EMBEDDED_PAGE)
+    profile = group_profile(pages, ["device_type", "clean_url"], all_of="device_type")
+    return _page_figures(profile, lim, ["over_all", "device_type"])
+
+
 def page_stats_by_device(
     prepared: DataFrame, lim: int = 10, devices: Sequence[str] = REPORT_DEVICES
 ) -> DataFrame:

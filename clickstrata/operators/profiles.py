@@ -9,8 +9,7 @@ step brings a group together before it has been reduced:
 * the median waiting time comes from a histogram. Waiting times are whole seconds within a
   session, so a group has at most as many entries as the inactivity limit has seconds;
 * the median session time has microsecond values, so its histogram is searched in two steps
-  of fixed size (``exact_median``). It comes from the same (visitor, session) rows as the
-  counts, so the events are read, and their sessions cut, once.
+  of fixed size (``exact_median``). The histogram is made once.
 """
 
 from __future__ import annotations
@@ -35,20 +34,28 @@ def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return reduce(lambda rows, key: rows.where(F.col(key).isNotNull()), keys, df)
 
 
-def _reduced(prepared: DataFrame, keys: list[str], times: bool) -> DataFrame:
+def _reduced(
+    prepared: DataFrame, keys: list[str], times: bool, all_of: str | None = None
+) -> DataFrame:
     """Events by (key, waiting time) and by (key, visitor, session), in one pass.
 
-    ``times`` adds the first and the last time of each. What is made of these rows in several
-    ways needs different columns of them; the condition at the end, which always holds, names
-    all of them, so that Spark computes the rows once and not once for each choice of columns.
+    ``all_of`` names a key of text: there are also groups over all its values, known or not, in
+    which it is empty and ``over_all`` true.
+
+    ``times`` adds the first and the last time of each.
     """
-    events = with_keys(prepared, keys)
+    others = [k for k in keys if k != all_of]
+    events = with_keys(prepared, others)
     ends = [F.min("request_time").alias("first"), F.max("request_time").alias("last")]
-    reduced = events.groupingSets(
-        [[*keys, _SECONDS], [*keys, "fingerprint", "session_id"]],
-        *keys, _SECONDS, "fingerprint", "session_id",
-    ).agg(
+    sets = [
+        [*some, *detail]
+        for some in ([keys] if all_of is None else [keys, others])
+        for detail in ([_SECONDS], ["fingerprint", "session_id"])
+    ]
+    whole = [] if all_of is None else [(F.grouping(all_of) == 1).alias("over_all")]
+    reduced = events.groupingSets(sets, *keys, _SECONDS, "fingerprint", "session_id").agg(
         (F.grouping("session_id") == 1).alias("by_time"),
+        *whole,
         F.count(F.lit(1)).alias("rows"),
         F.count("event_id").alias("pageviews"),
         F.sum("from_fb").alias("from_facebook"),
@@ -56,16 +63,27 @@ def _reduced(prepared: DataFrame, keys: list[str], times: bool) -> DataFrame:
         F.sum("last_session_event").alias("exits"),
         *(ends if times else []),
     )
-    if not times:
-        return reduced
-    named = [F.col(c) for c in ("rows", *_COUNTS)] + [micros(F.col(c)) for c in ("first", "last")]
-    return reduced.where(F.greatest(*named) > 0)
+    if all_of is not None:
+        known = F.col("over_all") | F.col(all_of).isNotNull()
+        reduced = reduced.where(known).withColumn(all_of, F.coalesce(all_of, F.lit("")))
+    return reduced
+
+
+def _marked(keys: Sequence[str], all_of: str | None) -> list[str]:
+    return [*keys] if all_of is None else [*keys, "over_all"]
 
 
-def group_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
+def group_profile(
+    prepared: DataFrame, keys: Sequence[str], all_of: str | None = None
+) -> DataFrame:
     """One row per key: median seconds to the next event, pageviews, sessions, visitors,
-    Facebook arrivals, entries, exits, and sessions by number of events."""
-    return _profile(_reduced(prepared, list(keys), times=False), list(keys))
+    Facebook arrivals, entries, exits, and sessions by number of events.
+
+    With ``all_of``, one of the keys, the same pass also gives the figures over all its values:
+    rows with ``over_all`` true, in which that key is empty.
+    """
+    reduced = _reduced(prepared, list(keys), times=False, all_of=all_of)
+    return _profile(reduced, _marked(keys, all_of))
 
 
 def _profile(reduced: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,6 +115,19 @@ def _sums(*columns: str) -> list[Column]:
     return [F.sum(c).alias(c) for c in columns]
 
 
+def _join_known(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on keys that are known on both sides.
+
+    A plain join would filter its inputs for known keys once more, ahead of what they are made
+    of, and so make two inputs of the one histogram.
+    """
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys))
+    return left.join(renamed, same, how).drop(*(f"_right_{k}" for k in keys))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: int) -> DataFrame:
     """Exact median of a bigint column per key, without gathering the values of a key.
 
@@ -129,7 +160,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: int) ->
         .select(*keys, "bucket", "before", "lower_rank", "upper_rank")
     )
     in_bucket = W.partitionBy(*keys, "bucket").orderBy(value)
-    ranked = histogram.join(located, [*keys, "bucket"]).withColumn(
+    ranked = _join_known(histogram, located, [*keys, "bucket"]).withColumn(
         "rank", F.col("before") + F.sum("n").over(in_bucket)
     )
     at = {
@@ -141,26 +172,29 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, width: int) ->
 
 def _median_session_seconds(reduced: DataFrame, keys: list[str]) -> DataFrame:
     """Median time from first to last event over sessions with several events."""
-    durations = reduced.where(
-        ~F.col("by_time") & F.col("session_id").isNotNull() & (F.col("pageviews") > 1)
-    ).select(*keys, (micros(F.col("last")) - micros(F.col("first"))).alias("duration"))
+    in_session = ~F.col("by_time") & F.col("session_id").isNotNull()
+    durations = reduced.where(in_session & (F.col("pageviews") > 1)).select(
+        *keys, (micros(F.col("last")) - micros(F.col("first"))).alias("duration")
+    )
     return exact_median(durations, keys, "duration", MICROS_PER_SECOND).select(
         *keys, (F.col("median") / MICROS_PER_SECOND).alias("median_session_seconds")
     )
 
 
-def session_profile(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
+def session_profile(
+    prepared: DataFrame, keys: Sequence[str], all_of: str | None = None
+) -> DataFrame:
     """``group_profile`` with the five figures per session, all at two decimals.
 
     The session time adds the rounded time per page, which stands for the unseen time on the
     last page.
     """
-    keys = list(keys)
-    reduced = _reduced(prepared, keys, times=True)
+    reduced = _reduced(prepared, list(keys), times=True, all_of=all_of)
+    keys = _marked(keys, all_of)
     profile = _profile(reduced, keys)
     durations = _median_session_seconds(reduced, keys)
     if keys:
-        profile = profile.join(durations, keys, "left")
+        profile = _join_known(profile, durations, keys, "left")
     else:
         only = durations.select(F.max("median_session_seconds")).scalar()
         profile = profile.withColumn("median_session_seconds", only)

@@ -137,7 +137,12 @@ def traffic_weekly(
 
 def session_stats(prepared: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Five figures per session: one row, or one per value of ``keys``."""
-    return session_profile(prepared, keys).select(
+    return session_figures(session_profile(prepared, keys), keys)
+
+
+def session_figures(profile: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``session_stats``, of a ``session_profile``."""
+    return profile.select(
         *keys,
         "one_event_session_ratio",
         "avg_events_per_session",

@@ -9,14 +9,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.operators.devices import device_stats
+from clickstrata.operators.devices import device_figures
 from clickstrata.operators.locations import location_per_day, location_top_n
 from clickstrata.operators.motions import REPORT_MOTIONS, motion_events, motion_stats
-from clickstrata.operators.pages import facebook_session_ratio, page_stats
+from clickstrata.operators.pages import (
+    REPORT_DEVICES,
+    facebook_session_ratio,
+    page_stats_all_and_by_device,
+)
 from clickstrata.operators.prepare import prepare_events, unique_visitors
 from clickstrata.operators.social import social_zscores
+from clickstrata.operators.profiles import session_profile
 from clickstrata.operators.traffic import (
-    session_stats,
+    session_figures,
     traffic_daily,
     traffic_hourly,
     traffic_weekday,
@@ -76,6 +81,10 @@ class SocialSeries:
     instagram_pageviews: DataFrame
 
 
+def _pages(pages: DataFrame) -> DataFrame:
+    return pages.drop("over_all", "device_type").orderBy(F.desc("sessions"), "clean_url")
+
+
 def web_report(
     session_events: DataFrame,
     social: SocialSeries | None = None,
@@ -84,9 +93,10 @@ def web_report(
 ) -> dict[str, DataFrame]:
     """Named result tables over session events.
 
-    The prepared events, the visitors and the daily traffic are written once to the shared
-    folder (``folder`` or the cluster's own) and every metric reads the columns it needs from
-    there; nothing large is held in memory. Columns that no metric reads are left out before
+    The prepared events, the visitors, the daily traffic, and the figures of pages and sessions,
+    each over all devices and by device in one pass, are written once to the shared folder
+    (``folder`` or the cluster's own) and every metric reads the columns it needs from there;
+    nothing large is held in memory. Columns that no metric reads are left out before
     sessions are cut, if ``session_events`` is still to be computed. With a ``folder`` from
     ``sources.shared.scratch``, the written tables go when the caller is done.
     """
@@ -96,24 +106,27 @@ def web_report(
         unique_visitors(prepared, ["city", "country", "date_day"]), "visitors", folder
     )
     daily = written(traffic_daily(prepared), "traffic-daily", folder).orderBy("date_day")
+    pages = written(page_stats_all_and_by_device(prepared, lim), "pages", folder)
+    profile = session_profile(prepared, ["device_type"], all_of="device_type")
+    sessions = written(profile, "session-profile", folder)
+    over_all = F.col("over_all")
     report = {
         "traffic_daily": daily,
         "traffic_hourly": traffic_hourly(prepared),
         "traffic_weekday": traffic_weekday(daily),
-        "session_stats": session_stats(prepared),
-        "page_stats": page_stats(prepared, lim),
+        "session_stats": session_figures(sessions.where(over_all)),
+        "page_stats": _pages(pages.where(over_all)),
         "facebook_session_ratio": facebook_session_ratio(prepared),
-        "device_stats": device_stats(prepared),
+        "device_stats": device_figures(sessions.where(~over_all)),
         "city_top": location_top_n(visitors, "city", TOP_CITIES),
         "city_daily": location_per_day(visitors, "city", TOP_CITIES),
         "country_top": location_top_n(visitors, "country", TOP_COUNTRIES),
         "country_daily": location_per_day(visitors, "country", TOP_COUNTRIES),
         "motion_stats": motion_stats(motion_events(prepared), REPORT_MOTIONS),
     }
-    for device in ("desktop", "mobile"):
-        report[f"page_stats_{device}"] = page_stats(
-            prepared.where(prepared["device_type"] == device), lim
-        )
+    for device in REPORT_DEVICES:
+        of_device = ~over_all & (F.col("device_type") == device)
+        report[f"page_stats_{device}"] = _pages(pages.where(of_device))
     if social is not None:
         networks = social_zscores(
             daily,

@@ -251,3 +251,37 @@ def test_visitors_of_a_wide_table(spark):
     wide = wide.withColumns({f"c{i}": late for i in range(70)})
     found = prepare.unique_visitors(wide).collect()
     assert len(found) == 1 and found[0].c0 == found[0].c69 == "late"
+
+
+def test_all_and_each_device_in_one_pass(spark):
+    """The same figures as one pass for all and one per device; an unknown device counts in all."""
+    rng = random.Random(9)
+    rows = [
+        event(
+            f"e{i}", NOON + timedelta(seconds=rng.randrange(40_000)), visitor=f"v{rng.randrange(9)}",
+            from_url=rng.choice(["https://s/a", "https://s/b", None]),
+            user_data=rng.choice(['{"device_type":"mobile"}', '{"device_type":"desktop"}', '{"device_type":""}', "{}"]),
+        )
+        for i in range(200)
+    ]
+    table = prepared(spark, rows)
+    both = pages.page_stats_all_and_by_device(table, 2)
+    columns = pages.page_stats(table, 2).columns
+    assert sorted(both.where("over_all").select(columns).collect(), key=str) == sorted(pages.page_stats(table, 2).collect(), key=str)
+    by_device = pages.page_stats(table, 2, ["device_type"])
+    found = both.where("not over_all").select(by_device.columns)
+    assert found.count() > 3 and sorted(found.collect(), key=str) == sorted(by_device.collect(), key=str)
+    profile = profiles.session_profile(table, ["device_type"], all_of="device_type")
+    assert traffic.session_figures(profile.where("over_all")).collect() == traffic.session_stats(table).collect()
+    devices_found = devices.device_figures(profile.where("not over_all")).collect()
+    assert devices_found == devices.device_stats(table).collect() and len(devices_found) == 3
+
+
+def test_session_figures_read_the_events_twice(spark, tmp_path):
+    """Once for the counts and once for the histogram of session times."""
+    path = str(tmp_path / "prepared")
+    prepared(spark, [event(f"e{i}", NOON + timedelta(minutes=i % 7), visitor=f"v{i % 5}") for i in range(50)]).write.parquet(path)
+    figures = devices.device_stats(spark.read.parquet(path))
+    figures.collect()
+    plan = figures._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2
