@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,9 @@ ANCHOR = 8
 SHARD_ROUTES = 1000
 PIECE_ROWS = 1500
 
+#: Bits of a digit of a word's number in the automaton.
+DIGIT_BITS = 5
+
 LAST = (1 << 63) - 1
 
 
@@ -88,16 +92,32 @@ def _stretch(a: list[bytes], p: int, b: list[bytes], q: int, window: int) -> tup
     occurrences, however repetitive the text.
     """
     low, least = 0, min(p, q, window - 1)
+    if a[p - least : p] == b[q - least : q]:
+        low = least
     while low < least and a[p - low - 1] == b[q - low - 1]:
         low += 1
     high, most = 0, min(len(a) - p, len(b) - q, window)
+    if a[p : p + most] == b[q : q + most]:
+        high = most
     while high < most and a[p + high] == b[q + high]:
         high += 1
     return p - low, p + high
 
 
+def _runs(flags: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Starts and ends of the runs of true flags that are so long at least."""
+    edges = np.flatnonzero(np.diff(flags, prepend=False, append=False)).reshape(-1, 2)
+    return [(a, b) for a, b in edges.tolist() if b - a >= least]
+
+
 class Passages:
-    """The recurring anchors that some documents own, in one automaton over word numbers."""
+    """The recurring anchors that some documents own, in one automaton over word numbers.
+
+    The automaton looks its next state up among all that follow one by one. Each word is
+    therefore several digits of a small alphabet, other digits in each place, so that a match
+    begins where a word does. Words of no anchor end a run, and shorter runs hold no anchor:
+    only what is left of a text goes through the automaton and is hashed.
+    """
 
     def __init__(self, window: int, anchor: int):
         import ahocorasick
@@ -119,13 +139,19 @@ class Passages:
                 if before is None or at < before[2]:
                     self.owners[value] = (doc, words, at)
 
+    def _digits(self, numbers: np.ndarray) -> tuple[int, ...]:
+        places = np.arange(self.width)
+        digits = (numbers[:, None] >> (DIGIT_BITS * places)) & ((1 << DIGIT_BITS) - 1)
+        return tuple((digits + (places << DIGIT_BITS)).ravel().tolist())
+
     def compile(self) -> None:
-        for doc, words, at in self.owners.values():
-            key = tuple(
+        for _, words, at in self.owners.values():
+            for w in words[at : at + self.anchor]:
                 self.numbers.setdefault(w, len(self.numbers) + 1)
-                for w in words[at : at + self.anchor]
-            )
-            self.automaton.add_word(key, (doc, words, at))
+        self.width = -(-len(self.numbers).bit_length() // DIGIT_BITS) or 1
+        for doc, words, at in self.owners.values():
+            key = self._numbers(words[at : at + self.anchor])
+            self.automaton.add_word(self._digits(key), (doc, words, at))
         if self.owners:
             self.automaton.make_automaton()
         keys = np.array(sorted(self.owners), np.int64)
@@ -133,34 +159,58 @@ class Passages:
         self.docs = np.array([self.owners[k][0] for k in keys.tolist()], np.int64)
         self.places = np.array([self.owners[k][2] for k in keys.tolist()], np.int64)
 
-    def scan(self, doc: int, words: list[bytes]):
-        """Stretches that repeat an owner's text, and (hash, start) of windows left open."""
-        size = len(words) - self.window + 1
-        if size <= 0 or not len(self.keys):
-            return [], np.empty(0, np.int64), np.empty(0, np.int64)
-        number = self.numbers.get
-        sequence = tuple([number(w, 0) for w in words])
-        repeated = np.zeros(size + 1, bool)
-        for end, (owner, text, at) in self.automaton.iter(sequence):
-            place = end - self.anchor + 1
-            if owner > doc or (owner == doc and at >= place):
-                continue
-            low, high = _stretch(words, place, text, at, self.window)
-            if high - low >= self.window:
-                repeated[low : high - self.window + 1] = True
-        edges = np.flatnonzero(np.diff(repeated, prepend=False)).reshape(-1, 2)
-        stretches = [(a, b + self.window - 1) for a, b in edges.tolist()]
-        hashes = self.hashes.of(words)
+    def _numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words; 0 for words that are in no anchor."""
+        return np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))
+
+    def _repeated(self, doc: int, words: list[bytes], numbers: np.ndarray, runs) -> np.ndarray:
+        """For each window of a text, and for the end, whether an owner has it before."""
+        repeated = np.zeros(len(words) - self.window + 2, bool)
+        for start, end in runs:
+            for last, (owner, text, at) in self.automaton.iter(self._digits(numbers[start:end])):
+                place = start + last // self.width - self.anchor + 1
+                if owner > doc or (owner == doc and at >= place):
+                    continue
+                low, high = _stretch(words, place, text, at, self.window)
+                if high - low >= self.window:
+                    repeated[low : high - self.window + 1] = True
+        return repeated
+
+    def _open(self, doc: int, words: list[bytes], repeated: np.ndarray, low: int, high: int):
+        """(hash, start) of the windows between two words that name an anchor and are open."""
+        hashes = self.hashes.of(words[low:high])
         every, places = anchors_of(hashes, self.window, self.anchor)
         named = every[places].view(np.int64)
         at = np.minimum(np.searchsorted(self.keys, named), len(self.keys) - 1)
         own = self.keys[at] == named
-        first = (self.docs[at] == doc) & (self.places[at] == places)
-        left = np.flatnonzero(own & ~repeated[:size] & ~first)
+        first = (self.docs[at] == doc) & (self.places[at] == places + low)
+        left = np.flatnonzero(own & ~repeated[low : low + len(places)] & ~first)
         if not len(left):
-            return stretches, np.empty(0, np.int64), left
+            return left, left
         codes = shingle_hashes(hashes, self.window)[left]
-        return stretches, mixed(codes).view(np.int64), left
+        return mixed(codes).view(np.int64), left + low
+
+    def scan(self, doc: int, words: list[bytes]):
+        """Stretches that repeat an owner's text, and (hash, start) of windows left open."""
+        none = np.empty(0, np.int64)
+        if len(words) < self.window or not len(self.keys):
+            return [], none, none
+        numbers = self._numbers(words)
+        runs = _runs(numbers > 0, self.anchor)
+        repeated = self._repeated(doc, words, numbers, runs)
+        edges = np.flatnonzero(np.diff(repeated, prepend=False)).reshape(-1, 2)
+        stretches = [(a, b + self.window - 1) for a, b in edges.tolist()]
+        # windows whose anchor is in a run lie within so many words of it
+        near, around = np.zeros(len(words), bool), self.window - self.anchor
+        for start, end in runs:
+            near[max(0, start - around) : end + around] = True
+        found = [
+            self._open(doc, words, repeated, low, high) for low, high in _runs(near, self.window)
+        ]
+        if not found:
+            return stretches, none, none
+        codes, starts = (np.concatenate(part) for part in zip(*found, strict=True))
+        return stretches, codes, starts
 
 
 FOUND = "kind int, doc bigint, content bigint, a bigint, b bigint"
