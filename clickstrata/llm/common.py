@@ -41,6 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).select(*columns)
 
 
+def fresh_name(name: str, df: DataFrame) -> str:
+    """A column name like ``name`` that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 #: With it, a query's shuffle files go when the query ends, not when memory runs low.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import WORD_BYTES, Workspace, texts_of, workspace
+from clickstrata.llm.common import fresh_name, WORD_BYTES, Workspace, texts_of, workspace
 
 #: Words of a test phrase.
 WINDOW = 10
@@ -313,6 +313,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
     an id are kept only if there is no hit in any of them.
     """
     hits = find_contamination(docs, items, window).where(F.size("items") > 0)
-    hits = hits.select(F.col("doc_id").alias("_hit")).distinct()
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_hit"))
+    fresh = fresh_name("hit", docs)
+    hits = hits.select(F.col("doc_id").alias(fresh)).distinct()
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(fresh))
     return docs.join(hits, same, "left_anti")

@@ -20,6 +20,8 @@ from math import gcd, lcm
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickstrata.llm.common import fresh_name
+
 #: Documents of a block.
 BLOCK_ROWS = 64
 
@@ -209,7 +211,12 @@ def mix_sources(
     rows have places of their own; if no source has a weight, all are equal; an empty table gives
     an empty result.
     """
-    docs = docs.drop(*MIX_COLUMNS, *(c for c in docs.columns if c.startswith("_mix_")))
+    docs = docs.drop(*MIX_COLUMNS)
+    given = docs.columns
+    # names of working columns begin like this
+    aside = [c for c in given if c.lower().startswith("_mix_")]
+    renamed = {c: fresh_name(f"aside_{i}", docs) for i, c in enumerate(aside)}
+    docs = docs.withColumnsRenamed(renamed)
     parts = source_parts(docs, weights, period)
     narrow = [c for c in ("doc_id", "lang", "n_chars", "source") if c in docs.columns]
     spread = F.xxhash64(*[F.col(c).cast("string") for c in narrow])
@@ -271,7 +278,8 @@ def mix_sources(
         .withColumn("mix_order", F.col("mix_slot") * block_rows + F.col("_mix_row") % block_rows)
         .withColumn("on_target", F.col("mix_slot") < F.col("_mix_horizon"))
     )
-    return placed.select(*docs.columns, *MIX_COLUMNS)
+    kept = [F.col(renamed.get(c, c)).alias(c) for c in given]
+    return placed.select(*kept, *MIX_COLUMNS)
 
 
 def _ends(turns: DataFrame, schedule: DataFrame, block_rows: int) -> DataFrame:

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickstrata.llm.common import fresh_name
+
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
@@ -407,12 +409,13 @@ def redact_secrets(
     if "n_chars" not in docs.columns:
         return docs.withColumn("text", clean)
     kind = docs.schema["n_chars"].dataType
-    changed = ~F.col("_clean").eqNullSafe(F.col("text"))
-    return docs.withColumn("_clean", clean).select(
+    fresh = fresh_name("clean", docs)
+    changed = ~F.col(fresh).eqNullSafe(F.col("text"))
+    return docs.withColumn(fresh, clean).select(
         *[
-            F.col("_clean").alias("text")
+            F.col(fresh).alias("text")
             if c == "text"
-            else F.when(changed, F.length("_clean")).otherwise(F.col(c)).cast(kind).alias(c)
+            else F.when(changed, F.length(fresh).cast(kind)).otherwise(F.col(c)).alias(c)
             if c == "n_chars"
             else F.col(c)
             for c in docs.columns

@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in queries()}
     assert "pipeline" in queries()
 
 
