@@ -3,9 +3,11 @@
 A document's set holds its distinct shingles. Identical sets are one set from here on.
 
 * *Candidates.* Two sets that link differ in at most ``d`` tokens. Their tokens are dealt by a
-  hash to more than ``d`` parts; then some part is the same in both. Sets without a part in
-  common with another set are done. Sets that share parts, directly or over others, are a
-  family, and no link leaves a family. Sizes form bands, since ``d`` depends on them.
+  hash to more than ``d`` parts, with some to spare; then at most ``d`` parts differ, so a set
+  with ``u`` parts that hold tokens shares ``u - d`` of them, at least, with every partner.
+  Sets that share fewer, with all others taken together, are done; that is repeated, since
+  their parts no longer count for the others. Sets that share parts, directly or over others,
+  are a family, and no link leaves a family. Sizes form bands, since ``d`` depends on them.
 * *Groups.* A family is partitioned into groups of similar sets, as many as its size asks for:
   sets whose most shared part is the same come together, in pieces of bounded size. A group's matrix is the union of its tokens with the
   sets that hold each. A query's overlap with the union bounds its overlap with every set of
@@ -13,8 +15,8 @@ A document's set holds its distinct shingles. Identical sets are one set from he
   exact overlap with every set at once.
 * *Large families.* Some pivots of a family are put into each of its groups. A set that is
   connected to the first pivot within its group needs no further links, as only connections
-  count; the others are sent to the other groups that hold one of their parts, since sets that
-  link share a part. A group's visitors come in pieces of bounded size, each with the group.
+  count; the others are sent to the other groups that hold as many of their parts as they share
+  with a partner. A group's visitors come in pieces of bounded size, each with the group.
 
 All tests are exact on 64-bit hashes of shingles. Only spanning links are given out.
 """
@@ -27,13 +29,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstrata.llm.common import (
     LOWER,
     WordHashes,
     Workspace,
+    fresh_name,
     mixed,
     shingle_hashes,
     texts_of,
@@ -45,8 +48,12 @@ from clickstrata.llm.components import components
 SHINGLE = 3
 PERCENT = 90
 
-#: Parts beyond those that a difference can touch, against parts without tokens.
-SPARE_PARTS = 2
+#: Parts beyond those that a difference can touch: some, and one for so many of these. Partners
+#: share as many more; sets that have only a passage in common rarely do.
+SPARE_PARTS, SPARE_SHARE = 2, 6
+
+#: Times that sets which share too few parts are left out.
+PRUNINGS = 2
 
 #: Sets of a group, about, and pivots of a family with several groups.
 GROUP_ROWS = 256
@@ -55,7 +62,7 @@ PIVOTS = 8
 #: Visitors of a group that are compared in one task, about.
 VISITOR_ROWS = 1024
 
-SKETCH = "doc_id bigint, n bigint, set_id binary, parts array<bigint>"
+SKETCH = "doc_id bigint, n bigint, set_id binary, parts array<bigint>, needs array<int>"
 
 
 # Sets --------------------------------------------------------------------------------------
@@ -83,15 +90,17 @@ def _bands(percent: int, largest: int) -> list[int]:
     return firsts
 
 
-def part_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of a set's parts, one of which it shares with every set that it links to.
+def part_keys(tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[int]]:
+    """Keys of a set's parts, and how many of them it shares with every set that it links to.
 
     Both sets use the band of the smaller one, so a set has keys for its own band, and for the
-    one below if that can hold a partner. A part without tokens is left out, unless the set has so many of them that the parts
-    with tokens may all differ.
+    one below if that can hold a partner. The lowest bit of a key is that of its band; the
+    second result has the number for even and for odd bands. A part without tokens is left out,
+    unless the set has so many of them that the parts with tokens may all differ.
     """
+    needs = [1, 1]
     if not len(tokens):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), needs
     firsts = _bands(percent, 1 << int(len(tokens)).bit_length())
     band = int(np.searchsorted(firsts, len(tokens), "right")) - 1
     deal, content = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), mixed(tokens)
@@ -99,42 +108,49 @@ def part_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     lower = band and (firsts[band] - 1) * 100 >= percent * len(tokens)
     for b in (band, band - 1)[: 1 + bool(lower)]:
         differ = (firsts[b + 1] - 1) * (100 - percent) // percent
-        count = differ + 1 + SPARE_PARTS
+        count = differ + 1 + SPARE_PARTS + differ // SPARE_SHARE
         part = ((deal >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         used, first = np.unique(part[order], return_index=True)
         sums = np.add.reduceat(content[order], first)
+        # with empty parts listed, a partner may not list those
+        needs[b % 2] = max(1, len(used) - differ)
         if len(used) <= differ:
             empty = np.setdiff1d(np.arange(count), used)
             used = np.concatenate([used, empty])
             sums = np.concatenate([sums, np.zeros(len(empty), np.uint64)])
         place = (used + (b << 32)).astype(np.uint64)
-        keys.append(mixed(sums ^ mixed(place + np.uint64(1))))
-    return np.concatenate(keys)
+        hashed = mixed(sums ^ mixed(place + np.uint64(1)))
+        keys.append(hashed >> np.uint64(1) << np.uint64(1) | np.uint64(b % 2))
+    return np.concatenate(keys), needs
 
 
 def sketches(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, n, set_id, parts`` of every row; sets that can have no partner have no parts."""
+    """``doc_id, n, set_id, parts, needs`` of every row (see ``part_keys``); sets that can have
+    no partner have no parts."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, ids, parts = [], [], []
+            sizes, ids, parts, needs = [], [], [], []
             for data in texts_of(batch.column(1)):
                 tokens = shingle_set(data, shingle, hashes)
                 sizes.append(len(tokens))
                 ids.append(set_id(tokens))
                 # with one token more or less, smaller sets are already too different
                 alone = len(tokens) * 100 < percent * (len(tokens) + 1)
-                parts.append(None if alone else part_keys(tokens, percent).view(np.int64))
+                keys, need = (None, None) if alone else part_keys(tokens, percent)
+                parts.append(None if alone else keys.view(np.int64))
+                needs.append(need)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(ids, pa.binary()),
                     pa.array(parts, pa.list_(pa.int64())),
+                    pa.array(needs, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "n", "set_id", "parts"],
+                ["doc_id", "n", "set_id", "parts", "needs"],
             )
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(sketch, SKETCH)
@@ -143,14 +159,46 @@ def sketches(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 # Families and groups -----------------------------------------------------------------------
 
 
+def _needs(sets: DataFrame) -> DataFrame:
+    """``node, odd, need``: parts that a set shares with each partner, by kind of band."""
+    by_band = sets.where("needs IS NOT NULL").select(
+        "node", F.posexplode("needs").alias("odd", "need")
+    )
+    return by_band.groupBy("node", "odd").agg(F.min("need").alias("need"))
+
+
+def _of_enough(counted: DataFrame, needs: DataFrame) -> DataFrame:
+    """Rows with ``node, odd, n`` whose set shares at least ``n`` parts with each partner."""
+    return counted.join(needs, ["node", "odd"]).where("n >= need").drop("n", "need")
+
+
+def _odd() -> Column:
+    return F.col("part").bitwiseAND(1).cast("int").alias("odd")
+
+
+def shared_parts(sets: DataFrame, work: Workspace) -> DataFrame:
+    """``part, node, count, first``: the parts that a set shares with ``count - 1`` others.
+
+    A set with fewer parts than it needs for a single partner has no partner in that band; its
+    parts go, and so may the need of others be missed. Parts that partners share never go.
+    """
+    parts = sets.select("node", F.explode("parts").alias("part")).repartition("part")
+    needs = work.written(_needs(sets), "needs")
+    for _ in range(1 + PRUNINGS):
+        often = parts.groupBy("part").agg(
+            F.count(F.lit(1)).alias("count"), F.min("node").alias("first")
+        )
+        shared = work.written(parts.join(often.where("count > 1"), "part"), "shared-parts")
+        counted = shared.groupBy("node", _odd()).agg(F.count_distinct("part").alias("n"))
+        enough = _of_enough(counted, needs)
+        parts = shared.select("node", "part", _odd()).join(enough, ["node", "odd"], "left_semi").drop("odd")
+    return shared
+
+
 def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sets that share parts: ``node, family, grp``, the groups of families with several, and
     the shared parts of each set: ``node, part``."""
-    parts = sets.select("node", F.explode("parts").alias("part")).repartition("part")
-    often = parts.groupBy("part").agg(
-        F.count(F.lit(1)).alias("count"), F.min("node").alias("first")
-    )
-    shared = work.written(parts.join(often.where("count > 1"), "part"), "shared-parts")
+    shared = shared_parts(sets, work)
     # sets of one band can meet in the band's and the lower band's parts
     found = components(shared.select(F.col("node").alias("a"), F.col("first").alias("b")), work)
     most = shared.groupBy("node").agg(
@@ -175,15 +223,51 @@ def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, Da
     return members, several_groups, shared.select("node", "part")
 
 
-def visits(lost: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
-    """``node, family, grp``: the other groups of its family with a set that shares a part with it.
+def visits(
+    lost: DataFrame,
+    members: DataFrame,
+    shared: DataFrame,
+    needs: DataFrame,
+    work: Workspace,
+) -> DataFrame:
+    """``node, family, grp``: the other groups of its family that may hold a partner of a set.
 
-    ``lost`` has ``node, family, own``. Parts and groups meet before any tokens are moved.
+    ``lost`` has ``node, family, own``. A partner holds as many of the set's parts as the set
+    needs, so its group does. Parts and groups meet before any tokens are moved.
     """
     lost = lost.select("node", "family", "own").distinct()
-    holders = members.join(shared, "node").select("part", "grp").distinct()
-    wanted = lost.join(shared, "node").select("node", "family", "own", "part")
-    return wanted.join(holders, "part").where("grp <> own").select("node", "family", "grp").distinct()
+    groups = members.select("family", "grp").distinct()
+    sizes = groups.groupBy("family").agg(F.count(F.lit(1)).alias("groups"))
+    holders = work.written(
+        members.join(shared, "node").select("family", "part", "grp").distinct(), "holders"
+    )
+    held = holders.groupBy("family", "part").agg(F.count(F.lit(1)).alias("by"))
+    # parts that every group of the family holds count for all of them at once
+    everywhere = work.written(
+        held.join(sizes, "family").where("by = groups").select("part"), "parts-of-all-groups"
+    )
+    elsewhere = holders.join(everywhere, "part", "left_anti").select("part", "grp")
+    wanted = work.written(lost.join(shared.select("node", "part").distinct(), "node"), "wanted")
+    asked = (
+        wanted.join(everywhere.withColumn("all", F.lit(1)), "part", "left")
+        .groupBy("node", "family", "own", _odd())
+        .agg(F.count("all").alias("sure"))
+        .join(needs, ["node", "odd"])
+        .select("node", "family", "own", "odd", (F.col("need") - F.col("sure")).alias("more"))
+    )
+    asked = work.written(asked, "parts-asked")
+    to_all = asked.where("more <= 0").select("node", "family", "own").distinct()
+    found = (
+        wanted.join(elsewhere, "part")
+        .where("grp <> own")
+        .groupBy("node", "grp", _odd())
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(asked.where("more > 0"), ["node", "odd"])
+        .where("n >= more")
+        .select("node", "family", "grp")
+    )
+    every = to_all.join(groups, "family").where("grp <> own").select("node", "family", "grp")
+    return every.unionByName(found).distinct()
 
 
 def dealt(visitors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -327,7 +411,9 @@ def set_links(
     inside = work.written(by_group.applyInArrow(_opened(percent, False), LINKS), "group-links")
     lost = inside.where("b IS NULL").select(F.col("a").alias("node"), "family", F.col("grp").alias("own"))
     several = members.join(groups.select("family").distinct(), "family", "left_semi")
-    visiting, pieces = dealt(work.written(visits(lost, several, shared), "visits"))
+    visiting, pieces = dealt(
+        work.written(visits(lost, several, shared, _needs(sets), work), "visits")
+    )
     visitors = tokens.drop("grp", "family").join(visiting, "node").select(
         "node", "family", "grp", "piece", "tokens", F.lit(2).alias("kind")
     )
@@ -360,7 +446,9 @@ def _classes(docs: DataFrame, shingle: int, percent: int, work: Workspace) -> Da
     rows = work.written(sketches(docs, shingle, percent), "sketches")
     named = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     sets = named.groupBy("set_id").agg(
-        F.min("doc_id").alias("node"), F.min_by("parts", "doc_id").alias("parts")
+        F.min("doc_id").alias("node"),
+        F.min_by("parts", "doc_id").alias("parts"),
+        F.min_by("needs", "doc_id").alias("needs"),
     )
     ids = work.written(named.groupBy("set_id").agg(F.min("doc_id").alias("node")), "sets")
     # the same id with several texts: their sets belong together
@@ -386,6 +474,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
     Rows without an id, and repeated rows of a kept id, stay.
     """
+    fresh = fresh_name("gone", docs)
     gone = similarity_classes(docs, shingle, percent).where("component_id < doc_id")
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = gone.select(F.col("doc_id").alias(fresh)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col(fresh), "left_anti")

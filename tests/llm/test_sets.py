@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from clickstrata.llm import decontamination, repeats, similarity
-from clickstrata.llm.common import LOWER, workspace
+from clickstrata.llm.common import LOWER, Workspace, workspace
 from clickstrata.llm.components import components
 
 
@@ -90,6 +90,8 @@ def test_sets_visit_only_groups_with_one_of_their_parts(spark, monkeypatch):
         spark.createDataFrame(lost, "node bigint, family bigint, own bigint"),
         spark.createDataFrame(members, "node bigint, family bigint, grp bigint"),
         spark.createDataFrame(parts, "node bigint, part bigint"),
+        spark.range(200).selectExpr("id node", "explode(array(0, 1)) odd", "1 need"),
+        Workspace(spark, "test"),
     )
     group = {node: (family, grp) for node, family, grp in members}
     expected = {
@@ -147,8 +149,105 @@ def test_linked_sets_share_a_part(size, percent):
         for other in (fewer, more):
             both = len(np.intersect1d(tokens, other))
             assert 100 * both >= percent * (len(tokens) + len(other) - both)
-            keys = similarity.part_keys(tokens, percent), similarity.part_keys(other, percent)
-            assert len(np.intersect1d(*keys))
+            (mine, need), (theirs, others_need) = (similarity.part_keys(t, percent) for t in (tokens, other))
+            shared = np.intersect1d(mine, theirs)
+            assert len(shared)
+            # enough of them in the band of the smaller set
+            firsts = similarity._bands(percent, 1 << 20)
+            odd = (int(np.searchsorted(firsts, min(len(tokens), len(other)), "right")) - 1) % 2
+            assert np.count_nonzero(shared % np.uint64(2) == odd) >= max(need[odd], others_need[odd])
+
+
+def test_groups_below_the_bound_are_not_visited(spark):
+    members = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 2)], "node bigint, family bigint, grp bigint")
+    # sets 2 and 3 hold three parts of set 1 together, set 4 two, and one of an odd band
+    parts = [(1, p) for p in (10, 12, 14, 16, 21)] + [(2, 10), (2, 12), (3, 12), (3, 14), (4, 10), (4, 16), (4, 21)]
+    shared = spark.createDataFrame(parts, "node bigint, part bigint")
+    lost = spark.createDataFrame([(1, 1, 0)], "node bigint, family bigint, own bigint")
+
+    def groups(even, odd):
+        needs = spark.createDataFrame([(1, 0, even), (1, 1, odd)], "node bigint, odd int, need int")
+        return sorted(r.grp for r in similarity.visits(lost, members, shared, needs, Workspace(spark, "test")).collect())
+
+    assert groups(3, 2) == [1] and groups(2, 2) == [1, 2] and groups(4, 1) == [2] and groups(4, 2) == []
+
+
+def test_parts_of_all_groups_count_for_each(spark):
+    """Common parts are counted once for a set and not once per group; the bound is the same."""
+    draw = random.Random(4)
+    members = [(i, i % 3, (i // 3) % 4) for i in range(60)]
+    common = {f: [1000 * f + p for p in range(0, 12)] for f in range(3)}
+    parts = [(i, p) for i, f, _ in members for p in draw.sample(common[f], draw.randint(2, 9))]
+    parts += [(i, 90_000 + draw.randrange(30) * 3 + f) for i, f, _ in members for _ in range(4)]
+    parts = sorted(set(parts))
+    lost = [(i, f, g) for i, f, g in members if i % 2]
+    needs = {(i, odd): draw.randint(1, 6) for i, _, _ in members for odd in (0, 1)}
+    found = similarity.visits(
+        spark.createDataFrame(lost, "node bigint, family bigint, own bigint"),
+        spark.createDataFrame(members, "node bigint, family bigint, grp bigint"),
+        spark.createDataFrame(parts, "node bigint, part bigint"),
+        spark.createDataFrame([(i, o, n) for (i, o), n in needs.items()], "node bigint, odd int, need int"),
+        Workspace(spark, "test"),
+    )
+    mine = {i: {p for j, p in parts if j == i} for i, _, _ in members}
+    expected = set()
+    for i, f, own in lost:
+        for g in range(4):
+            union = set().union(*(mine[j] for j, of, h in members if (of, h) == (f, g)))
+            for odd in (0, 1):
+                n = sum(p % 2 == odd for p in mine[i] & union)
+                if g != own and n >= needs[i, odd]:
+                    expected.add((i, f, g))
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == expected
+    assert 0 < len(expected) < 3 * len(lost)
+
+
+def test_sets_with_too_few_common_parts_are_left_out(spark):
+    # 1 and 2 are partners; 3 shares two parts with them, 4 two with 3 only
+    parts = {1: [2, 4, 6, 8], 2: [2, 4, 6, 10], 3: [2, 4, 12, 14], 4: [12, 14, 16], 5: [18]}
+    sets = spark.createDataFrame([(n, p, [3, 3]) for n, p in parts.items()], "node bigint, parts array<bigint>, needs array<int>")
+    with workspace(spark, "test") as work:
+        found = {(r.node, r.part) for r in similarity.shared_parts(sets, work).collect()}
+    assert found == {(n, p) for n in (1, 2) for p in (2, 4, 6)}
+
+
+@pytest.mark.parametrize(("shingle", "percent"), [(5, 80), (3, 90), (1, 80), (2, 50)])
+def test_no_link_is_lost_among_similar_sets(rows_of, monkeypatch, shingle, percent):
+    """Texts around the threshold, in families of several small groups."""
+    monkeypatch.setattr(similarity, "GROUP_ROWS", 6)
+    draw = random.Random(percent + shingle)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}w{i}" for i in range(draw.randint(12, 90))]
+        for _ in range(30):
+            words = base[:]
+            for _ in range(draw.randint(0, max(1, len(base) // 12))):
+                words[draw.randrange(len(words))] = f"n{draw.randrange(10**6)}"
+            cut = draw.randint(0, len(words) // 8)
+            rows.append((len(rows), " ".join(words[cut:] if draw.random() < 0.5 else words)))
+    found = similarity.similarity_classes(rows_of(rows), shingle, percent)
+    assert sorted(map(tuple, found.collect())) == classes(rows, shingle, percent)
+
+
+def test_stages_keep_columns_of_any_name(spark, rows_of):
+    from clickstrata.llm import decontamination, mixing, secrets
+
+    names = ["_gone", "gone", "_hit", "hit", "Hit", "_clean", "clean", "n_chars", "_mix_key", "_mix_n", "source", "component_id"]
+    names = [n for n in names if n != "Hit"]
+    docs = rows_of([(1, "password=abcdef123 here"), (2, "other words"), (None, None)], names)
+    items = spark.createDataFrame([(1, "no such words in any text at all you see now")], "item_id bigint, text string")
+    for stage in (
+        similarity.keep_one,
+        lambda d: decontamination.drop_contaminated(d, items),
+        secrets.redact_secrets,
+        mixing.mix_sources,
+    ):
+        kept = stage(docs)
+        assert kept.columns[: len(docs.columns)] == docs.columns
+        rows = kept.collect()
+        assert len(rows) == 3
+        assert all(r[n] == n for r in rows for n in names if n != "n_chars")
 
 
 def without_repeats(rows):
