@@ -92,7 +92,7 @@ def test_report_tables_can_be_removed(spark, session_events):
     with shared.scratch(spark, "report") as folder:
         tables = web_report(session_events, None, 10, folder)
         assert tables["traffic_daily"].count() == 28
-        plan = tables["session_stats"]._jdf.queryExecution().optimizedPlan().toString()
+        plan = tables["motion_stats"]._jdf.queryExecution().optimizedPlan().toString()
         assert "percentile" in plan
         assert os.path.exists(folder)
     assert not os.path.exists(folder)
