@@ -74,10 +74,16 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.complete_days(events, sample_site.START, sample_site.AS_OF)
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _prepared_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.prepare_events(sessions.session_details(_events(spark, sf_dir)))
 
 
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prepared events of every day, whenever they arrived."""
+    events = sample_site.web_events(spark, sf_dir)
+    return prepare.prepare_events(sessions.session_details(events))
+
+
 def _visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visitors with place and first day; none of these columns depends on sessions."""
     events = sessions.flat_events(_events(spark, sf_dir))
@@ -214,7 +220,7 @@ def complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inactivity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.inactivity_gaps(_events(spark, sf_dir)).select(
+    return sessions.inactivity_gaps(sample_site.web_events(spark, sf_dir)).select(
         "event_id", "fingerprint", "request_time", "inactivity_time"
     )
 
@@ -278,19 +284,19 @@ def sessions_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepare_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir)
+    return _prepared_days(spark, sf_dir)
 
 
 def unique_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.unique_visitors(_prepared(spark, sf_dir))
+    return prepare.unique_visitors(_prepared_days(spark, sf_dir))
 
 
 def traffic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.traffic_daily(_prepared(spark, sf_dir))
+    return traffic.traffic_daily(_prepared_days(spark, sf_dir))
 
 
 def traffic_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.traffic_hourly(_prepared(spark, sf_dir))
+    return traffic.traffic_hourly(_prepared_days(spark, sf_dir))
 
 
 def traffic_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,31 +304,31 @@ def traffic_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def traffic_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.traffic_weekly(_prepared(spark, sf_dir))
+    return traffic.traffic_weekly(_prepared_days(spark, sf_dir))
 
 
 def session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return traffic.session_stats(_prepared(spark, sf_dir))
+    return traffic.session_stats(_prepared_days(spark, sf_dir))
 
 
 def page_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.page_stats(_prepared(spark, sf_dir), LIM)
+    return pages.page_stats(_prepared_days(spark, sf_dir), LIM)
 
 
 def page_stats_by_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.page_stats_by_device(_prepared(spark, sf_dir), LIM)
+    return pages.page_stats_by_device(_prepared_days(spark, sf_dir), LIM)
 
 
 def facebook_session_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.facebook_session_ratio(_prepared(spark, sf_dir))
+    return pages.facebook_session_ratio(_prepared_days(spark, sf_dir))
 
 
 def facebook_landing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.facebook_landing_pages(_prepared(spark, sf_dir))
+    return pages.facebook_landing_pages(_prepared_days(spark, sf_dir))
 
 
 def device_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return devices.device_stats(_prepared(spark, sf_dir))
+    return devices.device_stats(_prepared_days(spark, sf_dir))
 
 
 def city_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,17 +348,17 @@ def country_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def motion_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return motions.motion_events(_prepared(spark, sf_dir)).select(
+    return motions.motion_events(_prepared_days(spark, sf_dir)).select(
         "event_id", "fingerprint", "session_id", "from_url", "motion"
     )
 
 
 def motion_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return motions.motion_stats(motions.motion_events(_prepared(spark, sf_dir)))
+    return motions.motion_stats(motions.motion_events(_prepared_days(spark, sf_dir)))
 
 
 def motion_stats_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    selected = motions.motion_events(_prepared(spark, sf_dir))
+    selected = motions.motion_events(_prepared_days(spark, sf_dir))
     return motions.motion_stats(selected, motions.REPORT_MOTIONS)
 
 
@@ -423,7 +429,7 @@ def _within(exact: DataFrame, merged: DataFrame, keys: list[str], counts: list[s
 
 def traffic_weekly_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(spark, "weekly-sketches") as folder:
-        prepared = written(_prepared(spark, sf_dir), "prepared", folder)
+        prepared = written(_prepared_days(spark, sf_dir), "prepared", folder)
         daily = _stored_sketches(sketches.event_sketches(prepared), folder)
         checked = _within(
             traffic.traffic_weekly(prepared),
@@ -445,7 +451,7 @@ def _with_medians(prepared: DataFrame, checked: DataFrame, merged: DataFrame, ke
 
 def page_stats_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(spark, "page-sketches") as folder:
-        prepared = written(_prepared(spark, sf_dir), "prepared", folder)
+        prepared = written(_prepared_days(spark, sf_dir), "prepared", folder)
         daily = _stored_sketches(sketches.event_sketches(prepared, ["clean_url"]), folder)
         merged = sketches.page_stats(daily, 0)
         checked = _within(
@@ -457,7 +463,7 @@ def page_stats_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def device_stats_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions and their ratios are exact here too: sessions add up over event days."""
     with scratch(spark, "device-sketches") as folder:
-        prepared = written(_prepared(spark, sf_dir), "prepared", folder)
+        prepared = written(_prepared_days(spark, sf_dir), "prepared", folder)
         keys = ["device_type"]
         events = _stored_sketches(sketches.event_sketches(prepared, keys), folder)
         per_session = _stored_sketches(sketches.session_sketches(prepared, keys), folder)
