@@ -226,7 +226,7 @@ def inactivity_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_starts(_events(spark, sf_dir))
+    return sessions.session_starts(sample_site.web_events(spark, sf_dir))
 
 
 def session_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,3 +38,7 @@ def rows(spark, folder, name, *columns):
 def test_inactivity_gaps(spark, folder):
     found = dict(rows(spark, folder, "inactivity_gaps", "event_id", "inactivity_time"))
     assert found == {"5": None, "7": 10, "410": None, "287": 5, "500": None, "14": 5}
+
+
+def test_session_starts(spark, folder):
+    assert rows(spark, folder, "session_starts", "event_id") == [("410",), ("5",), ("500",)]
