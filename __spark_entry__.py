@@ -230,7 +230,7 @@ def session_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.sessions(_events(spark, sf_dir))
+    return sessions.sessions(sample_site.web_events(spark, sf_dir))
 
 
 def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,3 +42,8 @@ def test_inactivity_gaps(spark, folder):
 
 def test_session_starts(spark, folder):
     assert rows(spark, folder, "session_starts", "event_id") == [("410",), ("5",), ("500",)]
+
+
+def test_sessions(spark, folder):
+    found = rows(spark, folder, "sessions", "session_start_at", "session_end_at")
+    assert found == sorted((a[1], b[1]) for a, b in zip(EVENTS[::2], EVENTS[1::2], strict=True))
