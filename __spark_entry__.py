@@ -96,7 +96,9 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _places(spark: SparkSession, sf_dir: str, folder: str) -> places.PlaceTree:
-    intervals = places.disjoint_places(sample_site.address_blocks(spark, sf_dir))
+    # both are read several times
+    blocks = written(sample_site.address_blocks(spark, sf_dir), "blocks", folder)
+    intervals = written(places.disjoint_places(blocks), "intervals", folder)
     return places.place_tree(intervals, fresh_path(spark, "places", folder))
 
 

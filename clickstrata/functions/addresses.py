@@ -33,13 +33,14 @@ def _plain(address: Column) -> Column:
 
 def ipv4_number(address: Column) -> Column:
     """``a.b.c.d`` as a bigint; null for IPv6 and malformed text."""
-    parts = F.split(address, r"\.")
-    number = sum(
-        (F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint") * 256 ** (3 - i)
-         for i in range(4)),
-        F.lit(0).cast("bigint"),
-    )
-    return F.when(address.rlike(IPV4), number)
+    def number(parts: Column) -> Column:
+        return sum(
+            (F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint") * 256 ** (3 - i)
+             for i in range(4)),
+            F.lit(0).cast("bigint"),
+        )
+
+    return _bound(F.when(address.rlike(IPV4), F.split(address, r"\.")), number)
 
 
 def ipv6_number(address: Column) -> Column:

@@ -34,11 +34,15 @@ _STEPS = FANOUT.bit_length()
 
 
 def blocks_of_networks(networks: DataFrame, network: str = "network") -> DataFrame:
-    """Blocks from CIDR text of both families, with the place columns; malformed rows go."""
+    """Blocks from CIDR text of both families, with the place columns; malformed rows go.
+
+    Of rows with the same text only that with the smallest place stays, which is the one that
+    ``disjoint_places`` takes of equal blocks: a text is read once, however many rows have it.
+    """
+    place = F.min(F.struct("country_name", "country_iso", "city")).alias("place")
+    texts = networks.groupBy(F.col(network).alias("network")).agg(place)
     # a generator: its columns are never computed again by what follows
-    found = networks.select(
-        F.inline(F.array(network_range(F.col(network)))), "country_name", "country_iso", "city"
-    )
+    found = texts.select(F.inline(F.array(network_range(F.col("network")))), "place.*")
     return found.where(F.col("family").isNotNull())
 
 
