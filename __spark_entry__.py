@@ -179,6 +179,9 @@ def _ingested(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame,
     """Run the stream over the sample records; what it stored, and the counts it observed."""
     sample_site.configure(spark)
     events = spark.readStream.schema(sample_site.SCHEMAS["events"]).parquet(f"{sf_dir}/events*.parquet")
+    # a compact file is few tasks, and a record costs far more than reading its row
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    events = events.repartition(tasks, F.xxhash64("event_id", "ts", "user_id"))
     root = f"{folder}/events"
     query = start_ingest(
         sample_site.raw_envelopes(spark, sf_dir, events),
