@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickstrata.operators.places import blocks_of_networks
 from clickstrata.session import configure
 
-#: Complete days that the queries look at, and the unfinished day after them. The sample also
+#: Complete days that most queries look at, and the unfinished day after them. The sample also
 #: has events that arrived before and after, and some that arrived a day late.
 START = "2024-01-02"
 AS_OF = "2024-01-30"
