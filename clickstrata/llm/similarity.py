@@ -6,8 +6,12 @@ A document's set holds its distinct shingles. Identical sets are one set from he
   hash to more than ``d`` parts, with some to spare; then at most ``d`` parts differ, so a set
   with ``u`` parts that hold tokens shares ``u - d`` of them, at least, with every partner.
   Sets that share fewer, with all others taken together, are done; that is repeated, since
-  their parts no longer count for the others. Sets that share parts, directly or over others,
-  are a family, and no link leaves a family. Sizes form bands, since ``d`` depends on them.
+  their parts no longer count for the others. Sizes form bands, since ``d`` depends on them.
+* *Families.* The tokens of the sets that are left are counted. A set with too many tokens that
+  no other holds is done, and that is repeated too. Of the others, the rarest tokens count: a
+  partner lacks so few tokens of a set that both hold one of the rarest of each, once these are
+  one more than it can lack. Sets that share such tokens, directly or over others, are a family,
+  and no link leaves a family.
 * *Groups.* A family is partitioned into groups of similar sets, as many as its size asks for:
   sets whose most shared part is the same come together, in pieces of bounded size. A group's matrix is the union of its tokens with the
   sets that hold each. A query's overlap with the union bounds its overlap with every set of
@@ -15,8 +19,8 @@ A document's set holds its distinct shingles. Identical sets are one set from he
   exact overlap with every set at once.
 * *Large families.* Some pivots of a family are put into each of its groups. A set that is
   connected to the first pivot within its group needs no further links, as only connections
-  count; the others are sent to the other groups that hold as many of their parts as they share
-  with a partner. A group's visitors come in pieces of bounded size, each with the group.
+  count; the others are sent to the other groups whose sets have one of their rarest tokens
+  among their own rarest. A group's visitors come in pieces of bounded size, each with the group.
 
 All tests are exact on 64-bit hashes of shingles. Only spanning links are given out.
 """
@@ -29,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickstrata.llm.common import (
@@ -52,7 +56,7 @@ PERCENT = 90
 #: share as many more; sets that have only a passage in common rarely do.
 SPARE_PARTS, SPARE_SHARE = 2, 6
 
-#: Times that sets which share too few parts are left out.
+#: Times that sets which share too few parts, and then too few tokens, are left out.
 PRUNINGS = 2
 
 #: Sets of a group, about, and pivots of a family with several groups.
@@ -195,11 +199,48 @@ def shared_parts(sets: DataFrame, work: Workspace) -> DataFrame:
     return shared
 
 
-def families(sets: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sets that share parts: ``node, family, grp``, the groups of families with several, and
-    the shared parts of each set: ``node, part``."""
-    shared = shared_parts(sets, work)
-    # sets of one band can meet in the band's and the lower band's parts
+def rarest_tokens(sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """``node, part``: the rarest tokens of ``sets`` (``node, set_id, tokens``) that can have a
+    partner, those left out that no other set holds.
+
+    A partner holds at least ``least`` of a set's ``n`` tokens. In one order for all sets, the
+    first token that both hold is at most the ``n - least + 1``-th of either.
+    """
+    # an id can have several sets
+    held = sets.select(
+        "node",
+        F.xxhash64("set_id").alias("set"),
+        F.size("tokens").alias("n"),
+        F.explode("tokens").alias("token"),
+    )
+    least = F.expr(f"(n * {percent}L + 99) div 100")
+    for _ in range(PRUNINGS):
+        often = held.groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+        shared = work.written(held.join(often, "token"), "shared-tokens")
+        enough = shared.groupBy("node", "set", "n").count().where(F.col("count") >= least)
+        held = shared.drop("count").join(enough.select("node", "set"), ["node", "set"], "left_semi")
+    one_set = Window.partitionBy("node", "set")
+    ranked = shared.select(
+        "node",
+        "n",
+        "token",
+        F.count(F.lit(1)).over(one_set).alias("shared"),
+        F.row_number().over(one_set.orderBy("count", "token")).alias("place"),
+    )
+    # the tokens that no other set holds come before these
+    rarest = ranked.where(F.col("shared") >= least).where(
+        F.col("n") - F.col("shared") + F.col("place") <= F.col("n") - least + 1
+    )
+    return work.written(rarest.select("node", F.col("token").alias("part")).distinct(), "rarest-tokens")
+
+
+def families(rarest: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets that share some of their ``rarest`` tokens: ``node, family, grp``, the groups of
+    families with several, and the tokens that are shared: ``node, part``."""
+    often = rarest.groupBy("part").agg(
+        F.count(F.lit(1)).alias("count"), F.min("node").alias("first")
+    )
+    shared = work.written(rarest.join(often.where("count > 1"), "part"), "shared-rarest")
     found = components(shared.select(F.col("node").alias("a"), F.col("first").alias("b")), work)
     most = shared.groupBy("node").agg(
         F.max(F.struct("count", "part")).alias("most")
@@ -233,7 +274,7 @@ def visits(
     """``node, family, grp``: the other groups of its family that may hold a partner of a set.
 
     ``lost`` has ``node, family, own``. A partner holds as many of the set's parts as the set
-    needs, so its group does. Parts and groups meet before any tokens are moved.
+    needs, so its group does. Parts and groups meet before any sets are moved.
     """
     lost = lost.select("node", "family", "own").distinct()
     groups = members.select("family", "grp").distinct()
@@ -341,7 +382,7 @@ def _opened(percent: int, visits: bool):
     def links(table: pa.Table) -> pa.Table:
         table = table.sort_by([("kind", "ascending"), ("node", "ascending")])
         kinds, nodes = table.column("kind").to_numpy(), table.column("node").to_pylist()
-        sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("tokens")]
+        sets = [s.values.to_numpy().view(np.uint64) for s in table.column("tokens")]
         held = np.flatnonzero(kinds != 2)
         matrix, forest, found = Matrix([sets[i] for i in held]), _Forest(len(sets)), []
         place = {node: i for i, node in reversed(list(enumerate(nodes)))}
@@ -371,37 +412,37 @@ def _opened(percent: int, visits: bool):
     return links
 
 
-def _token_sets(docs: DataFrame, members: DataFrame, shingle: int, work: Workspace) -> DataFrame:
-    """The members with the tokens of their sets."""
+def _token_sets(docs: DataFrame, named: DataFrame, shingle: int, work: Workspace) -> DataFrame:
+    """``node, set_id, tokens`` of the sets in ``named`` (``node, set_id``)."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            made = [shingle_set(d, shingle, hashes) for d in texts_of(batch.column(4))]
+            made = [shingle_set(d, shingle, hashes) for d in texts_of(batch.column(2))]
             # a repeated id with another text is another set
-            keep = [set_id(t) == s.as_py() for t, s in zip(made, batch.column(3), strict=True)]
-            packed = pa.array([t.tobytes() for t in made], pa.binary())
+            keep = [set_id(t) == s.as_py() for t, s in zip(made, batch.column(1), strict=True)]
+            listed = pa.array([t.view(np.int64) for t in made], pa.list_(pa.int64()))
             whole = pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), batch.column(3), packed],
-                ["node", "family", "grp", "set_id", "tokens"],
+                [batch.column(0), batch.column(1), listed], ["node", "set_id", "tokens"]
             )
             yield whole.filter(pa.array(keep))
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text")
-    joined = members.join(texts, "node").select("node", "family", "grp", "set_id", "text")
-    made = joined.mapInArrow(
-        tokens, "node bigint, family bigint, grp bigint, set_id binary, tokens binary"
-    )
-    return work.written(made.dropDuplicates(["node", "set_id"]).drop("set_id"), "family-sets")
+    joined = named.join(texts, "node").select("node", "set_id", "text")
+    made = joined.mapInArrow(tokens, "node bigint, set_id binary, tokens array<bigint>")
+    return work.written(made.dropDuplicates(["node", "set_id"]), "token-sets")
 
 
 def set_links(
     docs: DataFrame, sets: DataFrame, ids: DataFrame, shingle: int, percent: int, work: Workspace
 ) -> DataFrame:
     """Spanning links (a, b) between different sets, named by the smallest id that has each."""
-    members, groups, shared = families(sets, work)
-    named = members.join(ids, "node")
-    tokens = _token_sets(docs, named, shingle, work)
+    candidates = shared_parts(sets, work).select("node").distinct()
+    made = _token_sets(docs, ids.join(candidates, "node", "left_semi"), shingle, work)
+    members, groups, shared = families(rarest_tokens(made, percent, work), work)
+    tokens = work.written(
+        members.join(made, "node").select("node", "family", "grp", "tokens"), "family-sets"
+    )
     chosen = pivots(members, groups)
     pivot_rows = (
         tokens.drop("grp").join(chosen, ["family", "node"]).join(groups, "family")
@@ -411,8 +452,10 @@ def set_links(
     inside = work.written(by_group.applyInArrow(_opened(percent, False), LINKS), "group-links")
     lost = inside.where("b IS NULL").select(F.col("a").alias("node"), "family", F.col("grp").alias("own"))
     several = members.join(groups.select("family").distinct(), "family", "left_semi")
+    # partners share one of the rarest tokens
+    one = lost.select("node", F.explode(F.array(F.lit(0), F.lit(1))).alias("odd"), F.lit(1).alias("need"))
     visiting, pieces = dealt(
-        work.written(visits(lost, several, shared, _needs(sets), work), "visits")
+        work.written(visits(lost, several, shared, one.distinct(), work), "visits")
     )
     visitors = tokens.drop("grp", "family").join(visiting, "node").select(
         "node", "family", "grp", "piece", "tokens", F.lit(2).alias("kind")

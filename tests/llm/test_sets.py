@@ -212,6 +212,43 @@ def test_sets_with_too_few_common_parts_are_left_out(spark):
     assert found == {(n, p) for n in (1, 2) for p in (2, 4, 6)}
 
 
+def test_sets_without_a_partners_tokens_are_left_out(spark):
+    # 1 and 2 link; 4 has too few tokens of others, and then 3 has, since those of 4 do not count
+    tokens = {1: [*range(1, 11)], 2: [*range(1, 10), 20], 3: [*range(1, 8), 31, 32, 33], 4: [31, 32, 33, 41, 42]}
+    sets = spark.createDataFrame(
+        [(n, bytearray([n]), t) for n, t in tokens.items()], "node bigint, set_id binary, tokens array<bigint>"
+    )
+    with workspace(spark, "test") as work:
+        found = sorted(tuple(r) for r in similarity.rarest_tokens(sets, 80, work).collect())
+    # partners share eight of ten, so one of any three, and the one that no other holds is the first
+    assert found == [(1, 8), (1, 9), (2, 8), (2, 9)]
+
+
+def test_near_copies_that_do_not_link_visit_no_group(rows_of, monkeypatch):
+    monkeypatch.setattr(similarity, "GROUP_ROWS", 8)
+    visits, written = [], Workspace.written
+
+    def counted(self, df, name):
+        table = written(self, df, name)
+        if name == "visits":
+            visits.append(table.count())
+        return table
+
+    monkeypatch.setattr(Workspace, "written", counted)
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(80):
+        words = base[:]
+        for place in draw.sample(range(150), 9 if i % 4 else 1):
+            words[place] = f"e{i}x{place}"
+        rows.append((i, " ".join(words)))
+    found = similarity.similarity_classes(rows_of(rows), 5, 80)
+    expected = classes(rows, 5, 80)
+    assert sorted(map(tuple, found.collect())) == expected
+    assert len({component for _, _, component in expected}) > 50 and len(visits) == 1 and visits[0] <= len(rows) // 4
+
+
 @pytest.mark.parametrize(("shingle", "percent"), [(5, 80), (3, 90), (1, 80), (2, 50)])
 def test_no_link_is_lost_among_similar_sets(rows_of, monkeypatch, shingle, percent):
     """Texts around the threshold, in families of several small groups."""
