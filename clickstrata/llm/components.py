@@ -32,6 +32,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("a", F.col("low").alias("b")))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each larger end of an edge has one neighbour, which is no larger end itself."""
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("a").alias("node"), F.lit(1).alias("larger")),
+            F.struct(F.col("b").alias("node"), F.lit(0).alias("larger")),
+        )
+    )
+    by_node = edges.select(ends.alias("end")).groupBy("end.node").agg(
+        F.sum("end.larger").alias("larger"), F.min("end.larger").alias("least")
+    )
+    other = F.count_if((F.col("larger") > 1) | (F.col("larger") > F.col("least")))
+    return by_node.agg(other).first()[0] == 0
+
+
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """``node, component`` (its smallest reachable node) of every node in ``edges`` (a, b).
 
@@ -39,18 +54,12 @@ def components(edges: DataFrame, work: Workspace) -> DataFrame:
     logarithm of the graph's size. Each round's edges are a table of ``work``.
     Nulls and loops are ignored.
     """
-    edges = work.written(edges.where("a <> b").select("a", "b").distinct(), "edges")
-    mark = None
-    while True:
+    larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    edges = work.written(edges.where("a <> b").select(larger, smaller).distinct(), "edges")
+    while not _stars(edges):
         edges = work.written(
             _small_star(_large_star(edges)).where("a <> b").distinct(), "edges"
         )
-        now = edges.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))
-        ).first()
-        if tuple(now) == mark:
-            break
-        mark = tuple(now)
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

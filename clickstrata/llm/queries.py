@@ -27,13 +27,7 @@ from clickstrata.llm import (
 )
 from clickstrata.llm.common import table, workers_find_package
 from clickstrata.llm.oracles import ORACLES
-
-
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
-    """Fitted to the labels that are not held out."""
-    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
-    labels = labels.where(~toxicity.held_out(F.col("doc_id")))
-    return toxicity.fit(table(spark, sf_dir, "documents", "doc_id", "text"), labels)
+from clickstrata.llm.toxicity import toxicity_model
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,14 +23,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstrata.llm.common import REMEMBERED_WORDS, WORD_BYTES, mixed
+from clickstrata.llm.common import REMEMBERED_WORDS, WORD_BYTES, chunks, mixed, table
 
 #: Scores from here on are predicted toxic.
 THRESHOLD = 0.3
 
+#: Texts, and words or windows, that the fit works on at once beside its batches.
+FIT_TEXTS, FIT_WORDS = 64, 4096
+
+FITTED = "weights binary, bias double, slope double, offset double"
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -168,59 +173,100 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = SETTINGS) -> Mo
     """Train on at most ``2 * settings.rows`` labelled texts, fetched as bounded windows.
 
     Labels that are null, or whose text is missing, are not used. Without texts of both
-    classes the model scores every text 0.
+    classes the model scores every text 0. One task trains, on rows that do not grow with the
+    input; the driver gets the finished numbers only.
     """
-    rows = sorted(
-        (r["toxic"], [bytes(w) for w in r["windows"]])
-        for r in training_windows(docs, labels, settings).collect()
-    )
-    texts = [[w.split() for w in windows] for _, windows in rows]
-    toxic = np.array([t for t, _ in rows], np.int64)
-    if len(set(toxic.tolist())) < 2:
-        return Model(np.zeros(1 << settings.bits), 0.0, 0.0, -50.0, settings)
+    counts = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # one window a line; a line break sorts before all that a window holds
+        rows = sorted(
+            (label, b"\n".join(windows.as_py()))
+            for batch in batches
+            for label, windows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+        )
+        toxic = np.array([label for label, _ in rows], np.int64)
+        if len(set(toxic.tolist())) == 2:
+            model = _fitted([text for _, text in rows], toxic, counts, settings)
+            numbers = [[model.weights.tobytes()], [model.bias], [model.slope], [model.offset]]
+            names = ["weights", "bias", "slope", "offset"]
+            yield pa.RecordBatch.from_arrays([pa.array(n) for n in numbers], names)
+
+    rows = training_windows(docs, labels, settings).repartition(1)
+    for weights, *numbers in rows.mapInArrow(trained, FITTED).collect():
+        return Model(np.frombuffer(weights, np.float64), *numbers, settings)
+    return Model(np.zeros(1 << settings.bits), 0.0, 0.0, -50.0, settings)
+
+
+def _fitted(texts: list[bytes], toxic: np.ndarray, counts: dict, settings: Settings) -> Model:
+    """The model of sorted texts, of one window a line, and their labels. ``counts``: of all labels."""
     weights, bias = _train(texts, toxic, settings)
     model = Model(weights, bias, 1.0, 0.0, settings)
-    model.word_scores([w for windows in texts for window in windows for w in window])
-    best = np.array([max(model.margins(w).max() for w in windows) for windows in texts])
-    counts = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
+    best = []
+    for some in chunks(texts, FIT_TEXTS):
+        model.word_scores(b"\n".join(some).split())
+        best += [max(model.margins(w.split()).max() for w in text.split(b"\n")) for text in some]
+    best = np.array(best)
     weight = np.array([counts[t] / (toxic == t).sum() for t in toxic.tolist()])
     model.slope, model.offset = _curve(best, toxic, weight * len(toxic) / weight.sum())
-    model.known = {}
     return model
 
 
-def _train(texts, toxic, settings: Settings):
-    """Gradient descent on embeddings and softmax together.
+def _numbered(texts: list[bytes]):
+    """Distinct words in order, the number of each word of all windows, and for each window that
+    has words how many these are and the number of its text."""
+    number: dict[bytes, int] = {}
+    flat, sizes, text_of = [], [], []
+    for t, text in enumerate(texts):
+        windows = [words for line in text.split(b"\n") if (words := line.split())]
+        own = [number.setdefault(w, len(number)) for words in windows for w in words]
+        flat.append(np.array(own, np.int32))
+        sizes.append(np.array([len(words) for words in windows], np.int64))
+        text_of.append(np.full(len(windows), t))
+    words = sorted(number)
+    place = np.empty(len(words), np.int32)
+    place[[number[w] for w in words]] = np.arange(len(words))
+    return words, place[np.concatenate(flat)], np.concatenate(sizes), np.concatenate(text_of)
+
+
+def _sums(values: np.ndarray, numbers: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sums of the values with the ``numbers`` between each two edges, some at a time."""
+    found = np.empty(len(edges) - 1)
+    for at in range(0, len(found), FIT_WORDS):
+        some = edges[at : at + FIT_WORDS + 1]
+        inside = values[numbers[some[0] : some[-1]]]
+        found[at : at + FIT_WORDS] = np.add.reduceat(inside, some[:-1] - some[0])
+    return found
+
+
+def _train(texts: list[bytes], toxic: np.ndarray, settings: Settings):
+    """Gradient descent on embeddings and softmax together, over texts of one window a line.
 
     Windows of clean texts are clean. Of a toxic text, windows whose probability is at least
     half that of its best window count as toxic, chosen before each pass; the first pass takes
     them all.
     """
-    words = sorted({w for windows in texts for window in windows for w in window})
-    number = {w: i for i, w in enumerate(words)}
-    owners, buckets = word_grams(words, settings.grams, settings.bits)
-    first = np.searchsorted(owners, np.arange(len(words) + 1))
-    gram_count = np.diff(first)
-    windows, text_of = [], []
-    for t, own in enumerate(texts):
-        for window in own:
-            if window:
-                windows.append([number[w] for w in window])
-                text_of.append(t)
-    sizes = np.array([len(w) for w in windows])
+    words, flat, sizes, text_of = _numbered(texts)
+    gram_count, buckets = [], []
+    for some in chunks(words, FIT_WORDS):
+        owners, found = word_grams(some, settings.grams, settings.bits)
+        gram_count.append(np.bincount(owners, minlength=len(some)))
+        buckets.append(found.astype(np.int32))
+    gram_count, buckets = np.concatenate(gram_count), np.concatenate(buckets)
+    first = np.concatenate([[0], np.cumsum(gram_count)])
     begins = np.concatenate([[0], np.cumsum(sizes)])
-    flat, text_of = np.concatenate([np.array(w) for w in windows]), np.array(text_of)
+    del words
     rng = np.random.default_rng(settings.seed)
     embed = rng.normal(0, 0.3, (1 << settings.bits, settings.dim))
     out, bias = rng.normal(0, 0.3, (settings.dim, 2)), np.zeros(2)
     squares = np.full(1 << settings.bits, 1e-2)
     target = toxic[text_of]
     for step in range(settings.passes):
-        use = np.ones(len(windows), bool)
+        use = np.ones(len(sizes), bool)
         if step:
             part = embed @ (out[:, 1] - out[:, 0])
-            per_word = np.add.reduceat(part[buckets], first[:-1]) / gram_count
-            margin = np.add.reduceat(per_word[flat], begins[:-1]) / settings.window
+            per_word = _sums(part, buckets, first) / gram_count
+            margin = _sums(per_word, flat, begins) / settings.window
             top = np.full(len(texts), -np.inf)
             np.maximum.at(top, text_of, margin)
             use = (target == 0) | (margin >= top[text_of] - np.log(2))
@@ -239,7 +285,9 @@ def _train(texts, toxic, settings: Settings):
             scale = (1.0 / (counts * settings.window))[of_word]
             owner = of_window[of_word]
             edge = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
-            mean = np.add.reduceat(embed[grams] * scale[:, None], edge)
+            scaled = embed[grams]
+            scaled *= scale[:, None]
+            mean = np.add.reduceat(scaled, edge)
             logits = mean @ out + bias
             logits -= logits.max(axis=1, keepdims=True)
             p = np.exp(logits)
@@ -316,3 +364,10 @@ def score_documents(
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not predicted toxic."""
     return docs.where(toxicity_score(F.col("text"), model) < threshold)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> Model:
+    """Fitted to the labels that are not held out."""
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    labels = labels.where(~held_out(F.col("doc_id")))
+    return fit(table(spark, sf_dir, "documents", "doc_id", "text"), labels)

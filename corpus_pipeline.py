@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickstrata.llm import decontamination, mixing, secrets, similarity, toxicity  # noqa: E402
 from clickstrata.llm.common import table, workers_find_package  # noqa: E402
-from clickstrata.llm.queries import toxicity_model  # noqa: E402
+from clickstrata.llm.toxicity import toxicity_model  # noqa: E402
 from clickstrata.sources.shared import written  # noqa: E402
 
 

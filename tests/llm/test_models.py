@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -61,6 +62,20 @@ def test_scores_of_a_table(rows_of, model):
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
 
 
+def test_fit_holds_no_words_in_the_driver(spark, rows_of):
+    words = [f"w{i:04d}" for i in range(3000)]
+    rows = [(i, " ".join(words[(i * 7 + k * 11) % 3000] for k in range(400))) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id bigint, toxic int")
+    docs, settings = rows_of(rows), toxicity.Settings(passes=1)
+    tracemalloc.start()
+    try:
+        toxicity.fit(docs, labels, settings)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8e6  # as objects in the driver, the words of the windows took five times that
+
+
 def test_no_labels_make_a_model_that_rejects_nothing(toxic_tables):
     docs, labels = toxic_tables
     assert toxicity.fit(docs, labels.limit(0)).score([b"idiot"]) < toxicity.THRESHOLD

@@ -1,5 +1,9 @@
 """The stages of the pipeline, one by one, against plain Python."""
 
+import os
+import subprocess
+import sys
+
 from __spark_entry__ import queries
 from clickstrata.llm import mixing, secrets, toxicity
 from clickstrata.llm.queries import toxicity_model
@@ -7,6 +11,7 @@ from corpus_pipeline import STAGES, run
 
 from .test_sets import classes, contaminated
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -15,6 +20,12 @@ def test_names():
     assert "pipeline" in queries()
 
 
+def test_the_pipeline_loads_its_own_operators_only():
+    code = "import sys, corpus_pipeline; print({'tokenizers', 'pyspark.ml'} & set(sys.modules))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    assert done.stdout.strip() == "set()"
+
+
 def test_each_stage(spark):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     docs, columns = documents, documents.columns

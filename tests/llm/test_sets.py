@@ -32,6 +32,16 @@ def test_components(spark):
     assert found == {x: find(above, x) for x in linked}
 
 
+@pytest.mark.parametrize("edges, tables", [([], 1), ([(5, 1), (1, 7), (9, 9), (5, 1)], 1), ([(1, 2), (2, 3)], 2)])
+def test_components_of_stars_take_no_round(spark, monkeypatch, edges, tables):
+    made, written = [], Workspace.written
+    monkeypatch.setattr(Workspace, "written", lambda self, df, name: made.append(name) or written(self, df, name))
+    with workspace(spark, "test") as work:
+        found = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint"), work).collect()))
+    assert found == {x: 1 for a, b in edges if a != b for x in (a, b)}
+    assert len(made) == tables
+
+
 def classes(rows, n, percent):
     sets = []
     for doc, text in rows:
