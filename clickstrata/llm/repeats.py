@@ -8,25 +8,30 @@ A window is ``window`` consecutive words; all windows but the first with their w
 * *Shards.* Owners are dealt to shards. A shard compiles its recurring anchors, as they first
   stand in their owners, into one Aho-Corasick automaton. The documents that have one of them
   are streamed through it, in pieces of bounded size, so that a passage of very many documents
-  is many tasks. Each occurrence found is extended along the owner's text; the windows of that
-  stretch stand in the owner too, and there they come first.
+  is many tasks. Of a document's words, those of windows that name one of the shard's anchors go
+  through it; the windows at the place where the owner first names it are first themselves. Each
+  occurrence found is extended along the owner's text; the windows of that stretch stand in the
+  owner too, and there they come first.
 * *The rest.* A window with a recurring anchor that does not match its owner's text can only
   repeat another such window. These are few; they are grouped by their hash.
+
+Anchors are chosen by hashes that are sums over the bytes of a word, taken for a whole text at
+once. Chance decides by them which anchors are named, but never that words are equal.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickstrata.llm.common import (
-    WordHashes,
     Workspace,
     mixed,
     shingle_hashes,
@@ -48,38 +53,140 @@ DIGIT_BITS = 5
 LAST = (1 << 63) - 1
 
 
+#: Bytes to bytes: 1 for white space, 0 for all else.
+WHITE = bytes(b in b" \t\n\v\f\r" for b in range(256))
+
+#: Bytes of texts that are worked on together, at least, of these hashed in one step, and of the
+#: longest word that is hashed with others.
+CHUNK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 15
+LONG_WORD = 1 << 8
+
+
+def _powers(base: int) -> np.ndarray:
+    powers = np.full(BLOCK_BYTES + LONG_WORD, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+# the place of a byte, and, for the first byte of a word, the inverse
+BASE = 0x9E3779B97F4A7C15 | 3
+POWERS, INVERSES = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
+
+
+def _edges(flags: np.ndarray, value: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of flags that have this value."""
+    turns = np.flatnonzero(flags[1:] != flags[:-1]) + 1
+    low = [0] if len(flags) and flags[0] == value else []
+    high = [len(flags)] if len(flags) and flags[-1] == value else []
+    edges = np.concatenate([low, turns, high]).astype(np.int64)
+    return edges[::2], edges[1::2]
+
+
 def words_of(data: bytes) -> list[bytes]:
     """Runs without ASCII white space."""
     return data.split()
 
 
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of a text's words, as ``words_of`` has them, and their 64-bit hashes."""
+    values = np.frombuffer(data, np.uint8)
+    starts, ends = _edges(np.frombuffer(data.translate(WHITE), bool), False)
+    hashes = np.empty(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + BLOCK_BYTES, BLOCK_BYTES)).tolist()
+    for block, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        base = block * BLOCK_BYTES
+        part = values[base : base + BLOCK_BYTES + LONG_WORD].astype(np.uint64)
+        part += np.uint64(1)
+        part *= POWERS[: len(part)]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part, out=sums[1:])
+        first, last = starts[low:high] - base, np.minimum(ends[low:high] - base, len(part))
+        hashes[low:high] = (sums[last] - sums[first]) * INVERSES[first]
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return starts, ends, mixed(hashes)
+
+
+def _first_smallest(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the first smallest of every ``width`` consecutive values."""
+    places, covered = np.arange(len(values)), 1
+    while covered < width:
+        step = min(covered, width - covered)
+        later = values[step:] < values[:-step]
+        values = np.where(later, values[step:], values[:-step])
+        places = np.where(later, places[step:], places[:-step])
+        covered += step
+    return places
+
+
 def anchors_of(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all anchors by place; the place of each window's anchor (the first smallest)."""
     every = shingle_hashes(hashes, anchor)
     width = window - anchor + 1
     if len(every) < width:
         return every, np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(every, width)
-    places = np.empty(len(views), np.int64)
-    for at in range(0, len(views), 1 << 16):
-        part = views[at : at + (1 << 16)]
-        places[at : at + len(part)] = part.argmin(axis=1) + np.arange(at, at + len(part))
-    return every, places
+    return every, _first_smallest(every, width)
+
+
+def _new(places: np.ndarray) -> np.ndarray:
+    """Whether each of some places that never fall differs from the one before."""
+    new = np.ones(len(places), bool)
+    np.not_equal(places[1:], places[:-1], out=new[1:])
+    return new
+
+
+class Chunk:
+    """Some texts as one, its words and, of the windows that lie in one text, their anchors."""
+
+    def __init__(self, texts: list[bytes], window: int, anchor: int):
+        self.data = b" ".join(texts)
+        self.starts, self.ends, hashes = hashed_words(self.data)
+        firsts = np.fromiter(accumulate((len(t) + 1 for t in texts), initial=0), np.int64)
+        #: of each text, and at the end, the number of words before
+        self.bounds = np.searchsorted(self.starts, firsts)
+        self.every, places = anchors_of(hashes, window, anchor)
+        left = np.repeat(self.bounds[1:], np.diff(self.bounds)) - np.arange(len(hashes))
+        #: whether a window lies in one text; of those that do, the anchor's place is another
+        #: than that of the one before; these places
+        self.whole = left[: len(places)] >= window
+        places = places[self.whole]
+        self.new = _new(places)
+        self.places = places[self.new]
+
+    def texts(self, places: np.ndarray) -> np.ndarray:
+        """Numbers of the texts that the words at some places belong to."""
+        return np.searchsorted(self.bounds, places, "right") - 1
+
+    def named(self) -> np.ndarray:
+        return self.every[self.places].view(np.int64)
+
+
+def chunked(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+    chunk, size = [], 0
+    for text in texts:
+        chunk.append(text)
+        size += len(text)
+        if size >= CHUNK_BYTES:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
 
 
 def anchor_rows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """``doc, anchor``: one row for each place that some window of a document names."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            found = []
-            for data in texts_of(batch.column(2)):
-                every, places = anchors_of(hashes.of(words_of(data)), window, anchor)
-                found.append(every[np.unique(places)].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc", "anchors"]
-            )
+            found, counts = [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
+            for texts in chunked(texts_of(batch.column(2))):
+                chunk = Chunk(texts, window, anchor)
+                found.append(chunk.named())
+                counts.append(np.diff(np.searchsorted(chunk.places, chunk.bounds)))
+            ends = np.cumsum(np.concatenate(counts)).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), listed], ["doc", "anchors"])
 
     made = docs.mapInArrow(anchors, "doc bigint, anchors array<bigint>")
     return made.select("doc", F.explode("anchors").alias("anchor"))
@@ -104,54 +211,50 @@ def _stretch(a: list[bytes], p: int, b: list[bytes], q: int, window: int) -> tup
     return p - low, p + high
 
 
-def _runs(flags: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Starts and ends of the runs of true flags that are so long at least."""
-    edges = np.flatnonzero(np.diff(flags, prepend=False, append=False)).reshape(-1, 2)
-    return [(a, b) for a, b in edges.tolist() if b - a >= least]
-
-
 class Passages:
     """The recurring anchors that some documents own, in one automaton over word numbers.
 
     The automaton looks its next state up among all that follow one by one. Each word is
     therefore several digits of a small alphabet, other digits in each place, so that a match
-    begins where a word does. Words of no anchor end a run, and shorter runs hold no anchor:
-    only what is left of a text goes through the automaton and is hashed.
+    begins where a word does. A key is a text with one character for each digit.
     """
 
     def __init__(self, window: int, anchor: int):
         import ahocorasick
 
         self.window, self.anchor = window, anchor
-        self.hashes = WordHashes()
-        self.owners: dict[int, list[tuple[int, list[bytes], int]]] = {}
+        self.owners: dict[int, tuple[int, list[bytes], int]] = {}
         self.numbers: dict[bytes, int] = {}
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.automaton = ahocorasick.Automaton()
 
-    def own(self, doc: int, words: list[bytes], anchors: np.ndarray) -> None:
+    def own(self, doc: int, data: bytes, anchors: list[int]) -> None:
         """Add a document's anchors, each where it is first named; the earliest row counts."""
-        every, places = anchors_of(self.hashes.of(words), self.window, self.anchor)
-        places = np.unique(places)
-        named, first = np.unique(every[places].view(np.int64), return_index=True)
-        for value, at in zip(named.tolist(), places[first].tolist(), strict=True):
-            if value in anchors:
-                before = self.owners.get(value)
-                if before is None or at < before[2]:
-                    self.owners[value] = (doc, words, at)
-
-    def _digits(self, numbers: np.ndarray) -> tuple[int, ...]:
-        places = np.arange(self.width)
-        digits = (numbers[:, None] >> (DIGIT_BITS * places)) & ((1 << DIGIT_BITS) - 1)
-        return tuple((digits + (places << DIGIT_BITS)).ravel().tolist())
+        chunk, words = Chunk([data], self.window, self.anchor), words_of(data)
+        named, first = np.unique(chunk.named(), return_index=True)
+        own = np.isin(named, np.array(anchors, np.int64))
+        places = chunk.places[first[own]]
+        for value, at in zip(named[own].tolist(), places.tolist(), strict=True):
+            before = self.owners.get(value)
+            if before is None or at < before[2]:
+                self.owners[value] = (doc, words, at)
+
+    def _digits(self, numbers: np.ndarray) -> str:
+        digits = np.empty((len(numbers), self.width), np.uint8)
+        for place in range(self.width):
+            digit = (numbers >> (DIGIT_BITS * place)) & ((1 << DIGIT_BITS) - 1)
+            digits[:, place] = digit + (place << DIGIT_BITS)
+        return digits.tobytes().decode("latin-1")
 
     def compile(self) -> None:
-        for _, words, at in self.owners.values():
-            for w in words[at : at + self.anchor]:
+        texts = [words[at : at + self.anchor] for _, words, at in self.owners.values()]
+        for text in texts:
+            for w in text:
                 self.numbers.setdefault(w, len(self.numbers) + 1)
         self.width = -(-len(self.numbers).bit_length() // DIGIT_BITS) or 1
-        for doc, words, at in self.owners.values():
-            key = self._numbers(words[at : at + self.anchor])
-            self.automaton.add_word(self._digits(key), (doc, words, at))
+        keys = self._digits(self._numbers([w for text in texts for w in text]))
+        size = self.width * self.anchor
+        for i, owner in enumerate(self.owners.values()):
+            self.automaton.add_word(keys[i * size : (i + 1) * size], owner)
         if self.owners:
             self.automaton.make_automaton()
         keys = np.array(sorted(self.owners), np.int64)
@@ -163,54 +266,69 @@ class Passages:
         """Numbers of words; 0 for words that are in no anchor."""
         return np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))
 
-    def _repeated(self, doc: int, words: list[bytes], numbers: np.ndarray, runs) -> np.ndarray:
-        """For each window of a text, and for the end, whether an owner has it before."""
-        repeated = np.zeros(len(words) - self.window + 2, bool)
-        for start, end in runs:
-            for last, (owner, text, at) in self.automaton.iter(self._digits(numbers[start:end])):
-                place = start + last // self.width - self.anchor + 1
-                if owner > doc or (owner == doc and at >= place):
-                    continue
-                low, high = _stretch(words, place, text, at, self.window)
-                if high - low >= self.window:
-                    repeated[low : high - self.window + 1] = True
+    def _later(self, docs: np.ndarray, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the runs of windows that name an owned anchor elsewhere than its
+        owner first does. Those at that place repeat no other: whoever has them before would be
+        the owner."""
+        named, texts = chunk.named(), chunk.texts(chunk.places)
+        key = np.minimum(np.searchsorted(self.keys, named), len(self.keys) - 1)
+        at = chunk.places - chunk.bounds[texts]
+        first = (self.docs[key] == docs[texts]) & (self.places[key] == at)
+        flags = np.zeros(len(chunk.whole), bool)
+        flags[chunk.whole] = ((self.keys[key] == named) & ~first)[np.cumsum(chunk.new) - 1]
+        return _edges(flags, True)
+
+    def _repeated(self, words: list[bytes], docs: list[int], places: list[int]) -> np.ndarray:
+        """For the window at each word, whether an owner has it before. ``docs`` and ``places``
+        are where a word comes from."""
+        repeated = np.zeros(len(words), bool)
+        for last, (owner, text, at) in self.automaton.iter(self._digits(self._numbers(words))):
+            here = last // self.width - self.anchor + 1
+            if owner > docs[here] or (owner == docs[here] and at >= places[here]):
+                continue
+            low, high = _stretch(words, here, text, at, self.window)
+            if high - low >= self.window:
+                repeated[low : high - self.window + 1] = True
         return repeated
 
-    def _open(self, doc: int, words: list[bytes], repeated: np.ndarray, low: int, high: int):
-        """(hash, start) of the windows between two words that name an anchor and are open."""
-        hashes = self.hashes.of(words[low:high])
-        every, places = anchors_of(hashes, self.window, self.anchor)
-        named = every[places].view(np.int64)
-        at = np.minimum(np.searchsorted(self.keys, named), len(self.keys) - 1)
-        own = self.keys[at] == named
-        first = (self.docs[at] == doc) & (self.places[at] == places + low)
-        left = np.flatnonzero(own & ~repeated[low : low + len(places)] & ~first)
-        if not len(left):
-            return left, left
-        codes = shingle_hashes(hashes, self.window)[left]
-        return mixed(codes).view(np.int64), left + low
-
-    def scan(self, doc: int, words: list[bytes]):
-        """Stretches that repeat an owner's text, and (hash, start) of windows left open."""
-        none = np.empty(0, np.int64)
-        if len(words) < self.window or not len(self.keys):
-            return [], none, none
-        numbers = self._numbers(words)
-        runs = _runs(numbers > 0, self.anchor)
-        repeated = self._repeated(doc, words, numbers, runs)
-        edges = np.flatnonzero(np.diff(repeated, prepend=False)).reshape(-1, 2)
-        stretches = [(a, b + self.window - 1) for a, b in edges.tolist()]
-        # windows whose anchor is in a run lie within so many words of it
-        near, around = np.zeros(len(words), bool), self.window - self.anchor
-        for start, end in runs:
-            near[max(0, start - around) : end + around] = True
-        found = [
-            self._open(doc, words, repeated, low, high) for low, high in _runs(near, self.window)
-        ]
-        if not found:
-            return stretches, none, none
-        codes, starts = (np.concatenate(part) for part in zip(*found, strict=True))
-        return stretches, codes, starts
+    def scan(self, docs: np.ndarray, texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Stretches that repeat an owner's text, as (number of the text, start, end), and the
+        windows left open, as (number of the text, hash, start)."""
+        none = [np.empty(0, np.int64)] * 3
+        if not len(self.keys):
+            return none, none
+        chunk = Chunk(texts, self.window, self.anchor)
+        low, high = self._later(docs, chunk)
+        if not len(low):
+            return none, none
+        words: list[bytes] = []
+        last = chunk.ends[high + self.window - 2]
+        for a, b in zip(chunk.starts[low].tolist(), last.tolist(), strict=True):
+            words += words_of(chunk.data[a:b])
+            words.append(b"")  # no word of an owner, so that nothing runs on
+        # each word's run, and the place in its text
+        size = high - low + self.window
+        first = np.cumsum(size) - size
+        run = np.repeat(np.arange(len(low)), size)
+        text = chunk.texts(low)
+        index = np.arange(len(words))
+        place = index + (low - chunk.bounds[text] - first)[run]
+        text = text[run]
+        repeated = self._repeated(words, docs[text].tolist(), place.tolist())
+        a, b = _edges(repeated, True)
+        stretches = [text[a], place[a], place[b - 1] + self.window]
+        opened = np.flatnonzero((index - first[run] < (high - low)[run]) & ~repeated)
+        joined = b" ".join(words)
+        firsts = list(accumulate((len(w) + 1 for w in words), initial=0))
+        codes = np.fromiter(
+            (
+                xxhash.xxh3_64_intdigest(joined[firsts[i] : firsts[i + self.window] - 1])
+                for i in opened.tolist()
+            ),
+            np.uint64,
+            len(opened),
+        )
+        return stretches, [text[opened], codes.view(np.int64), place[opened]]
 
 
 FOUND = "kind int, doc bigint, content bigint, a bigint, b bigint"
@@ -221,46 +339,38 @@ def _scanned(window: int, anchor: int):
 
     def scan(table: pa.Table) -> pa.Table:
         passages = Passages(window, anchor)
-        rows = {c: table.column(c) for c in ("kind", "doc", "content", "text", "anchors")}
-        kinds, docs = rows["kind"].to_pylist(), rows["doc"].to_pylist()
-        contents = rows["content"].to_pylist()
-        for i, kind in enumerate(kinds):
-            if kind == 0:
-                words = words_of((rows["text"][i].as_py() or "").encode("utf-8", "surrogatepass"))
-                passages.own(docs[i], words, set(rows["anchors"][i].as_py()))
+        docs, contents = table.column("doc").to_numpy(), table.column("content").to_numpy()
+        kinds, texts, anchors = (table.column(c) for c in ("kind", "text", "anchors"))
+        kinds = kinds.to_numpy()
+        for i in np.flatnonzero(kinds == 0).tolist():
+            (data,) = texts_of([texts[i]])
+            passages.own(int(docs[i]), data, anchors[i].as_py())
         passages.compile()
-        out: list[tuple] = []
-        opened = [[], [], [], []]
-        for i, kind in enumerate(kinds):
-            if kind == 0:
-                continue
-            words = words_of((rows["text"][i].as_py() or "").encode("utf-8", "surrogatepass"))
-            stretches, codes, starts = passages.scan(docs[i], words)
-            out += [(0, docs[i], contents[i], a, b) for a, b in stretches]
-            for values, more in zip(
-                opened,
-                (np.full(len(codes), docs[i]), codes, starts, np.full(len(codes), contents[i])),
-                strict=True,
-            ):
-                values.append(more)
-        columns = [np.array(c, np.int64) for c in zip(*out, strict=True)] if out else [
-            np.empty(0, np.int64) for _ in range(5)
+        visitors = np.flatnonzero(kinds == 1)
+        found: list[list[np.ndarray]] = [[], []]
+        at = 0
+        for chunk in chunked(texts_of(texts[i] for i in visitors.tolist())):
+            rows = visitors[at : at + len(chunk)]
+            at += len(chunk)
+            for part, (text, a, b) in zip(found, passages.scan(docs[rows], chunk), strict=True):
+                part.append(np.stack([docs[rows[text]], contents[rows[text]], a, b]))
+        empty = np.empty((4, 0), np.int64)
+        stretches, opened = (np.concatenate([empty, *part], axis=1) for part in found)
+        doc, _, code, start = opened
+        opened = opened[:, np.lexsort((start, code, doc))]
+        doc, content, code, start = opened
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
+        again = start > start[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
+        more = [
+            np.where(again, 0, 1),
+            doc,
+            content,
+            np.where(again, start, code),
+            np.where(again, start + window, start),
         ]
-        if opened[0]:
-            doc, code, start, content = (np.concatenate(v).astype(np.int64) for v in opened)
-            order = np.lexsort((start, code, doc))
-            doc, code, start, content = doc[order], code[order], start[order], content[order]
-            new = np.ones(len(doc), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])
-            again = start > start[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
-            more = [
-                np.where(again, 0, 1),
-                doc,
-                content,
-                np.where(again, start, code),
-                np.where(again, start + window, start),
-            ]
-            columns = [np.concatenate(pair) for pair in zip(columns, more, strict=True)]
+        columns = [np.zeros(stretches.shape[1], np.int64), *stretches]
+        columns = [np.concatenate(pair) for pair in zip(columns, more, strict=True)]
         kind = pa.array(columns[0].astype(np.int32))
         return pa.table([kind, *map(pa.array, columns[1:])], ["kind", "doc", "content", "a", "b"])
 
@@ -323,11 +433,14 @@ def repeated_spans(docs: DataFrame, window: int, anchor: int, work: Workspace) -
     )
 
 
-def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:
-    keep = np.ones(len(words), bool)
-    for span in spans:
-        keep[span["a"] : span["b"]] = False
-    return [w for w, k in zip(words, keep.tolist(), strict=True) if k]
+def kept_words(words: list[bytes], starts: list[int], ends: list[int]) -> list[bytes]:
+    """The words that are in none of some spans."""
+    kept: list[bytes] = []
+    at = 0
+    for start, end in sorted(zip(starts, ends, strict=True)):
+        kept += words[at:start]
+        at = max(at, end)
+    return kept + words[at:] if starts else words
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -354,7 +467,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
                 batch.column(0), texts_of(batch.column(1)), batch.column(2), strict=True
             ):
                 words = words_of(data)
-                kept = kept_words(words, spans.as_py() or [])
+                ends = spans.values.flatten() if spans.is_valid else [pa.array([], pa.int64())] * 2
+                kept = kept_words(words, *(e.to_pylist() for e in ends))
                 text = b" ".join(kept)
                 doc_id = doc.as_py()
                 out.append(

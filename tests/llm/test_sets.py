@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from clickstrata.llm import decontamination, repeats, similarity
@@ -349,6 +350,45 @@ def test_repeats_edges(rows_of):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [16, 1 << 15])
+def test_hashed_words_are_the_words(monkeypatch, block):
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    monkeypatch.setattr(repeats, "LONG_WORD", 8)
+    draw = random.Random(8)
+    for size in [0, 1, 15, 16, 17, 400, 3000]:
+        data = "".join(draw.choices("abc\0é\x85 \t\n\v\f\r", k=size)).encode()
+        data += b"abcabcabcabcabc " * 3 + b"x" * draw.randrange(40)
+        starts, ends, hashes = repeats.hashed_words(data)
+        words = [data[a:b] for a, b in zip(starts, ends, strict=True)]
+        assert words == repeats.words_of(data)
+        by_word = dict(zip(words, hashes.tolist(), strict=True))
+        assert [by_word[w] for w in words] == hashes.tolist()
+        assert len(set(by_word.values())) == len(by_word)
+
+
+def test_only_words_around_recurring_anchors_are_looked_up(monkeypatch):
+    # a passage of 40 words within 20000 others of the owner's words
+    passage = [f"p{i}" for i in range(40)]
+    text = " ".join(["p1 p2"] * 5000 + passage + ["p3 p4"] * 5000).encode()
+    owner = " ".join(passage).encode()
+    passages = repeats.Passages(20, 8)
+    passages.own(1, owner, repeats.Chunk([owner], 20, 8).named().tolist())
+    passages.compile()
+    looked_up = []
+    numbers = passages._numbers
+
+    def counted(words):
+        looked_up.extend(words)
+        return numbers(words)
+
+    monkeypatch.setattr(passages, "_numbers", counted)
+    stretches, opened = passages.scan(np.array([1, 5, 6]), [owner, b"", text])
+    assert [part.tolist() for part in stretches] == [[2], [10000], [10040]]
+    # windows that end or begin beside the passage may name an anchor of it
+    assert all(9980 < start < 10040 for start in opened[2].tolist())
+    assert len(looked_up) < 100
+
+
 def contaminated(rows, items):
     def words(text):
         return decontamination.words_of((text or "").encode())
