@@ -68,6 +68,23 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a batch that the JVM and a Python worker hand to each other; both hold whole batches.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 500
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs meanwhile hands ``BATCH_ROWS`` rows to Python at once, or as few as are asked for."""
+    before = spark.conf.get(_BATCH)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 class Workspace:
     """Tables of one computation, in a folder of its own in the cluster's shared folder."""
 

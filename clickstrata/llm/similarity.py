@@ -43,6 +43,7 @@ from clickstrata.llm.common import (
     fresh_name,
     mixed,
     shingle_hashes,
+    small_batches,
     texts_of,
     workspace,
 )
@@ -481,7 +482,8 @@ def similarity_classes(
     text, if a row with an id has that. An empty table gives an empty result; other columns
     are ignored.
     """
-    with workspace(docs.sparkSession, "similarity") as work:
+    spark = docs.sparkSession
+    with workspace(spark, "similarity") as work, small_batches(spark):
         return work.result(_classes(docs, shingle, percent, work))
 
 

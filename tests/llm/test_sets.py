@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickstrata.llm import decontamination, repeats, similarity
@@ -135,6 +136,27 @@ def test_visitors_in_pieces_keep_the_classes(rows_of, monkeypatch):
     assert sorted(map(tuple, found.collect())) == classes(rows, 5, 80)
 
 
+def test_sets_come_to_python_in_small_batches(spark, rows_of, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, classes = spark.conf.get(name), [], similarity._classes
+
+    def watched(docs, *others):
+        # the rows of each batch that a worker gets
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+        seen.extend(r["rows"] for r in docs.coalesce(1).mapInArrow(sizes, "rows bigint").collect())
+        return classes(docs, *others)
+
+    monkeypatch.setattr(similarity, "_classes", watched)
+    docs = rows_of([(i, f"a b c w{i // 2}") for i in range(1200)])
+    found = {r.doc_id: r.component_id for r in similarity.similarity_classes(docs).collect()}
+    assert found == {i: i // 2 * 2 for i in range(1200)}
+    assert sum(seen) == 1200 and max(seen) <= 500
+    assert spark.conf.get(name) == before
+
+
 def test_similarity_edges(rows_of):
     text = " ".join(f"a{i}" for i in range(30))
     other = " ".join(f"b{i}" for i in range(30))
